@@ -189,6 +189,8 @@ def row_position(df: DataFrame, keys: Sequence[str], order: Order, name: str, fi
     return local
 
 
-def ranked(df: DataFrame, keys: Sequence[str], order: Order, name: str) -> DataFrame:
+def ranked(
+    df: DataFrame, keys: Sequence[str], order: Order, name: str, sized_by: DataFrame | None = None
+) -> DataFrame:
     """Number the rows of each group 1, 2, … whatever the group's size; leaves no slice column."""
-    return row_position(slice_hot_groups(df, keys, order), keys, order, name).drop(SLICE)
+    return row_position(slice_hot_groups(df, keys, order, sized_by=sized_by), keys, order, name).drop(SLICE)

@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 
 from stagewatch.functions import coerce
 from stagewatch.functions.ordered import SLICE, row_position, slice_hot_groups
-from stagewatch.workflow import KEYS, SESSION_FIELDS, timing_label_dimension
-
-WARNING_COLUMNS = [*KEYS, "category", "row_number", "detail"]
+from stagewatch.workflow import KEYS, SESSION_FIELDS, as_warnings, timing_label_dimension
 
 
 def session_fields(sessions: DataFrame) -> DataFrame:
@@ -57,13 +55,6 @@ def session_field_stats(sessions: DataFrame) -> DataFrame:
     ])
 
 
-def _warnings(df: DataFrame, category, row_number, detail) -> DataFrame:
-    return df.select(
-        *KEYS, F.lit(category).alias("category") if isinstance(category, str) else category.alias("category"),
-        row_number.cast("bigint").alias("row_number"), detail.cast("string").alias("detail"),
-    )
-
-
 def session_warnings(sessions: DataFrame) -> DataFrame:
     fields = session_fields(sessions)
     per_value = fields.withColumn(
@@ -83,11 +74,11 @@ def session_warnings(sessions: DataFrame) -> DataFrame:
         F.col("category") == "session_field_not_usable",
         F.format_string(":missing=%d:unparseable=%d:sentinel=%d", "missing", "unparseable", "sentinel"),
     ).otherwise("")
-    return _warnings(
+    return as_warnings(
         per_value, F.col("category"), F.col("row_number"),
         F.when(F.col("event_type").isNull() & (F.col("status") == "ok"), F.col("field"))
         .otherwise(F.concat_ws(":", "field", F.concat(F.lit("value="), F.col("value")))),
-    ).unionByName(_warnings(
+    ).unionByName(as_warnings(
         per_field, F.col("category"), F.lit(None), F.concat(F.col("field"), counts)
     ))
 
@@ -135,12 +126,12 @@ def timing_log_warnings(sheet: DataFrame) -> DataFrame:
         F.struct(F.lit("TimeEND").alias("name"), F.col("end_text").alias("text"), F.col("time_end").alias("ts")),
     )).alias("t")).filter((F.trim("t.text") != "") & F.col("t.ts").isNull())
     return (
-        _warnings(unmapped_labels(sheet), "timing_log_unmapped_label", row, F.concat(F.lit("label="), F.col("label")))
-        .unionByName(_warnings(
+        as_warnings(unmapped_labels(sheet), "timing_log_unmapped_label", row, F.concat(F.lit("label="), F.col("label")))
+        .unionByName(as_warnings(
             _mapped_labels(sheet).filter(F.col("timestamp").isNull()), "timing_log_missing_mapped_time", row,
             F.concat_ws(":", "label", "event_type", "selector"),
         ))
-        .unionByName(_warnings(
+        .unionByName(as_warnings(
             unparsed, "timing_log_unparseable_datetime", row,
             F.concat(F.lit("field="), F.col("t.name"), F.lit(":value="), F.trim("t.text")),
         ))

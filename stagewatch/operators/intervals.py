@@ -10,7 +10,6 @@ from stagewatch.functions.durable import durable
 from stagewatch.functions.ordered import (
     SLICE, group_values, group_window, is_sliced, next_value, running_before, slice_hot_groups,
 )
-from stagewatch.operators.enrich import _warnings
 from stagewatch.operators.states import LANDMARKS, setup_positions
 from stagewatch.workflow import DEFAULT, KEYS, Workflow, event_order
 
@@ -158,54 +157,3 @@ def relative_times(
         "start_sec": (F.col(ts_us) - F.col("__first")) / 1e6,
         "duration_sec": F.greatest(F.coalesce((F.col("__next") - F.col(ts_us)) / 1e6, F.lit(0.0)), F.lit(0.0)),
     }).drop("__first", "__next", SLICE)
-
-
-def interval_warnings(intervals: DataFrame, workflow: Workflow = DEFAULT) -> DataFrame:
-    """Case-level and row-level warnings of the interval stage, long form."""
-    cases = intervals.groupBy(*KEYS).agg(
-        F.max("non_monotonic").alias("non_monotonic"), F.max("reordered").alias("reordered"),
-        F.max("anchor_warning").alias("anchor_warning"), F.max("case_end").alias("case_end"),
-        F.max("end_is_fallback").alias("fallback"), F.max("n_rows").alias("n_rows"),
-    )
-    none = F.lit(None)
-    trailing = F.col("n_rows") - F.col("case_end.pos") - 1
-    parts = [
-        _warnings(cases.filter("non_monotonic"), "interval_non_monotonic_input", none, F.lit("reordered_for_computation")),
-        _warnings(cases.filter("reordered and not non_monotonic"), "interval_input_reordered_by_tiebreak", none, none),
-        _warnings(
-            cases.filter(F.col("anchor_warning").isNotNull()), F.get(F.split("anchor_warning", ":", 2), 0), none,
-            F.get(F.split("anchor_warning", ":", 2), 1),
-        ),
-        _warnings(
-            cases, "case_end_inferred", F.col("case_end.row_number"),
-            F.when(F.col("fallback"), "strategy=fallback_last_event").otherwise(
-                F.concat(F.lit("strategy=last_meaningful_state:state="), F.trim("case_end.state"))),
-        ),
-        _warnings(
-            cases.filter(F.col("fallback") | (trailing > 0)), "case_end_ambiguous", F.col("case_end.row_number"),
-            F.when(F.col("fallback"), "no_meaningful_state:fallback=last_event").otherwise(
-                F.concat(F.lit("trailing_events_after_case_end="), trailing.cast("string"))),
-        ),
-    ]
-    cut = intervals.filter((F.col("raw_us") > 0) & (F.col("duration_us") < F.col("raw_us")))
-    label = F.when(F.trim("state") == "", F.lit(None)).otherwise(F.trim("state"))
-    cut_text = F.concat_ws(
-        ":", F.concat(F.lit("event_type="), F.col("event_type")),
-        F.concat(F.lit("state="), F.coalesce(label, F.lit("<NA>"))),
-        F.concat(F.lit("raw_us="), F.col("raw_us").cast("string")),
-        F.concat(F.lit("duration_us="), F.col("duration_us").cast("string")),
-    )
-    parts += [
-        _warnings(cut, "interval_hardened_truncation", F.col("row_number"), cut_text),
-        _warnings(cut.filter("early_cut"), "interval_early_state_truncated", F.col("row_number"), cut_text),
-        _warnings(
-            intervals.filter(F.col("start_us") < -workflow.negative_start_warn_sec * MICROS),
-            "interval_negative_rebased_start", F.col("row_number"),
-            F.concat(F.lit("event_type="), F.col("event_type"), F.lit(":start_us="), F.col("start_us").cast("string"),
-                     F.lit(":expected_pre_anchor=1")),
-        ),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stagewatch.functions.ordered import group_values, next_value, row_position, running_before
-from stagewatch.operators.enrich import _warnings
 from stagewatch.workflow import CRITICAL_TYPES, DEFAULT, KEYS, SCRIPT, Workflow, event_order
 
 CLEARED = "<cleared>"
@@ -120,23 +119,6 @@ def unmapped_critical(labelled: DataFrame) -> DataFrame:
     )
 
 
-def state_warnings(labelled: DataFrame) -> DataFrame:
-    rules = F.split("cleanup_rule_applied", ";")
-    cleaned = labelled.filter(F.col("cleanup_rule_applied") != "").select("*", F.explode(rules).alias("rule"))
-    category = (
-        F.when(F.col("rule") == DUPLICATE_RULE, "cleanup_alignment_duplicate")
-        .when(F.col("rule") == DISCONNECT_RULE, "cleanup_post_treatment_disconnect")
-        .otherwise("cleanup_segment_date_mismatch")
-    )
-    detail = F.when(F.col("rule") == DATE_RULE, F.concat(
-        F.lit("segment_prefix="), F.trim("segment_id").substr(1, 10),
-        F.lit(":timestamp_date="), F.col("timestamp").cast("date").cast("string"),
-    ))
-    return _warnings(
-        unmapped_critical(labelled), "state_unmapped_event_type", F.lit(None), F.col("event_type")
-    ).unionByName(_warnings(cleaned, category, F.col("row_number"), detail))
-
-
 # ---- script profile -----------------------------------------------------------------------------
 
 def label_states_script(events: DataFrame, workflow: Workflow = SCRIPT) -> DataFrame:

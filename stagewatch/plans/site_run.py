@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
 
+from stagewatch.functions.durable import durable
 from stagewatch.functions.ordered import slice_hot_groups
-from stagewatch.operators import enrich, intervals, normalize, states
+from stagewatch.operators import enrich, intervals, normalize, states, warnings
 from stagewatch.workflow import DEFAULT, KEYS, SCRIPT, Workflow, event_order
 
 
@@ -24,14 +25,17 @@ class SiteRun:
     sessions: DataFrame | None = None
     timing_sheet: DataFrame | None = None
     workflow: Workflow = DEFAULT
+    materialize: bool = False  # write the intervals once when several consumers read them
+    other_errors: DataFrame | None = None  # keys, row_number, error: unreadable files, bad sheets
 
     @cached_property
     def errors(self) -> DataFrame:
-        return normalize.case_errors(self.raw)
+        own = normalize.case_errors(self.raw)
+        return own if self.other_errors is None else own.unionByName(self.other_errors)
 
     @cached_property
     def normalized(self) -> DataFrame:
-        return normalize.normalize_events(self.raw, self.workflow)
+        return self._healthy(normalize.normalize_events(self.raw, self.workflow, on_error="drop_row"))
 
     def _healthy(self, df: DataFrame) -> DataFrame:
         return df.join(self.errors.select(*KEYS), KEYS, "left_anti")
@@ -69,7 +73,18 @@ class SiteRun:
 
     @cached_property
     def intervals(self) -> DataFrame:
-        return intervals.state_intervals(self.labelled, self.workflow)
+        out = intervals.state_intervals(self.labelled, self.workflow)
+        return durable(out) if self.materialize else out
+
+    @cached_property
+    def warnings(self) -> DataFrame:
+        """Warnings of every stage of the healthy cases, long form."""
+        parts = [warnings.run_warnings(self.intervals, self.workflow)]
+        if self.sessions is not None:
+            parts.append(self._healthy(enrich.session_warnings(self.sessions)))
+        if self.timing_sheet is not None:
+            parts.append(self._healthy(enrich.timing_log_warnings(self.timing_sheet)))
+        return reduce(DataFrame.unionByName, parts)
 
 
 @dataclass

@@ -1,0 +1,90 @@
+"""Timing sheets: one small CSV per case, with named or positional columns."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from stagewatch.workflow import KEYS
+
+# Header names, and the 0-based positions used when they are absent.
+HEADERS = ("Events", "TimeSTART", "TimeEND")
+POSITIONS = (2, 3, 4)
+
+
+def _cells(line: Column) -> Column:
+    """Split one CSV line; quoted cells may hold commas and doubled quotes."""
+    raw = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
+    return F.transform(raw, lambda c: F.when(
+        c.startswith('"') & c.endswith('"'), F.replace(c.substr(F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))
+    ).otherwise(c))
+
+
+def sheet_lines(spark: SparkSession, folder: str, site_code: str) -> DataFrame:
+    """keys, source_file, line_number (1 = header), line; a sheet is named after its case."""
+    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.csv").text(folder).select(
+        F.col("_metadata.file_name").alias("source_file"), "value"
+    )
+    text = F.regexp_replace(F.regexp_replace("value", "^\\uFEFF", ""), r"(\r\n|\r|\n)$", "")
+    lines = F.split(text, r"\r\n|\r|\n")
+    return files.select(
+        F.lit(site_code).alias("site_code"),
+        F.regexp_extract("source_file", r"^(.*)\.csv$", 1).alias("case_id"),
+        "source_file", F.posexplode(lines).alias("at", "line"),
+    ).select(*KEYS, "source_file", (F.col("at") + 1).cast("bigint").alias("line_number"), "line")
+
+
+def _located(lines: DataFrame) -> DataFrame:
+    header = lines.filter(F.col("line_number") == 1).withColumn("names", F.transform(_cells(F.col("line")), F.trim))
+    named = (F.size(F.array_intersect("names", F.array(*[F.lit(h) for h in HEADERS]))) == 3)
+    wide = F.size("names") >= 5
+    at = F.when(named, F.array(*[F.array_position("names", h).cast("int") - 1 for h in HEADERS])).when(
+        wide, F.array(*[F.lit(p) for p in POSITIONS]))
+    head = header.select(*KEYS, at.alias("at"), (F.col("line") == "").alias("no_header"))
+    sizes = lines.groupBy(*KEYS).agg(F.max("line_number").alias("n_lines"))
+    body = lines.withColumn("cells", F.when(F.col("line") == "", F.array().cast("array<string>")).otherwise(_cells(F.col("line"))))
+    return body.join(head.join(sizes, KEYS), KEYS)
+
+
+def _cell(i: int) -> Column:
+    return F.get("cells", F.col("at")[i])
+
+
+def _is_short() -> Column:
+    return F.size("cells") <= F.array_max("at")
+
+
+def sheet_rows(lines: DataFrame) -> DataFrame:
+    """Data rows of usable sheets: keys, source_file, row_number, label, start_text, end_text."""
+    rows = _located(lines).filter((F.col("line_number") > 1) & F.col("at").isNotNull() & ~_is_short())
+    return rows.select(
+        *KEYS, "source_file", F.col("line_number").alias("row_number"), _cell(0).alias("label"),
+        _cell(1).alias("start_text"), _cell(2).alias("end_text"),
+    ).filter(~_is_blank_row())
+
+
+def _is_blank_row() -> Column:
+    return F.trim(F.concat("label", "start_text", "end_text")) == ""
+
+
+def blank_row_warnings(lines: DataFrame) -> DataFrame:
+    rows = _located(lines).filter((F.col("line_number") > 1) & F.col("at").isNotNull() & ~_is_short())
+    texts = [_cell(i) for i in range(3)]
+    return rows.filter(F.trim(F.concat(*texts)) == "").select(
+        *KEYS, F.lit("timing_log_blank_row").alias("category"), F.col("line_number").alias("row_number"),
+        F.col("source_file").alias("detail"),
+    )
+
+
+def sheet_errors(lines: DataFrame) -> DataFrame:
+    """Sheets that fail their case: empty, unusable header, header only, or a row that is too short."""
+    problem = (
+        F.when(F.col("no_header") & (F.col("n_lines") == 1), "timing_log_empty")
+        .when(F.col("at").isNull(), "timing_log_columns_missing")
+        .when(F.col("n_lines") == 1, "timing_log_header_only")
+        .when((F.col("line_number") > 1) & _is_short(), "timing_log_short_row")
+    )
+    bad = _located(lines).withColumn("error", problem).filter(F.col("error").isNotNull())
+    return bad.groupBy(*KEYS).agg(
+        F.min("line_number").alias("row_number"), F.min_by("error", "line_number").alias("error")
+    )

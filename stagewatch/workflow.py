@@ -176,3 +176,11 @@ def event_order(kind: str = "event_type") -> list[Column]:
         F.col(kind),
         F.col("source_detail"),
     ]
+
+
+def as_warnings(df: DataFrame, category: str | Column, row_number: Column, detail: Column) -> DataFrame:
+    """Long warning rows: keys, category, row_number, detail."""
+    return df.select(
+        *KEYS, (F.lit(category) if isinstance(category, str) else category).alias("category"),
+        row_number.cast("bigint").alias("row_number"), detail.cast("string").alias("detail"),
+    )
