@@ -21,8 +21,11 @@ def blank_to_null(text: Column) -> Column:
 
 
 def _wall_clock(text: Column, shape: str) -> Column:
-    """Wall clock of an ISO text: the offset is dropped, the fraction cut to microseconds."""
-    return F.when(F.trim(text).rlike(shape), F.trim(text).try_cast("timestamp_ntz"))
+    """Wall clock of an ISO text: the offset is dropped, the fraction cut to microseconds.
+
+    The text appears once, so a derived column is not evaluated repeatedly.
+    """
+    return F.regexp_extract(F.trim(text), shape, 0).try_cast("timestamp_ntz")
 
 
 def strict_timestamp(text: Column) -> Column:
@@ -65,10 +68,8 @@ def optional_int(text: Column) -> Column:
 
 def micros(ts: Column) -> Column:
     """Microseconds since 1970-01-01 on the wall clock, independent of the session time zone."""
-    second = (F.extract(F.lit("SECOND"), ts) * MICROS).cast("bigint")
-    day = F.unix_date(ts.cast("date")).cast("bigint")
-    minute = (F.hour(ts) * 60 + F.minute(ts)).cast("bigint")
-    return day * DAY_US + minute * (60 * MICROS) + second
+    elapsed = (ts - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")).cast("interval second")
+    return (elapsed.cast("decimal(20,6)") * MICROS).cast("bigint")
 
 
 def from_micros(us: Column) -> Column:

@@ -36,13 +36,17 @@ def slice_hot_groups(
     order: Order,
     max_rows: int | None = None,
     sized_by: DataFrame | None = None,
+    largest: int | None = None,
 ) -> DataFrame:
     """Label the rows of oversized groups with ``group_slice``; other data comes back unchanged.
 
     ``order`` must be a total order within a group.  ``sized_by`` may be a cheaper DataFrame with
     the same keys and (about) the same group sizes, used only for finding the oversized groups.
+    ``largest`` is the size of the largest group where the caller knows it.
     """
     limit = max_rows or slice_rows_limit(df)
+    if largest is not None and largest <= limit:
+        return df
     sizes = (df if sized_by is None else sized_by).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     totals = sizes.agg(F.max("n").alias("largest"), F.sum("n").alias("rows")).first()
     if totals["largest"] is None or totals["largest"] <= limit:
@@ -157,9 +161,17 @@ def next_value(df: DataFrame, keys: Sequence[str], order: Order, name: str, valu
     return local.withColumn(name, F.col(f"{name}.v"))
 
 
-def group_values(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:
-    """Add aggregates over the whole group to each of its rows."""
-    local = df.select("*", *[agg.over(group_window(df, keys)).alias(name) for name, agg in aggs.items()])
+def group_values(
+    df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column], order: Order | None = None
+) -> DataFrame:
+    """Add aggregates over the whole group to each of its rows.
+
+    With ``order`` the rows are sorted as the ordered steps around need them, so they share one sort.
+    """
+    window = group_window(df, keys)
+    if order is not None:
+        window = window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    local = df.select("*", *[agg.over(window).alias(name) for name, agg in aggs.items()])
     if not is_sliced(df):
         return local
     hot = df.filter(F.col(SLICE).isNotNull())

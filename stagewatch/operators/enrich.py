@@ -147,9 +147,10 @@ EVENT_COLUMNS = [
 def enrich(kept_events: DataFrame, *synthetic: DataFrame, with_payload: bool = False) -> DataFrame:
     """Union of the log's events and the synthetic ones, in one schema.
 
-    Cases that have no log rows left (failed or filtered) must already be absent from ``synthetic``.
+    A mark ``is_bad`` on log rows is kept, so that a failing case can be removed with its synthetic events.
     """
-    columns = EVENT_COLUMNS + (["raw_payload"] if with_payload else [])
+    marked = "is_bad" in kept_events.columns
+    columns = EVENT_COLUMNS + (["raw_payload"] if with_payload else []) + (["is_bad"] if marked else [])
     merged = kept_events.withColumns({
         "is_synthetic": F.lit(False),
         "source_detail": F.lit("normalized_audit_event"),
@@ -163,11 +164,12 @@ def enrich(kept_events: DataFrame, *synthetic: DataFrame, with_payload: bool = F
             "event_kind": F.lit(None).cast("int"),
             "drop_reason": F.lit(None).cast("string"),
             "row_number": F.lit(None).cast("bigint"),
+            **({"is_bad": F.lit(False)} if marked else {}),
         }).select(*columns))
     return merged
 
 
-def inject_session_rows(raw: DataFrame, sessions: DataFrame) -> DataFrame:
+def inject_session_rows(raw: DataFrame, sessions: DataFrame, largest_case: int | None = None) -> DataFrame:
     """Script profile: session times become log rows cloned from the first log row of the case.
 
     New rows get the row numbers after the last one; a row whose type and time text are already in
@@ -190,7 +192,7 @@ def inject_session_rows(raw: DataFrame, sessions: DataFrame) -> DataFrame:
     logged = raw.select(*KEYS, "raw_event_type", "raw_timestamp")
     fresh = wanted.join(logged, [*KEYS, "raw_event_type", "raw_timestamp"], "left_anti")
     order = [F.col("session_row"), F.col("at")]
-    numbered = row_position(slice_hot_groups(fresh, KEYS, order), KEYS, order, "nth").drop(SLICE)
+    numbered = row_position(slice_hot_groups(fresh, KEYS, order, sized_by=sessions, largest=largest_case), KEYS, order, "nth").drop(SLICE)
     added = numbered.join(template, KEYS).select(
         *KEYS, (F.col("last_row") + F.col("nth")).alias("row_number"), "raw_timestamp", "raw_event_type",
         "first.raw_segment_id", "first.raw_event_kind", "first.raw_payload",

@@ -38,22 +38,34 @@ def _row_error() -> Column:
     )
 
 
+def _usable() -> Column:
+    return F.col("timestamp").isNotNull() & F.col("event_type").isNotNull()
+
+
 def case_errors(raw: DataFrame) -> DataFrame:
     """First bad row of every failing case: keys, row_number, error."""
-    bad = _typed(raw).select(*KEYS, "row_number", _row_error().alias("error")).filter(F.col("error").isNotNull())
+    bad = _typed(raw).filter(~_usable()).select(*KEYS, "row_number", _row_error().alias("error"))
     return bad.groupBy(*KEYS).agg(
         F.min("row_number").alias("row_number"), F.min_by("error", "row_number").alias("error")
     )
 
 
 def normalize_events(raw: DataFrame, workflow: Workflow = DEFAULT, on_error: str = "fail_case") -> DataFrame:
-    """Typed rows with ``is_dropped``; ``on_error`` is ``fail_case`` (one bad row removes its case) or ``drop_row``."""
-    noise = F.col("event_type") == workflow.noise_type
-    typed = _typed(raw).filter(_row_error().isNull())
+    """Typed rows with ``is_dropped``.
+
+    ``on_error``: ``fail_case`` removes a case with a bad row, ``drop_row`` only the row, and ``mark``
+    keeps every row with ``is_bad`` set, for a later per-case step to decide without another scan.
+    """
+    noise = F.coalesce(F.col("event_type") == workflow.noise_type, F.lit(False))
+    typed = _typed(raw)
+    if on_error == "mark":
+        typed = typed.withColumn("is_bad", ~_usable())
+    elif on_error in ("fail_case", "drop_row"):
+        typed = typed.filter(_usable())
+    else:
+        raise ValueError(f"on_error must be fail_case, drop_row or mark, got {on_error!r}")
     if on_error == "fail_case":
         typed = typed.join(case_errors(raw).select(*KEYS), KEYS, "left_anti")
-    elif on_error != "drop_row":
-        raise ValueError(f"on_error must be fail_case or drop_row, got {on_error!r}")
     return typed.drop("raw_timestamp").withColumns({
         "ts_us": coerce.micros(F.col("timestamp")),
         "source": F.lit("auditlog"),

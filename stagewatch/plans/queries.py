@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from stagewatch import sinks
 from stagewatch.functions.coerce import safe_name
-from stagewatch.functions.ordered import SLICE
+from stagewatch.functions.durable import durable
 from stagewatch.operators import (
     diagnostics, enrich, intervals, normalize, sanity, schedule, states, stats, summary, timeline, warnings,
 )
 from stagewatch.plans.site_run import ScriptRun, SiteRun
 from stagewatch.sources import driver_tables as tables
 from stagewatch.sources import listing
-from stagewatch.workflow import KEYS, STATE_NAMES
+from stagewatch.workflow import KEYS, SESSION_FIELDS, TIMING_LABELS
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,11 +30,20 @@ def query(fn: Query) -> Query:
 
 
 def site_run(spark: SparkSession, sf_dir: str, **options) -> SiteRun:
-    return SiteRun(tables.raw_events(spark, sf_dir), tables.sessions(spark, sf_dir), tables.timing_log(spark, sf_dir), **options)
+    return SiteRun(
+        tables.raw_events(spark, sf_dir), tables.sessions(spark, sf_dir), tables.timing_log(spark, sf_dir),
+        largest_case=largest(spark, sf_dir), **options,
+    )
+
+
+def largest(spark: SparkSession, sf_dir: str) -> int:
+    """Upper bound for the events of one case: its log rows plus the few synthetic ones."""
+    return tables.largest_case(spark, sf_dir) + len(SESSION_FIELDS) + len(TIMING_LABELS)
 
 
 def script_run(spark: SparkSession, sf_dir: str) -> ScriptRun:
-    return ScriptRun(tables.raw_events(spark, sf_dir), tables.sessions(spark, sf_dir))
+    return ScriptRun(
+        tables.raw_events(spark, sf_dir), tables.sessions(spark, sf_dir), largest_case=largest(spark, sf_dir))
 
 
 def case_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,14 +54,23 @@ def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.timing_summary(site_run(spark, sf_dir).intervals)
 
 
+def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary written once: statistics read it several times, and it is far smaller than the log."""
+    return durable(wide(spark, sf_dir))
+
+
 def long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summary.to_long(wide(spark, sf_dir))
+    return summary.to_long(stored(spark, sf_dir))
 
 
 def timeline_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timeline.timeline_rows(site_run(spark, sf_dir).intervals)
 
 
+def stored_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return durable(timeline_of(spark, sf_dir))
+
+
 def rounded(df: DataFrame, columns: Sequence[str] | None = None, digits: int = 6) -> DataFrame:
     """Doubles at a fixed number of digits, so that summation order cannot show."""
     names = columns or [f.name for f in df.schema if f.dataType.simpleString() == "double"]
@@ -229,7 +247,7 @@ def state_intervals(spark, sf):
 @query
 def state_intervals_arrival(spark, sf):
     """Intervals of the log rows alone, with the check of the order they arrived in."""
-    run = SiteRun(tables.raw_events(spark, sf))
+    run = SiteRun(tables.raw_events(spark, sf), largest_case=largest(spark, sf))
     rows = intervals.state_intervals(run.labelled, arrival="row_number")
     return rows.select(*KEYS, "row_number", "event_type", "state", "duration_sec", "non_monotonic", "reordered")
 
@@ -355,7 +373,7 @@ def box_stats(spark, sf):
 
 @query
 def box_stats_localization(spark, sf):
-    merged = summary.merge_phases(wide(spark, sf))
+    merged = summary.merge_phases(stored(spark, sf))
     return rounded(stats.box_stats(summary.to_long(merged, ("Localization", "Treating", "Review"))))
 
 
@@ -371,7 +389,7 @@ def longest_cases(spark, sf):
 
 @query
 def cohorts(spark, sf):
-    out = stats.cohorts(wide(spark, sf), case_table(spark, sf)).select(*KEYS, "Pt", "cohort", "MRITotal")
+    out = stats.cohorts(stored(spark, sf), case_table(spark, sf)).select(*KEYS, "Pt", "cohort", "MRITotal")
     return rounded(out)
 
 
@@ -383,7 +401,7 @@ def case_trend(spark, sf):
 
 @query
 def describe_totals(spark, sf):
-    totals = summary.to_long(wide(spark, sf), ["MRITotal"])
+    totals = summary.to_long(stored(spark, sf), ["MRITotal"])
     return rounded(stats.describe(totals))
 
 
@@ -413,7 +431,7 @@ def timeline_states(spark, sf):
 
 @query
 def timeline_normalized(spark, sf):
-    return rounded(timeline.normalized_timeline(timeline_of(spark, sf)))
+    return rounded(timeline.normalized_timeline(stored_timeline(spark, sf)))
 
 
 @query
@@ -428,7 +446,7 @@ def clock_ticks(spark, sf):
 
 @query
 def axis_window(spark, sf):
-    return rounded(timeline.axis_window(timeline_of(spark, sf)))
+    return rounded(timeline.axis_window(stored_timeline(spark, sf)))
 
 
 @query
@@ -438,7 +456,7 @@ def midnight_crossings(spark, sf):
 
 @query
 def timeline_warnings(spark, sf):
-    return warnings.timeline_warnings(site_run(spark, sf).intervals)
+    return warnings.timeline_warnings(site_run(spark, sf, materialize=True).intervals)
 
 
 @query
@@ -465,12 +483,12 @@ def schedule_projection(spark, sf):
 
 @query
 def schedule_risk(spark, sf):
-    return rounded(schedule.schedule_risk(schedule.schedule_projection(wide(spark, sf))))
+    return rounded(schedule.schedule_risk(schedule.schedule_projection(stored(spark, sf))))
 
 
 @query
 def schedule_bootstrap(spark, sf):
-    days = schedule.bootstrap_days(wide(spark, sf), cases=case_table(spark, sf))
+    days = schedule.bootstrap_days(stored(spark, sf), cases=case_table(spark, sf))
     return rounded(schedule.schedule_risk(days))
 
 

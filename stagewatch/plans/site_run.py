@@ -6,9 +6,10 @@ from dataclasses import dataclass
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from stagewatch.functions.durable import durable
-from stagewatch.functions.ordered import slice_hot_groups
+from stagewatch.functions.ordered import group_values, slice_hot_groups
 from stagewatch.operators import enrich, intervals, normalize, states, warnings
 from stagewatch.workflow import DEFAULT, KEYS, SCRIPT, Workflow, event_order
 
@@ -25,6 +26,7 @@ class SiteRun:
     sessions: DataFrame | None = None
     timing_sheet: DataFrame | None = None
     workflow: Workflow = DEFAULT
+    largest_case: int | None = None  # rows of the largest case, where known from statistics
     materialize: bool = False  # write the intervals once when several consumers read them
     other_errors: DataFrame | None = None  # keys, row_number, error: unreadable files, bad sheets
 
@@ -50,26 +52,31 @@ class SiteRun:
 
     @cached_property
     def enriched(self) -> DataFrame:
+        """Rows of oversized cases also carry their slice."""
         return self.enrich()
 
     def enrich(self, with_payload: bool = False) -> DataFrame:
-        """Log and synthetic events of the healthy cases; failing cases leave in one anti join."""
+        """Log and synthetic events of the healthy cases.
+
+        A bad row is found while the case is being ordered anyway, so the log is scanned once and
+        failing cases need no join.
+        """
         synthetic = []
         if self.sessions is not None:
             synthetic.append(enrich.session_events(self.sessions))
         if self.timing_sheet is not None:
             synthetic.append(enrich.timing_log_events(self.timing_sheet))
-        events = normalize.kept(normalize.normalize_events(self.raw, self.workflow, on_error="drop_row"))
-        return self._healthy(enrich.enrich(events, *synthetic, with_payload=with_payload))
-
-    @cached_property
-    def ordered(self) -> DataFrame:
-        """Enriched events, with the rows of oversized cases assigned to slices."""
-        return slice_hot_groups(self.enriched, KEYS, event_order(), sized_by=self.raw)
+        events = normalize.kept(normalize.normalize_events(self.raw, self.workflow, on_error="mark"))
+        merged = enrich.enrich(events, *synthetic, with_payload=with_payload)
+        if self.other_errors is not None:
+            merged = merged.join(self.other_errors.select(*KEYS), KEYS, "left_anti")
+        merged = slice_hot_groups(merged, KEYS, event_order(), sized_by=self.raw, largest=self.largest_case)
+        checked = group_values(merged, KEYS, {"__failed": F.max("is_bad")}, event_order())
+        return checked.filter(~F.col("__failed")).drop("__failed", "is_bad")
 
     @cached_property
     def labelled(self) -> DataFrame:
-        return states.label_states(self.ordered, self.workflow)
+        return states.label_states(self.enriched, self.workflow)
 
     @cached_property
     def intervals(self) -> DataFrame:
@@ -94,16 +101,17 @@ class ScriptRun:
     raw: DataFrame
     sessions: DataFrame | None = None
     workflow: Workflow = SCRIPT
+    largest_case: int | None = None
 
     @cached_property
     def injected(self) -> DataFrame:
-        return self.raw if self.sessions is None else enrich.inject_session_rows(self.raw, self.sessions)
+        return self.raw if self.sessions is None else enrich.inject_session_rows(self.raw, self.sessions, self.largest_case)
 
     @cached_property
     def ordered(self) -> DataFrame:
         events = enrich.enrich(normalize.kept(
             normalize.normalize_events(self.injected, self.workflow, on_error="drop_row")))
-        return slice_hot_groups(events, KEYS, event_order(), sized_by=self.raw)
+        return slice_hot_groups(events, KEYS, event_order(), sized_by=self.raw, largest=self.largest_case)
 
     @cached_property
     def labelled(self) -> DataFrame:

@@ -5,6 +5,8 @@ Every user is one case.  All formulas are integer or text arithmetic on ``events
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@lru_cache(maxsize=64)
+def largest_case(spark: SparkSession, sf_dir: str) -> int:
+    """Rows of the largest case: a table statistic, taken once per session and folder."""
+    sizes = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(F.max("n")).first()[0] or 0
+
+
 def _site(user: Column) -> Column:
     return F.concat(F.lit("S"), F.pmod(user, F.lit(4)).cast("string"))
 
@@ -57,8 +66,9 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         micros(F.col("ts")).alias("us"), "props",
         F.get_json_object("props", "$.k").cast("bigint").alias("k"),
     ).withColumn("arrival_us", us + F.when(k % 17 == 0, F.lit(DAY_US)).otherwise(F.lit(0)))
-    events = slice_hot_groups(events, KEYS, arrival)
-    events = row_position(group_values(events, KEYS, {"base": F.min("us")}), KEYS, arrival, "row_number").drop(SLICE)
+    events = slice_hot_groups(events, KEYS, arrival, largest=largest_case(spark, sf_dir))
+    events = row_position(events, KEYS, arrival, "row_number")
+    events = group_values(events, KEYS, {"base": F.min("us")}, arrival).drop(SLICE)
     quarter = F.lit(900 * MICROS)
     squeezed = F.expr("(base + (us - base) div 12) div 900000000") * quarter
     day = _stamp(F.col("cus")).substr(1, 10)
