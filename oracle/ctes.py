@@ -394,6 +394,14 @@ CTES: dict[str, str] = {
         FROM c_discovered""",
 }
 
+# The same chain over the log rows alone: every name of the chain gets the prefix c_log_.
+_CHAIN = [n for n in CTES if n in ("c_ordered", "c_prior", "c_labelled") or n.startswith(("c_sm_", "c_marks"))
+          or n in ("c_anchor_pos", "c_end_pos", "c_cases", "c_gaps", "c_steps_1", "c_steps_2", "c_steps_3", "c_intervals")]
+CTES["c_log_enriched"] = "SELECT * FROM c_enriched WHERE source = 'auditlog'"
+for _name in _CHAIN:
+    CTES["c_log_" + _name[2:]] = re.sub(
+        r"\bc_(" + "|".join(n[2:] for n in [*_CHAIN, "c_enriched"]) + r")\b", r"c_log_\1", CTES[_name])
+
 _NAME = re.compile(r"\bc_[a-z_0-9]+\b")
 
 

@@ -173,6 +173,10 @@ STATEMENTS: dict[str, str] = {
     "rebase_anchors": "SELECT site_code, case_id, rebase_anchor, (anchor_us - first_us) / 1000000.0::DOUBLE AS anchor_sec, anchor_warning FROM c_cases",
     "case_end": "SELECT site_code, case_id, end_pos, end_us, end_row, end_state, n_rows FROM c_cases",
     "state_intervals": f"SELECT {EVENT}, state, start_us / 1000000.0::DOUBLE AS start_sec, duration_us / 1000000.0::DOUBLE AS duration_sec, rebase_anchor, flags AS quality_flags FROM c_intervals",
+    "state_intervals_arrival": """SELECT i.site_code, i.case_id, row_number, event_type, state, duration_us / 1000000.0::DOUBLE AS duration_sec, non_monotonic, reordered
+        FROM c_log_intervals i JOIN (SELECT site_code, case_id, bool_or(coalesce(prev_us > ts_us, FALSE)) AS non_monotonic, bool_or(nth <> pos) AS reordered
+          FROM (SELECT *, lag(ts_us) OVER w AS prev_us, row_number() OVER w - 1 AS nth FROM c_log_intervals WINDOW w AS (PARTITION BY site_code, case_id ORDER BY row_number))
+          GROUP BY site_code, case_id) o ON o.site_code = i.site_code AND o.case_id = i.case_id""",
     "interval_warnings": f"SELECT {WARNING} FROM c_interval_warnings",
     "relative_times": f"""SELECT site_code, case_id, row_number, (ts_us - min(ts_us) OVER (PARTITION BY {CASE})) / 1000000.0::DOUBLE AS start_sec,
         coalesce(lead(ts_us) OVER (PARTITION BY {CASE} ORDER BY ts_us, row_number) - ts_us, 0) / 1000000.0::DOUBLE AS duration_sec FROM c_norm WHERE event_type <> 'SignalRecord'""",

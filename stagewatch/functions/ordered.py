@@ -100,6 +100,11 @@ def is_sliced(df: DataFrame) -> bool:
     return SLICE in df.columns
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """Write sliced rows once, so that the per-slice tables of later steps do not start from the source."""
+    return durable(df) if is_sliced(df) else df
+
+
 def group_window(df: DataFrame, keys: Sequence[str]):
     return Window.partitionBy(*keys, *([SLICE] if is_sliced(df) else []))
 
@@ -156,8 +161,9 @@ def next_value(df: DataFrame, keys: Sequence[str], order: Order, name: str, valu
     if is_sliced(df):
         firsts = _slice_rows(df, keys, [F.min_by(boxed, F.struct(*order)).alias("__first")])
         following = Window.partitionBy(*keys).orderBy(SLICE)
-        carried = firsts.select(*keys, SLICE, F.lead("__first").over(following).alias("__next"))
-        local = _attach_slices(local, keys, carried).withColumn(name, F.coalesce(name, "__next")).drop("__next")
+        carried = firsts.select(*keys, SLICE, F.lead("__first").over(following).alias("__following"))
+        local = _attach_slices(local, keys, carried)
+        local = local.withColumn(name, F.coalesce(name, "__following")).drop("__following")
     return local.withColumn(name, F.col(f"{name}.v"))
 
 

@@ -147,6 +147,7 @@ def setup_positions(events: DataFrame) -> DataFrame:
         "uh_first": F.min(pick("PSHomingRecord")),
         "uh_last": F.max(pick("PSHomingRecord")),
         "uh_count": F.count(pick("PSHomingRecord")),
+        "first_us": F.min("ts_us"),
     })
     early = F.col("pos") < F.col("al.pos")
     out = group_values(out, KEYS, {
@@ -183,7 +184,7 @@ def adjust_setup(labelled: DataFrame) -> DataFrame:
         .when(inserting, "Device insertion")
         .otherwise(F.col("state"))
     )
-    return out.withColumn("state", state).drop(*LANDMARKS)
+    return out.withColumn("state", state).drop(*LANDMARKS, "first_us")
 
 
 def script_times(adjusted: DataFrame) -> DataFrame:

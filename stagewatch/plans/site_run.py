@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stagewatch.functions.durable import durable
-from stagewatch.functions.ordered import group_values, slice_hot_groups
+from stagewatch.functions.ordered import group_values, settled, slice_hot_groups
 from stagewatch.operators import enrich, intervals, normalize, states, warnings
 from stagewatch.workflow import DEFAULT, KEYS, SCRIPT, Workflow, event_order
 
@@ -72,11 +72,11 @@ class SiteRun:
             merged = merged.join(self.other_errors.select(*KEYS), KEYS, "left_anti")
         merged = slice_hot_groups(merged, KEYS, event_order(), sized_by=self.raw, largest=self.largest_case)
         checked = group_values(merged, KEYS, {"__failed": F.max("is_bad")}, event_order())
-        return checked.filter(~F.col("__failed")).drop("__failed", "is_bad")
+        return settled(checked.filter(~F.col("__failed")).drop("__failed", "is_bad"))
 
     @cached_property
     def labelled(self) -> DataFrame:
-        return states.label_states(self.enriched, self.workflow)
+        return settled(states.label_states(self.enriched, self.workflow))
 
     @cached_property
     def intervals(self) -> DataFrame:
@@ -111,15 +111,16 @@ class ScriptRun:
     def ordered(self) -> DataFrame:
         events = enrich.enrich(normalize.kept(
             normalize.normalize_events(self.injected, self.workflow, on_error="drop_row")))
-        return slice_hot_groups(events, KEYS, event_order(), sized_by=self.raw, largest=self.largest_case)
+        return settled(slice_hot_groups(
+            events, KEYS, event_order(), sized_by=self.raw, largest=self.largest_case))
 
     @cached_property
     def labelled(self) -> DataFrame:
-        return states.label_states_script(self.ordered, self.workflow)
+        return settled(states.label_states_script(self.ordered, self.workflow))
 
     @cached_property
     def adjusted(self) -> DataFrame:
-        return states.adjust_setup(self.labelled)
+        return settled(states.adjust_setup(self.labelled))
 
     @cached_property
     def timed(self) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stagewatch.functions.coerce import DAY_US, MICROS, from_micros, micros
-from stagewatch.functions.ordered import SLICE, group_values, row_position, slice_hot_groups
+from stagewatch.functions.ordered import SLICE, group_values, row_position, settled, slice_hot_groups
 from stagewatch.workflow import KEYS
 
 # Event types of the binding, index 0-39.
@@ -66,7 +66,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         micros(F.col("ts")).alias("us"), "props",
         F.get_json_object("props", "$.k").cast("bigint").alias("k"),
     ).withColumn("arrival_us", us + F.when(k % 17 == 0, F.lit(DAY_US)).otherwise(F.lit(0)))
-    events = slice_hot_groups(events, KEYS, arrival, largest=largest_case(spark, sf_dir))
+    events = settled(slice_hot_groups(events, KEYS, arrival, largest=largest_case(spark, sf_dir)))
     events = row_position(events, KEYS, arrival, "row_number")
     events = group_values(events, KEYS, {"base": F.min("us")}, arrival).drop(SLICE)
     quarter = F.lit(900 * MICROS)
