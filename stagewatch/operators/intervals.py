@@ -11,7 +11,7 @@ from stagewatch.functions.ordered import (
     SLICE, group_values, group_window, is_sliced, next_value, running_before, slice_hot_groups,
 )
 from stagewatch.operators.states import LANDMARKS, setup_positions
-from stagewatch.workflow import DEFAULT, KEYS, Workflow, event_order
+from stagewatch.workflow import DEFAULT, KEYS, Workflow, event_order, quoted
 
 
 def is_unassigned(state: Column, workflow: Workflow = DEFAULT) -> Column:
@@ -94,51 +94,53 @@ def state_intervals(labelled: DataFrame, workflow: Workflow = DEFAULT, arrival:
     out = case_ends(rebase_anchors(out), workflow)
     out = next_value(out, KEYS, event_order(), "next_us", F.col("ts_us"))
 
-    limit = F.lit(workflow.large_gap_sec * MICROS)
-    state = F.coalesce(F.trim("state"), F.lit(""))
-    out = out.withColumns({
-        "raw_us": F.col("next_us") - F.col("ts_us"),
-        "to_end_us": F.col("case_end.ts_us") - F.col("ts_us"),
-        "u": state.isin(*workflow.unassigned),
-        "t": state.isin(*workflow.terminal_states),
-        "e": state.isin(*workflow.early_states),
-        "sparse": F.coalesce(F.col("state_assignment_rule").isin(*workflow.sparse_rules), F.lit(False))
-        | F.col("event_type").isin(*workflow.sparse_types)
-        | (F.col("is_synthetic") & (F.col("source") == "sessions")),
-    })
-    moving = F.coalesce(F.col("raw_us") > 0, F.lit(False))
-    out = out.withColumns({
-        "large": moving & (F.col("raw_us") > limit),
-        "past": moving & (F.col("next_us") > F.col("case_end.ts_us")),
-        "cap_us": F.when((F.col("to_end_us") > 0) & (F.col("to_end_us") < limit), F.col("to_end_us")).otherwise(limit),
-    })
-    clamp = F.col("past") & (F.col("u") | F.col("t"))
-    out = out.withColumn("step1", F.when(clamp, F.greatest(F.lit(0), F.col("to_end_us"))).otherwise(F.col("raw_us")))
-    early = F.col("large") & F.col("e") & F.col("sparse") & (F.col("cap_us") < F.col("step1"))
-    out = out.withColumns({"early_cut": early, "step2": F.when(early, F.col("cap_us")).otherwise(F.col("step1"))})
-    big = F.col("large") & (F.col("u") | F.col("t") | F.col("past"))
-    duration = F.when(~moving, F.lit(0)).when(big, F.least("step2", "cap_us")).otherwise(F.col("step2"))
-    start = F.col("ts_us") - F.col("anchor_us")
-    flags = F.array_distinct(F.array_compact(F.array(
-        F.when(F.col("non_monotonic"), "non_monotonic_input"),
-        F.when(F.col("reordered"), "input_reordered"),
-        F.when(F.col("raw_us") == 0, "zero_duration_to_next"),
-        F.when(clamp & F.col("t"), "interval_terminal_state_clamped"),
-        F.when(clamp & F.col("u"), "interval_unassigned_state_truncated"),
-        F.when(F.col("early_cut"), "interval_early_state_truncated"),
-        F.when(F.col("early_cut") | big, "interval_truncated_large_gap"),
-        F.when(big & F.col("t"), "interval_terminal_state_clamped"),
-        F.when(big & F.col("u"), "interval_unassigned_state_truncated"),
-        F.when(start < 0, "negative_rebased_start"),
-        F.when(start < 0, "negative_rebased_start_expected_pre_anchor"),
-    )))
-    return out.withColumns({
-        "duration_us": duration.cast("bigint"), "start_us": start, "quality_flags": flags,
-    }).withColumns({
-        "start_sec": F.col("start_us") / 1e6,
-        "duration_sec": F.col("duration_us") / 1e6,
-        "raw_duration_sec": F.col("raw_us") / 1e6,
-    }).drop("u", "t", "e", "sparse", "large", "past", "cap_us", "step1", "step2", "to_end_us", "prior_state")
+    def one_of(column: str, items) -> str:
+        return f"{column} IN ({', '.join(quoted(i) for i in items)})"
+
+    def steps(df: DataFrame, **columns: str) -> DataFrame:
+        return df.withColumns({name: F.expr(text) for name, text in columns.items()})
+
+    state, limit = "coalesce(trim(state), '')", workflow.large_gap_sec * MICROS
+    out = steps(
+        out,
+        raw_us="next_us - ts_us",
+        to_end_us="case_end.ts_us - ts_us",
+        u=one_of(state, workflow.unassigned),
+        t=one_of(state, workflow.terminal_states),
+        e=one_of(state, workflow.early_states),
+        sparse=f"coalesce({one_of('state_assignment_rule', workflow.sparse_rules)}, false)"
+        f" OR {one_of('event_type', workflow.sparse_types)} OR (is_synthetic AND source = 'sessions')",
+        start_us="ts_us - anchor_us",
+    )
+    out = steps(
+        out,
+        moving="coalesce(raw_us > 0, false)",
+        large=f"coalesce(raw_us > {limit}, false)",
+        past="coalesce(raw_us > 0 AND next_us > case_end.ts_us, false)",
+        cap_us=f"IF(to_end_us > 0 AND to_end_us < {limit}, to_end_us, {limit})",
+    )
+    # Terminal and unassigned states end with the case; early states with sparse evidence and all
+    # large gaps past the end are cut to the cap.
+    out = steps(out, clamp="past AND (u OR t)", big="large AND (u OR t OR past)")
+    out = steps(out, step1="IF(clamp, greatest(0, to_end_us), raw_us)")
+    out = steps(out, early_cut="large AND e AND sparse AND cap_us < step1")
+    out = steps(out, step2="IF(early_cut, cap_us, step1)")
+    flags = [
+        ("non_monotonic", "non_monotonic_input"), ("reordered", "input_reordered"), ("raw_us = 0", "zero_duration_to_next"),
+        ("clamp AND t", "interval_terminal_state_clamped"), ("clamp AND u", "interval_unassigned_state_truncated"),
+        ("early_cut", "interval_early_state_truncated"), ("early_cut OR big", "interval_truncated_large_gap"),
+        ("big AND t", "interval_terminal_state_clamped"), ("big AND u", "interval_unassigned_state_truncated"),
+        ("start_us < 0", "negative_rebased_start"), ("start_us < 0", "negative_rebased_start_expected_pre_anchor"),
+    ]
+    listed = ", ".join(f"IF({condition}, '{flag}', NULL)" for condition, flag in flags)
+    out = steps(
+        out,
+        duration_us="CAST(CASE WHEN NOT moving THEN 0 WHEN big THEN least(step2, cap_us) ELSE step2 END AS BIGINT)",
+        quality_flags=f"array_distinct(array_compact(array({listed})))",
+    )
+    out = steps(out, start_sec="start_us / 1e6D", duration_sec="duration_us / 1e6D", raw_duration_sec="raw_us / 1e6D")
+    return out.drop("u", "t", "e", "sparse", "moving", "large", "past", "clamp", "big", "cap_us", "step1", "step2",
+                    "to_end_us", "prior_state")
 
 
 def relative_times(

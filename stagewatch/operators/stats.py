@@ -11,7 +11,7 @@ from stagewatch.functions.coerce import capped
 from stagewatch.functions.ordered import ranked
 from stagewatch.functions.quantiles import exact_quantiles
 from stagewatch.operators.summary import MINUTE_US
-from stagewatch.workflow import KEYS, STATE_NAMES
+from stagewatch.workflow import KEYS, STATE_NAMES, text_array
 
 GROUP = ["site_code", "phase"]
 MAX_MINUTES = 1000.0
@@ -152,7 +152,7 @@ def case_trend(long: DataFrame, max_minutes: float = MAX_MINUTES, cases: DataFra
     """Minutes against the position of the case in id order, NULLs removed first."""
     rows = cap_minutes(long, max_minutes).filter(F.col("minutes").isNotNull())
     if cases is not None:
-        cases = cases.withColumn("phase", F.explode(F.array(*[F.lit(s) for s in STATE_NAMES])))
+        cases = cases.withColumn("phase", F.explode(text_array(STATE_NAMES)))
     return ranked(rows, GROUP, [F.col("case_id")], "case_index", sized_by=cases)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stagewatch.functions.coerce import require_columns
 from stagewatch.functions.ordered import ranked
-from stagewatch.workflow import KEYS, MRI_STATES, PHASE_GROUPS, STATE_NAMES
+from stagewatch.workflow import KEYS, MRI_STATES, PHASE_GROUPS, STATE_NAMES, quoted
 
 MINUTE_US = 60_000_000
 TOTALS = ("MRITotal", "ProcedureTotal", "TotalMinutes")
@@ -38,7 +38,7 @@ def _minutes(us: Column) -> Column:
 
 
 def _sum(names: Iterable[str]) -> Column:
-    return reduce(lambda a, b: a + b, [F.col(f"`{n}`") for n in names])
+    return F.expr(" + ".join(f"`{n}`" for n in names))
 
 
 def timing_summary(
@@ -52,11 +52,11 @@ def timing_summary(
     The pivot list is fixed, so the schema never depends on the data.  A state outside the list
     still counts in ``TotalMinutes``.
     """
-    listed = F.col("state").isin(*states)
     long = phase_micros(intervals, positive_only)
+    names = ", ".join(quoted(s) for s in states)
     wide = long.groupBy(*KEYS).agg(
-        *[F.coalesce(F.sum(F.when(F.col("state") == s, F.col("phase_us"))), F.lit(0)).alias(s) for s in states],
-        F.coalesce(F.sum(F.when(~listed, F.col("phase_us"))), F.lit(0)).alias("__other"),
+        *[F.expr(f"coalesce(sum(phase_us) FILTER (WHERE state = {quoted(s)}), 0) AS `{s}`") for s in states],
+        F.expr(f"coalesce(sum(phase_us) FILTER (WHERE state NOT IN ({names})), 0) AS __other"),
     )
     mri = [s for s in MRI_STATES if s in states]
     sums = {

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from stagewatch.functions.coerce import DAY_US, MICROS, from_micros, micros
 from stagewatch.functions.ordered import SLICE, group_values, row_position, settled, slice_hot_groups
-from stagewatch.workflow import KEYS
+from stagewatch.workflow import KEYS, text_array
 
 # Event types of the binding, index 0-39.
 TYPES = (
@@ -78,7 +78,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             *KEYS, "row_number",
             F.when((user % 50 == 49) & (F.col("row_number") == 1), "not-a-date")
             .otherwise(F.concat(_stamp(F.col("cus")), F.lit(".0000000"))).alias("raw_timestamp"),
-            F.get(F.array(*[F.lit(t) for t in TYPES]), (k % 40).cast("int")).alias("raw_event_type"),
+            F.get(text_array(TYPES), (k % 40).cast("int")).alias("raw_event_type"),
             F.when(k % 21 == 0, F.concat(_stamp(F.col("cus") - DAY_US).substr(1, 10), F.lit("_seg")))
             .when(k % 7 == 0, F.concat(day, F.lit("_seg")))
             .when(k % 7 == 1, "SEG-1").alias("raw_segment_id"),
@@ -118,7 +118,7 @@ def timing_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = F.col("base") + F.col("i").cast("bigint") * F.lit(600 * MICROS)
     return (
         _cases(spark, sf_dir).filter(F.col("user_id") % 3 == 0)
-        .select("*", F.posexplode(F.array(*[F.lit(x) for x in LABELS])).alias("i", "label"))
+        .select("*", F.posexplode(text_array(LABELS)).alias("i", "label"))
         .select(
             *KEYS,
             F.concat(F.col("case_id"), F.lit(".csv")).alias("source_file"),
@@ -139,7 +139,7 @@ FILES = (
 
 
 def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kinds = F.array(*[F.array(*[F.lit(f) for f in files]) for files in FILES])
+    kinds = F.array(*[text_array(files) for files in FILES])
     return _cases(spark, sf_dir).select(
         *KEYS, F.explode(F.get(kinds, (F.col("user_id") % 6).cast("int"))).alias("relative_path")
     ).withColumn("path", F.concat_ws("/", *KEYS, "relative_path"))

@@ -107,6 +107,16 @@ PHASE_GROUPS = {
 }
 
 
+def quoted(text: str | None) -> str:
+    """SQL string literal."""
+    return "NULL" if text is None else "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def text_array(items) -> Column:
+    """Constant array of strings as one expression."""
+    return F.expr("array(" + ", ".join(quoted(i) for i in items) + ")")
+
+
 @dataclass(frozen=True)
 class Workflow:
     """Parameters of the state machine and of the interval rules."""
@@ -138,8 +148,8 @@ class Workflow:
         return self._lookup(event_type, 2)
 
     def _lookup(self, event_type: Column, at: int) -> Column:
-        pairs = [F.lit(x) for row in self.transitions for x in (row[0], row[at])]
-        return F.try_element_at(F.create_map(*pairs), event_type)
+        pairs = ", ".join(f"{quoted(row[0])}, {quoted(row[at])}" for row in self.transitions)
+        return F.try_element_at(F.expr(f"map({pairs})"), event_type)
 
 
 DEFAULT = Workflow()
@@ -154,13 +164,13 @@ SCRIPT = replace(
 
 def state_dimension(spark: SparkSession) -> DataFrame:
     """state, ordinal (1-based), color — 16 rows, always safe to broadcast."""
-    return spark.createDataFrame(
-        [(s, i, c) for i, (s, c) in enumerate(STATES, start=1)], "state string, ordinal int, color string"
-    )
+    rows = ", ".join(f"({quoted(s)}, {i}, {quoted(c)})" for i, (s, c) in enumerate(STATES, start=1))
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(state, ordinal, color)")
 
 
 def timing_label_dimension(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(TIMING_LABELS), "label string, event_type string, selector string")
+    rows = ", ".join("(" + ", ".join(quoted(v) for v in row) + ")" for row in TIMING_LABELS)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(label, event_type, selector)")
 
 
 def event_order(kind: str = "event_type") -> list[Column]:
