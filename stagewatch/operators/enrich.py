@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stagewatch.functions import coerce
 from stagewatch.functions.ordered import SLICE, row_position, slice_hot_groups
-from stagewatch.workflow import KEYS, SESSION_FIELDS, as_warnings, timing_label_dimension
+from stagewatch.workflow import KEYS, SESSION_FIELDS, as_warnings, tie_rank, timing_label_dimension
 
 
 def session_fields(sessions: DataFrame) -> DataFrame:
@@ -139,7 +139,7 @@ def timing_log_warnings(sheet: DataFrame) -> DataFrame:
 
 
 EVENT_COLUMNS = [
-    *KEYS, "timestamp", "ts_us", "event_type", "source", "is_synthetic", "source_detail",
+    *KEYS, "timestamp", "ts_us", "tie_rank", "event_type", "source", "is_synthetic", "source_detail",
     "segment_id", "event_kind", "drop_reason", "insertion_rule", "row_number",
 ]
 
@@ -155,7 +155,7 @@ def enrich(kept_events: DataFrame, *synthetic: DataFrame, with_payload: bool = F
         "is_synthetic": F.lit(False),
         "source_detail": F.lit("normalized_audit_event"),
         "insertion_rule": F.lit(None).cast("string"),
-    }).select(*columns)
+    }).withColumn("tie_rank", tie_rank()).select(*columns)
     for part in synthetic:
         merged = merged.unionByName(part.withColumns({
             "ts_us": coerce.micros(F.col("timestamp")),
@@ -165,7 +165,7 @@ def enrich(kept_events: DataFrame, *synthetic: DataFrame, with_payload: bool = F
             "drop_reason": F.lit(None).cast("string"),
             "row_number": F.lit(None).cast("bigint"),
             **({"is_bad": F.lit(False)} if marked else {}),
-        }).select(*columns))
+        }).withColumn("tie_rank", tie_rank()).select(*columns))
     return merged
 
 

@@ -173,19 +173,21 @@ def timing_label_dimension(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {rows} AS t(label, event_type, selector)")
 
 
-def event_order(kind: str = "event_type") -> list[Column]:
-    """Total order of the events of a case; ``ts_us`` is the wall clock in microseconds."""
-    return [
-        F.col("ts_us"),
-        F.col("is_synthetic").cast("int"),
-        F.coalesce(F.col("row_number"), F.lit(10**12)),
-        F.when(F.col("source") == "auditlog", 0)
-        .when(F.col("source") == "sessions", 1)
-        .when(F.col("source") == "timing_log", 2)
-        .otherwise(99),
-        F.col(kind),
-        F.col("source_detail"),
-    ]
+def tie_rank() -> Column:
+    """Order of events of one instant as a single number: log rows by number, then sessions, then timing sheets."""
+    return F.expr(
+        "(IF(is_synthetic, 4000000000000, 0) + coalesce(row_number, 1000000000000)) * 100"
+        " + CASE source WHEN 'auditlog' THEN 0 WHEN 'sessions' THEN 1 WHEN 'timing_log' THEN 2 ELSE 99 END"
+    )
+
+
+def event_order() -> list[Column]:
+    """Total order of the events of a case, over plain columns only.
+
+    Ordering by expressions would give every window operator its own copy of them, and with it a
+    sort of its own; plain columns let all ordered steps share one sort.
+    """
+    return [F.col("ts_us"), F.col("tie_rank"), F.col("event_type"), F.col("source_detail")]
 
 
 def as_warnings(df: DataFrame, category: str | Column, row_number: Column, detail: Column) -> DataFrame:
