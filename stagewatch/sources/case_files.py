@@ -1,7 +1,7 @@
 """Read SQLite case files, plain or inside zip archives, on the executors.
 
-One file is one unit of work (``binaryFile`` rows stay under 2 GB).  The decoder is the only Python
-on the data path; it streams rows out in batches and everything after it is DataFrame work.
+One chosen file is one unit of work, so only resolved files are ever read.  The decoder is the only
+Python on the data path; it streams rows out in batches and everything after it is DataFrame work.
 """
 
 from __future__ import annotations
@@ -13,25 +13,22 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stagewatch.functions.coerce import blank_to_null, optional_int
+from stagewatch.sources.files import BATCH, open_root, read_bytes, spread
 from stagewatch.workflow import KEYS
 
 AUDIT, SESSIONS = "AuditLogRecords", "Sessions"
-ROW_SCHEMA = "path string, member string, table_name string, row_number bigint, payload string, error string"
-BATCH = 20_000
+ROW_SCHEMA = "site_code string, case_id string, path string, member string, table_name string, row_number bigint, payload string, error string"
 
 
-def _databases(path: str, content: bytes) -> Iterator[tuple[str | None, bytes]]:
-    if not path.lower().endswith(".zip"):
-        yield None, content
-        return
+def _database(content: bytes, member: str | None) -> bytes:
+    if member is None:
+        return content
     with zipfile.ZipFile(io.BytesIO(content)) as archive:
-        for name in archive.namelist():
-            if name.lower().endswith("local.db"):
-                yield name, archive.read(name)
+        return archive.read(member)
 
 
 def _quote(name: str) -> str:
@@ -61,66 +58,53 @@ def _rows(database: bytes) -> Iterator[tuple[str, int, str]]:
         db.close()
 
 
-def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def case_rows(resolved: DataFrame, root: str) -> DataFrame:
+    """Every row of the audit and session tables of the chosen file of each case.
+
+    A file that cannot be read, or lacks the audit table, gives one row with ``error`` set.
+    """
     columns = [c.split()[0] for c in ROW_SCHEMA.split(", ")]
-    for files in batches:
-        for path, content in zip(files["path"], files["content"]):
-            pending: list[tuple] = []
-            try:
-                for member, database in _databases(path, content):
-                    for table, number, payload in _rows(database):
-                        pending.append((path, member, table, number, payload, None))
+
+    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, _ = open_root(root)
+        for batch in batches:
+            for site, case, path, member in zip(*[batch[c] for c in ("site_code", "case_id", "source_path", "zip_member")]):
+                pending: list[tuple] = []
+                try:
+                    for table, number, payload in _rows(_database(read_bytes(system, path), member)):
+                        pending.append((site, case, path, member, table, number, payload, None))
                         if len(pending) == BATCH:
                             yield pd.DataFrame(pending, columns=columns)
                             pending = []
-            except (sqlite3.Error, zipfile.BadZipFile, LookupError) as problem:
-                pending.append((path, None, None, None, None, f"{type(problem).__name__}: {problem}"))
-            if pending:
-                yield pd.DataFrame(pending, columns=columns)
-
-
-def case_rows(spark: SparkSession, root: str, pattern: str = "*.{db,zip}") -> DataFrame:
-    """Every row of the audit and session tables of every case file below ``root``."""
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-        .load(root).select("path", "content")
-    )
-    return files.mapInPandas(_decode, ROW_SCHEMA)
+                except (sqlite3.Error, zipfile.BadZipFile, LookupError) as problem:
+                    pending.append((site, case, path, member, None, None, None, f"{type(problem).__name__}: {problem}"))
+                if pending:
+                    yield pd.DataFrame(pending, columns=columns)
 
+    chosen = resolved.filter(F.col("status") == "resolved").select(*KEYS, "source_path", "zip_member")
+    return spread(chosen, "source_path").mapInPandas(decode, ROW_SCHEMA)
 
-def _list_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for files in batches:
-        for path, content in zip(files["path"], files["content"]):
-            try:
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    names = [n for n in archive.namelist() if n.lower().endswith("local.db")]
-            except zipfile.BadZipFile:
-                names = []
-            yield pd.DataFrame({"path": [path], "members": [names]})
 
+def zip_members(cases: DataFrame, root: str) -> DataFrame:
+    """Members ending in ``local.db`` (any case) of every candidate archive."""
+    def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, _ = open_root(root)
+        for batch in batches:
+            for path in batch["path"]:
+                try:
+                    with zipfile.ZipFile(system.open_input_file(path)) as archive:
+                        names = [n for n in archive.namelist() if n.lower().endswith("local.db")]
+                except zipfile.BadZipFile:
+                    names = []
+                yield pd.DataFrame({"path": [path], "members": [names]})
 
-def zip_members(spark: SparkSession, root: str) -> DataFrame:
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.zip")
-        .load(root).select("path", "content")
-    )
-    return files.mapInPandas(_list_members, "path string, members array<string>")
-
+    archives = cases.select(F.explode("zips").alias("path"))
+    return spread(archives, "path").mapInPandas(members, "path string, members array<string>")
 
-def of_sources(rows: DataFrame, resolved: DataFrame) -> DataFrame:
-    """Keep the rows of the chosen file (and archive member) of each case and attach its keys."""
-    chosen = resolved.filter(F.col("status") == "resolved").select(
-        *KEYS, F.col("source_path").alias("path"), F.coalesce("zip_member", F.lit("")).alias("m")
-    )
-    return rows.withColumn("m", F.coalesce("member", F.lit(""))).join(chosen, ["path", "m"]).drop("m")
 
-
-def read_errors(rows: DataFrame, resolved: DataFrame) -> DataFrame:
+def read_errors(rows: DataFrame) -> DataFrame:
     """Cases whose chosen file could not be read or lacks the audit table."""
-    chosen = resolved.filter(F.col("status") == "resolved").select(*KEYS, F.col("source_path").alias("path"))
-    return rows.filter(F.col("error").isNotNull()).select("path", "error").join(chosen, "path").select(
-        *KEYS, F.lit(None).cast("bigint").alias("row_number"), "error"
-    )
+    return rows.filter(F.col("error").isNotNull()).select(*KEYS, F.lit(None).cast("bigint").alias("row_number"), "error")
 
 
 def _field(name: str):

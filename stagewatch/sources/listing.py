@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stagewatch.functions.ordered import ranked
+from stagewatch.sources.files import list_case_files
 from stagewatch.workflow import KEYS
 
 # File patterns inside a case folder, in order of preference.
@@ -21,15 +22,7 @@ TIMING_FOLDER = "TimingLogs"
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """Paths below ``root/<site>/<case>/…``; only names are read, never content."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
-    parts = F.split(F.regexp_replace("path", "^.*?" + _quoted(root.rstrip("/").rsplit("/", 1)[-1]) + "/", ""), "/", 3)
-    return files.select(
-        F.get(parts, 0).alias("site_code"), F.get(parts, 1).alias("case_id"), F.get(parts, 2).alias("relative_path"), "path"
-    ).filter(F.col("relative_path").isNotNull() & (F.col("case_id") != TIMING_FOLDER))
-
-
-def _quoted(text: str) -> str:
-    return r"\Q" + text + r"\E"
+    return list_case_files(spark, root, skip=(TIMING_FOLDER,))
 
 
 def _pattern_index(patterns: tuple[str, ...]) -> Column:

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import csv
+import io
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stagewatch.sources.files import BATCH, open_root, spread
 from stagewatch.workflow import KEYS
 
 # Header names, and the 0-based positions used when they are absent.
@@ -12,38 +18,44 @@ HEADERS = ("Events", "TimeSTART", "TimeEND")
 POSITIONS = (2, 3, 4)
 
 
-def _cells(line: Column) -> Column:
-    """Split one CSV line; quoted cells may hold commas and doubled quotes."""
-    raw = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
-    return F.transform(raw, lambda c: F.when(
-        c.startswith('"') & c.endswith('"'), F.replace(c.substr(F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))
-    ).otherwise(c))
-
-
 def sheet_lines(spark: SparkSession, folder: str, site_code: str) -> DataFrame:
-    """keys, source_file, line_number (1 = header), line; a sheet is named after its case."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.csv").text(folder).select(
-        F.col("_metadata.file_name").alias("source_file"), "value"
-    )
-    text = F.regexp_replace(F.regexp_replace("value", "^\\uFEFF", ""), r"(\r\n|\r|\n)$", "")
-    lines = F.split(text, r"\r\n|\r|\n")
-    return files.select(
-        F.lit(site_code).alias("site_code"),
-        F.regexp_extract("source_file", r"^(.*)\.csv$", 1).alias("case_id"),
-        "source_file", F.posexplode(lines).alias("at", "line"),
-    ).select(*KEYS, "source_file", (F.col("at") + 1).cast("bigint").alias("line_number"), "line")
+    """keys, source_file, line_number (1 = header), cells; a sheet is named after its case."""
+    def listing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow.fs import FileSelector, FileType
+
+        system, base = open_root(folder)
+        for _ in batches:
+            infos = system.get_file_info(FileSelector(base, allow_not_found=True))
+            paths = [e.path for e in infos if e.type == FileType.File and e.path.endswith(".csv")]
+            for at in range(0, len(paths), BATCH):
+                yield pd.DataFrame({"path": paths[at:at + BATCH]})
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, _ = open_root(folder)
+        for batch in batches:
+            for path in batch["path"]:
+                text = io.TextIOWrapper(system.open_input_stream(path), encoding="utf-8-sig", newline="")
+                cells = list(csv.reader(text)) or [[]]
+                name = path.rsplit("/", 1)[-1]
+                yield pd.DataFrame({
+                    "site_code": site_code, "case_id": name.removesuffix(".csv"), "source_file": name,
+                    "line_number": range(1, len(cells) + 1), "cells": cells,
+                })
+
+    paths = spark.range(1).mapInPandas(listing, "path string")
+    return spread(paths, "path").mapInPandas(
+        rows, "site_code string, case_id string, source_file string, line_number bigint, cells array<string>")
 
 
 def _located(lines: DataFrame) -> DataFrame:
-    header = lines.filter(F.col("line_number") == 1).withColumn("names", F.transform(_cells(F.col("line")), F.trim))
+    header = lines.filter(F.col("line_number") == 1).withColumn("names", F.transform("cells", lambda c: F.trim(c)))
     named = (F.size(F.array_intersect("names", F.array(*[F.lit(h) for h in HEADERS]))) == 3)
     wide = F.size("names") >= 5
     at = F.when(named, F.array(*[F.array_position("names", h).cast("int") - 1 for h in HEADERS])).when(
         wide, F.array(*[F.lit(p) for p in POSITIONS]))
-    head = header.select(*KEYS, at.alias("at"), (F.col("line") == "").alias("no_header"))
+    head = header.select(*KEYS, at.alias("at"), (F.size("cells") == 0).alias("no_header"))
     sizes = lines.groupBy(*KEYS).agg(F.max("line_number").alias("n_lines"))
-    body = lines.withColumn("cells", F.when(F.col("line") == "", F.array().cast("array<string>")).otherwise(_cells(F.col("line"))))
-    return body.join(head.join(sizes, KEYS), KEYS)
+    return lines.join(head.join(sizes, KEYS), KEYS)
 
 
 def _cell(i: int) -> Column:

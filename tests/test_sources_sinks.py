@@ -51,6 +51,7 @@ def tree(tmp_path_factory):
     put("S1/twice/b/_x/local.db", database(ROWS))
     put("S1/broken/local.db", database([], audit=False))
     put("S1/none/notes.txt", b"x")
+    (root / "S1" / "bare").mkdir()
     put("S1/TimingLogs/plain.csv", "﻿x,Events,TimeSTART,TimeEND\r\n1,Devices Insertion,2025-01-01 08:00:00,2025-01-01 08:20:00\r\n,,,\r\n".encode())
     put("S1/TimingLogs/Older.csv", b'a,b,c,d,e\n1,2,"Patient is ready, ""now""",,2025-01-01 08:00:00\n')
     put("S1/TimingLogs/zipped.csv", b"A,B\n1,2\n")
@@ -62,15 +63,15 @@ def tree(tmp_path_factory):
 @pytest.fixture(scope="module")
 def resolved(spark, tree):
     cases = listing.discover_cases(listing.list_files(spark, str(tree)))
-    return listing.resolve_sources(cases, zip_members=case_files.zip_members(spark, str(tree))).cache()
+    return listing.resolve_sources(cases, zip_members=case_files.zip_members(cases, str(tree))).cache()
 
 
 def test_discovery_and_resolution(resolved):
     got = {r.case_id: r for r in resolved.collect()}
     assert [r.case_id for r in sorted(got.values(), key=lambda r: r.discovery_order)] == [
-        "broken", "hollow", "none", "Older", "plain", "twice", "zipped"]
+        "bare", "broken", "hollow", "none", "Older", "plain", "twice", "zipped"]
     assert {c: r.status for c, r in got.items()} == {
-        "broken": "resolved", "hollow": "not_found", "none": "no_candidates", "Older": "resolved", "plain": "resolved",
+        "bare": "no_candidates", "broken": "resolved", "hollow": "not_found", "none": "no_candidates", "Older": "resolved", "plain": "resolved",
         "twice": "ambiguous", "zipped": "resolved"}
     assert got["zipped"].zip_member == "nested/local.db" and got["zipped"].resolution_rule == "zip_precedence"
     assert got["twice"].warnings == ["multiple_unzipped_database_candidates"]
@@ -88,11 +89,11 @@ def test_index_and_first_policies(spark, tree):
 
 
 def test_case_files_end_to_end(spark, tree, resolved, tmp_path):
-    rows = case_files.of_sources(case_files.case_rows(spark, str(tree)), resolved)
+    rows = case_files.case_rows(resolved, str(tree))
     raw, sessions = case_files.audit_events(rows), case_files.session_rows(rows)
     assert {r.case_id: r["count"] for r in raw.groupBy("case_id").count().collect()} == {"plain": 2, "Older": 2, "zipped": 2}
     assert {r.raw_segment_id for r in raw.filter("row_number = 1").collect()} == {"2025-01-01_x"}
-    errors = case_files.read_errors(case_files.case_rows(spark, str(tree)), resolved)
+    errors = case_files.read_errors(rows)
     assert [(r.case_id, "missing table" in r.error) for r in errors.collect()] == [("broken", True)]
     tables_found = case_files.catalog(rows).filter("path LIKE '%plain%'").orderBy("table_name").collect()
     assert [(t.table_name, t.n_rows) for t in tables_found] == [("AuditLogRecords", 2), ("Other", 0), ("Sessions", 1)]
