@@ -269,6 +269,14 @@ STATEMENTS: dict[str, str] = {
         FROM (SELECT site_code, category, count(*) AS n_warnings FROM c_warnings GROUP BY ALL)) WHERE rank <= 8""",
     "case_discovery": """SELECT site_code, case_id, discovery_order, databases, zips, concat_ws('|', CASE WHEN n_db = 0 AND n_zip = 0 THEN 'no_database_candidates_found' END,
         CASE WHEN n_db > 1 THEN 'multiple_unzipped_database_candidates' END, CASE WHEN n_zip > 1 THEN 'multiple_zip_candidates' END) AS warnings FROM c_discovered""",
+    "case_manifest": """SELECT site_code, case_id, site_code || '/' || case_id AS case_path, discovery_order, databases AS candidate_unzipped_db_paths, zips AS candidate_zip_paths,
+        concat_ws('|', CASE WHEN n_db = 0 AND n_zip = 0 THEN 'no_database_candidates_found' END, CASE WHEN n_db > 1 THEN 'multiple_unzipped_database_candidates' END,
+        CASE WHEN n_zip > 1 THEN 'multiple_zip_candidates' END) AS warnings FROM c_discovered""",
+    "first_cases": "SELECT site_code, case_id, discovery_order FROM c_discovered WHERE discovery_order <= 20 AND ends_with(case_id, '3')",
+    "state_labeled_export": """SELECT l.site_code, l.case_id, strftime(l.ts, '%Y-%m-%dT%H:%M:%S') AS timestamp, l.event_type, l.source, l.is_synthetic, coalesce(l.segment_id, '') AS segment_id,
+        l.event_kind, coalesce(state, '') AS state, coalesce(state_assignment_rule, '') AS state_assignment_rule, cleanup_rule_applied, '' AS drop_reason, l.row_number, source_detail,
+        '' AS insertion_rule, raw_payload AS raw_payload_json FROM c_labelled l JOIN c_norm n ON n.site_code = l.site_code AND n.case_id = l.case_id AND n.row_number = l.row_number
+        WHERE l.source = 'auditlog'""",
     "source_resolution": """SELECT site_code, case_id, status, CASE WHEN status = 'resolved' THEN CASE WHEN n_db > 0 THEN 'unzipped' ELSE 'zip_extracted' END END AS source_type,
         CASE WHEN status = 'resolved' THEN CASE WHEN n_db > 0 THEN 'unzipped_precedence' ELSE 'zip_precedence' END END AS resolution_rule,
         CASE WHEN status = 'resolved' THEN CASE WHEN n_db > 0 THEN databases ELSE zips END END AS source_path,

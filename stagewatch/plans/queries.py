@@ -516,6 +516,17 @@ def case_discovery(spark, sf):
     return cases.select(*KEYS, "discovery_order", *[F.concat_ws("|", c).alias(c) for c in ("databases", "zips", "warnings")])
 
 
+@query
+def case_manifest(spark, sf):
+    return sinks.case_manifest(listing.discover_cases(tables.file_listing(spark, sf)))
+
+
+@query
+def first_cases(spark, sf):
+    cases = listing.discover_cases(tables.file_listing(spark, sf))
+    return listing.first_cases(cases, n=20, suffix="3").select(*KEYS, "discovery_order")
+
+
 @query
 def source_resolution(spark, sf):
     found = listing.resolve_sources(listing.discover_cases(tables.file_listing(spark, sf)))
@@ -555,3 +566,12 @@ def case_results(spark, sf):
 @query
 def run_manifest(spark, sf):
     return diagnostics.run_manifest(results(spark, sf))
+
+
+@query
+def state_labeled_export(spark, sf):
+    """Labelled events in the export contract, payload joined back from the enriched rows."""
+    run = site_run(spark, sf)
+    rows = sinks.with_payload(run.labelled, run.enrich(with_payload=True))
+    out = sinks.export_columns(rows, sinks.STATE_LABELED)
+    return out.withColumn("timestamp", F.substring("timestamp", 1, 19)).filter("source = 'auditlog'")

@@ -85,6 +85,18 @@ def case_rows(resolved: DataFrame, root: str) -> DataFrame:
     return spread(chosen, "source_path").mapInPandas(decode, ROW_SCHEMA)
 
 
+def land(rows: DataFrame, path: str) -> DataFrame:
+    """Write the decoded rows as parquet once and read them back.
+
+    Everything below reads the rows several times; landed, each reader touches one table's folder
+    and only the columns it needs, and no file is decoded twice.
+    """
+    rows.withColumn("table_name", F.coalesce("table_name", F.lit("unreadable"))).write.mode("overwrite").partitionBy(
+        "site_code", "table_name").parquet(path)
+    names = [c.split()[0] for c in ROW_SCHEMA.split(", ")]
+    return rows.sparkSession.read.schema(ROW_SCHEMA).parquet(path).select(*names)
+
+
 def zip_members(cases: DataFrame, root: str) -> DataFrame:
     """Members ending in ``local.db`` (any case) of every candidate archive."""
     def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from stagewatch.functions.durable import durable
 
 BATCH = 20_000
 LISTED = "site_code string, case_id string, relative_path string, path string"
@@ -77,5 +77,6 @@ def list_case_files(spark: SparkSession, root: str, skip: tuple[str, ...] = ())
 
     system, base = open_root(root)
     sites = spark.createDataFrame([(s,) for s in _folders(system, base)], "site_code string")
-    found = sites.repartition("site_code").mapInPandas(cases, "site_code string, case_id string")
-    return spread(found, "site_code", "case_id").mapInPandas(files, LISTED)
+    # Both listings are names only and are read several times; folders may change in between.
+    found = durable(sites.repartition("site_code").mapInPandas(cases, "site_code string, case_id string"))
+    return durable(spread(found, "site_code", "case_id").mapInPandas(files, LISTED))

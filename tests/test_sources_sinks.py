@@ -89,7 +89,7 @@ def test_index_and_first_policies(spark, tree):
 
 
 def test_case_files_end_to_end(spark, tree, resolved, tmp_path):
-    rows = case_files.case_rows(resolved, str(tree))
+    rows = case_files.land(case_files.case_rows(resolved, str(tree)), str(tmp_path / "landed"))
     raw, sessions = case_files.audit_events(rows), case_files.session_rows(rows)
     assert {r.case_id: r["count"] for r in raw.groupBy("case_id").count().collect()} == {"plain": 2, "Older": 2, "zipped": 2}
     assert {r.raw_segment_id for r in raw.filter("row_number = 1").collect()} == {"2025-01-01_x"}
@@ -110,6 +110,15 @@ def test_case_files_end_to_end(spark, tree, resolved, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "labelled")).count() == 9
 
 
+def test_manifest_documents(spark, resolved, tree, tmp_path):
+    manifest = sinks.case_manifest(listing.discover_cases(listing.list_files(spark, str(tree))))
+    assert manifest.columns == sinks.CASE_MANIFEST
+    counts = spark.createDataFrame([("S1", 3, 1)], "site_code string, cases_discovered bigint, cases_failed bigint")
+    sinks.write_documents(sinks.manifest_document(counts, "r1", "t0", "t1", {"intervals": "/x"}), str(tmp_path / "run"))
+    document = spark.read.json(str(tmp_path / "run")).first().document
+    assert '"run_id":"r1"' in document and '"artifact_paths":{"intervals":"/x"}' in document
+
+
 def test_timing_sheets(spark, tree):
     lines = timing_sheets.sheet_lines(spark, str(tree / "S1" / "TimingLogs"), "S1")
     rows = {r.case_id: r for r in timing_sheets.sheet_rows(lines).collect()}
