@@ -20,12 +20,12 @@ LEVEL_BITS = 12
 #: Up to so many sources the table of thresholds (some 100 bytes a source) is broadcast, beyond it is joined by shuffle.
 BROADCAST_SOURCES = 100_000
 
-KEY, SIZE, HASH = "__mix_key", "__mix_size", "__mix_hash"
+KEY, SIZE, HASH, TOTAL, TARGET = "__mix_key", "__mix_size", "__mix_hash", "__mix_total", "__mix_target"
 
 
 @dataclass(frozen=True)
 class MixPlan:
-    """One row per source: ``__mix_key``, source_size, target, copies every row gets, and the threshold for one more."""
+    """One row per source: key, words, target, copies that every row gets, and the hash below which rows get one more."""
 
     sources: DataFrame
     count: int
@@ -58,13 +58,13 @@ def plan_mix(
     Sources in code point order (null last) weigh ``weights``, repeating, and share ``share`` times all words.  A source's
     target stops at ``most`` times its size; what it can't use goes to the others by weight.
     """
-    sizes = narrow.groupBy(KEY).agg(F.sum(SIZE).alias("source_size"))
+    sizes = narrow.groupBy(KEY).agg(F.sum(SIZE).alias(TOTAL))
     ordered = numbered(sizes.withColumn("__last", F.col(KEY) == ""), ["__last", KEY], "__rank")
     weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("__rank") % len(weights) + 1).cast("int"))
-    sources = stored(ordered.select(KEY, "source_size", weight.cast("double").alias("__weight")), "sources")
-    limit = (F.col("source_size") * most).cast("double")
+    sources = stored(ordered.select(KEY, TOTAL, weight.cast("double").alias("__weight")), "sources")
+    limit = (F.col(TOTAL) * most).cast("double")
 
-    totals = sources.agg(F.sum("source_size"), F.sum("__weight"), F.count(F.lit(1))).first()
+    totals = sources.agg(F.sum(TOTAL), F.sum("__weight"), F.count(F.lit(1))).first()
     words, free_weight, count = totals[0] or 0, totals[1] or 0.0, totals[2]
     # The level is what a weight of 1 is worth. It rises as full sources hand on their excess, until no more get full.
     level, full = (share * words / free_weight if free_weight else 0.0), 0
@@ -78,9 +78,9 @@ def plan_mix(
         level, full = (share * words - used) / left, n
     target = F.least(limit, F.lit(level) * F.col("__weight"))
     sources = sources.select(
-        KEY, "source_size", target.alias("target"),
-        F.when(F.col("source_size") > 0, F.floor(target / F.col("source_size"))).otherwise(0).cast("int").alias("__copies"),
-    ).withColumn("__rest", F.col("target") - F.col("__copies") * F.col("source_size"))
+        KEY, TOTAL, target.alias(TARGET),
+        F.when(F.col(TOTAL) > 0, F.floor(target / F.col(TOTAL))).otherwise(0).cast("int").alias("__copies"),
+    ).withColumn("__rest", F.col(TARGET) - F.col("__copies") * F.col(TOTAL))
     return MixPlan(stored(_with_thresholds(narrow, sources, count), "mix"), count)
 
 
@@ -107,7 +107,7 @@ def _with_thresholds(narrow: DataFrame, sources: DataFrame, count: int) -> DataF
     threshold = F.col("__prefix") + F.when(nearer, 1).otherwise(0)
     found = open_at.select(KEY, threshold.alias("__below"))
     return sources.join(found, KEY, "left").select(
-        KEY, "source_size", "target", "__copies", F.coalesce("__below", F.lit(0)).cast("bigint").alias("__below")
+        KEY, TOTAL, TARGET, "__copies", F.coalesce("__below", F.lit(0)).cast("bigint").alias("__below")
     )
 
 
@@ -139,5 +139,6 @@ def mix_report(
         .select(F.col(doc_id).alias("doc_id"), KEY, SIZE, HASH), "mix-sizes",
     )
     return plan_mix(narrow).attached(narrow).select(
-        "doc_id", F.col(SIZE).alias("size"), "source_size", "target", (copies() * F.col(SIZE)).cast("bigint").alias("taken")
+        "doc_id", F.col(SIZE).alias("size"), F.col(TOTAL).alias("source_size"), F.col(TARGET).alias("target"),
+        (copies() * F.col(SIZE)).cast("bigint").alias("taken")
     )
