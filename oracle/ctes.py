@@ -128,7 +128,7 @@ CTES: dict[str, str] = {
           strftime(make_timestamp(base + i * 600000000), '%Y-%m-%d %H:%M:%S') AS start_text,
           CASE WHEN (user_id + i) % 7 = 0 THEN ''
                ELSE strftime(make_timestamp(base + i * 600000000 + 480000000), '%Y-%m-%d %H:%M:%S') END AS end_text
-        FROM c_bases, range(6) r(i) WHERE user_id % 3 = 0""",
+        FROM c_bases, range(6) r(i)""",
     "c_listing": f"""
         SELECT site_code, case_id, unnest(CASE user_id % 6 {' '.join(f"WHEN {i} THEN [{listed(f)}]" for i, f in enumerate(FILES))} END) AS relative_path
         FROM c_bases""",
@@ -151,7 +151,8 @@ CTES: dict[str, str] = {
           UNION ALL SELECT site_code, case_id, 'TimePatientTransferredAt', 'PatientTransferEnds', TimePatientTransferredAt FROM c_sessions
           UNION ALL SELECT site_code, case_id, 'TimeUaRemovedAt', NULL, TimeUaRemovedAt FROM c_sessions)""",
     "c_session_events": """
-        SELECT site_code, case_id, CAST(value AS TIMESTAMP) AS ts, event_type, 'Sessions.' || field AS source_detail
+        SELECT site_code, case_id, CAST(value AS TIMESTAMP) AS ts, event_type, 'Sessions.' || field AS source_detail,
+          CAST(json_object('session_row_index', 1, 'source_field', field, 'source_value', value) AS VARCHAR) AS raw_payload
         FROM c_fields WHERE status = 'ok' AND event_type IS NOT NULL""",
     "c_field_stats": """
         SELECT site_code, case_id, field, count(*) FILTER (status = 'missing') AS missing,
@@ -172,7 +173,11 @@ CTES: dict[str, str] = {
         SELECT s.*, l.event_type, l.selector,
           TRY_CAST(CASE WHEN selector = 'start' THEN start_text ELSE end_text END AS TIMESTAMP) AS ts
         FROM c_sheet s JOIN c_labels l ON l.label = s.label""",
-    "c_timing_events": "SELECT site_code, case_id, ts, event_type, label AS source_detail FROM c_mapped WHERE ts IS NOT NULL",
+    "c_timing_events": """
+        SELECT site_code, case_id, ts, event_type, label AS source_detail,
+          CAST(json_object('source_file', source_file, 'source_row_number', row_number, 'label_text', label, 'time_selector', selector,
+            'source_time_raw', CASE WHEN selector = 'start' THEN start_text ELSE end_text END) AS VARCHAR) AS raw_payload
+        FROM c_mapped WHERE ts IS NOT NULL""",
     "c_timing_warnings": """
         SELECT site_code, case_id, 'timing_log_unmapped_label' AS category, row_number, 'label=' || label AS detail
         FROM c_sheet WHERE label NOT IN (SELECT label FROM c_labels)
@@ -180,12 +185,12 @@ CTES: dict[str, str] = {
         FROM c_mapped WHERE ts IS NULL""",
     "c_enriched": """
         SELECT site_code, case_id, ts, epoch_us(ts) AS ts_us, event_type, source, is_synthetic, source_detail, segment_id,
-               event_kind, row_number, insertion_rule, CASE source WHEN 'auditlog' THEN 0 WHEN 'sessions' THEN 1 ELSE 2 END AS src
+               event_kind, row_number, insertion_rule, raw_payload, CASE source WHEN 'auditlog' THEN 0 WHEN 'sessions' THEN 1 ELSE 2 END AS src
         FROM (
           SELECT site_code, case_id, ts, event_type, 'auditlog' AS source, FALSE AS is_synthetic, 'normalized_audit_event' AS source_detail,
-                 segment_id, event_kind, row_number, NULL AS insertion_rule FROM c_norm WHERE event_type <> 'SignalRecord'
-          UNION ALL SELECT site_code, case_id, ts, event_type, 'sessions', TRUE, source_detail, NULL, NULL, NULL, 'session_field_map_v1' FROM c_session_events
-          UNION ALL SELECT site_code, case_id, ts, event_type, 'timing_log', TRUE, source_detail, NULL, NULL, NULL, 'timing_log_label_map_v1' FROM c_timing_events)
+                 segment_id, event_kind, row_number, NULL AS insertion_rule, raw_payload FROM c_norm WHERE event_type <> 'SignalRecord'
+          UNION ALL SELECT site_code, case_id, ts, event_type, 'sessions', TRUE, source_detail, NULL, NULL, NULL, 'session_field_map_v1', raw_payload FROM c_session_events
+          UNION ALL SELECT site_code, case_id, ts, event_type, 'timing_log', TRUE, source_detail, NULL, NULL, NULL, 'timing_log_label_map_v1', raw_payload FROM c_timing_events)
         WHERE (site_code, case_id) NOT IN (SELECT (site_code, case_id) FROM c_errors)""",
     "c_ordered": f"""
         SELECT *, row_number() OVER w - 1 AS pos,
@@ -392,6 +397,15 @@ CTES: dict[str, str] = {
         SELECT *,
           CASE WHEN n_db = 0 AND n_zip = 0 THEN 'no_candidates' WHEN n_db > 1 OR (n_db = 0 AND n_zip > 1) THEN 'ambiguous' ELSE 'resolved' END AS status
         FROM c_discovered""",
+    "c_processed": """
+        SELECT s.site_code, s.case_id FROM c_sources s
+        JOIN c_raw y ON y.site_code = s.site_code AND y.case_id = s.case_id AND y.row_number = 1 AND TRY_CAST(y.raw_timestamp[1:4] AS INTEGER) = 2024
+        ANTI JOIN c_errors e ON e.site_code = s.site_code AND e.case_id = s.case_id WHERE s.status = 'resolved'""",
+    "c_run_warnings": """
+        SELECT w.* FROM c_warnings w JOIN c_processed p ON p.site_code = w.site_code AND p.case_id = w.case_id
+        UNION ALL SELECT site_code, case_id, 'uncategorized', NULL, 'no_database_candidates_found' FROM c_sources WHERE status = 'no_candidates'
+        UNION ALL SELECT s.site_code, s.case_id, 'uncategorized', NULL, 'multiple_zip_candidates' FROM c_sources s
+          JOIN c_processed p ON p.site_code = s.site_code AND p.case_id = s.case_id WHERE n_zip > 1""",
 }
 
 # The same chain over the log rows alone: every name of the chain gets the prefix c_log_.

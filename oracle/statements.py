@@ -148,7 +148,7 @@ STATEMENTS: dict[str, str] = {
     "lenient_time_quality": "SELECT site_code, count(*) AS n_rows, count(*) FILTER (ts IS NULL) AS n_bad FROM c_typed GROUP BY site_code",
     "inferred_ids": "SELECT site_code, case_id, case_id AS inferred_id FROM c_bases",
     "matching_events": """SELECT site_code, case_id, row_number, ts AS timestamp, event_type, nth FROM (SELECT *, row_number() OVER (PARTITION BY site_code ORDER BY ts_us, case_id, row_number) AS nth
-        FROM c_norm WHERE event_type LIKE '%Treat%') WHERE nth <= 50""",
+        FROM c_norm WHERE event_type LIKE '%Treat%')""",
     "session_events": "SELECT site_code, case_id, ts AS timestamp, event_type, source_detail FROM c_session_events",
     "session_field_stats": "SELECT * FROM c_field_stats",
     "session_warnings": f"SELECT {WARNING} FROM c_session_warnings",
@@ -183,7 +183,7 @@ STATEMENTS: dict[str, str] = {
     "interval_export": """SELECT site_code, case_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS timestamp, coalesce(state, '') AS state, start_us / 1000000.0::DOUBLE AS start_sec,
         duration_us / 1000000.0::DOUBLE AS duration_sec, rebase_anchor, event_type AS origin_event_type, source, is_synthetic, source_detail, row_number,
         coalesce(state_assignment_rule, '') AS state_assignment_rule, cleanup_rule_applied, flags AS quality_flags, coalesce(segment_id, '') AS segment_id, event_kind,
-        '' AS drop_reason, coalesce(insertion_rule, '') AS insertion_rule FROM c_intervals""",
+        '' AS drop_reason, coalesce(insertion_rule, '') AS insertion_rule, raw_payload AS raw_payload_json FROM c_intervals""",
     "timing_summary": summary("c_intervals"),
     "timing_summary_positive": summary("c_intervals", "duration_us > 0", total=False),
     "timing_summary_filtered": summary("c_intervals", "duration_us < 21600000000"),
@@ -251,7 +251,7 @@ STATEMENTS: dict[str, str] = {
     "timeline_warnings": f"SELECT {WARNING} FROM c_timeline_warnings",
     "script_timeline": """SELECT t.site_code, t.case_id, nth - 1 AS y, t.state, ordinal, row_number, event_type, round(start_us / 60000000.0::DOUBLE, 6) AS start_min, round(duration_us / 60000000.0::DOUBLE, 6) AS dur_min
         FROM c_timed t JOIN (SELECT site_code, case_id, row_number() OVER (PARTITION BY site_code ORDER BY case_id) AS nth FROM (SELECT DISTINCT site_code, case_id FROM c_timed WHERE duration_us > 0)) n
-          ON n.site_code = t.site_code AND n.case_id = t.case_id LEFT JOIN c_states s ON s.state = t.state WHERE duration_us > 0 AND nth <= 60""",
+          ON n.site_code = t.site_code AND n.case_id = t.case_id LEFT JOIN c_states s ON s.state = t.state WHERE duration_us > 0""",
     "stacked_layout": f"""SELECT site_code, case_id, phase, ordinal, color, round(coalesce(sum(minutes) OVER (PARTITION BY {CASE} ORDER BY ordinal ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 6) AS start_min,
         round(minutes, 6) AS duration_min FROM c_long WHERE minutes > 0 AND phase <> 'NA'""",
     "stacked_bars": f"""SELECT site_code, case_id, phase, round(coalesce(sum(minutes) OVER (PARTITION BY {CASE} ORDER BY ordinal ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 6) AS start_min,
@@ -263,10 +263,10 @@ STATEMENTS: dict[str, str] = {
         {', '.join(f'count(*) FILTER (duration_us > {s}000000) AS n_over_{s}' for s in (7200, 14400, 28800))},
         {', '.join(f"count(*) FILTER (list_contains(string_split(flags, '|'), '{f}')) AS {f}" for f in (
             'interval_truncated_large_gap', 'interval_terminal_state_clamped', 'interval_early_state_truncated', 'interval_unassigned_state_truncated', 'negative_rebased_start'))}
-        FROM c_intervals GROUP BY site_code) i LEFT JOIN (SELECT site_code, count(*) AS n FROM c_warnings GROUP BY site_code) w ON w.site_code = i.site_code""",
+        FROM c_intervals JOIN c_processed USING (site_code, case_id) GROUP BY site_code) i LEFT JOIN (SELECT site_code, count(*) AS n FROM c_run_warnings GROUP BY site_code) w ON w.site_code = i.site_code""",
     "quality_flag_counts": "SELECT site_code, flag, count(*) AS n_intervals FROM (SELECT site_code, unnest(string_split(flags, '|')) AS flag FROM c_intervals WHERE flags <> '') GROUP BY ALL",
     "warning_top": """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY site_code ORDER BY n_warnings DESC, category) AS rank
-        FROM (SELECT site_code, category, count(*) AS n_warnings FROM c_warnings GROUP BY ALL)) WHERE rank <= 8""",
+        FROM (SELECT site_code, category, count(*) AS n_warnings FROM c_run_warnings GROUP BY ALL)) WHERE rank <= 8""",
     "case_discovery": """SELECT site_code, case_id, discovery_order, databases, zips, concat_ws('|', CASE WHEN n_db = 0 AND n_zip = 0 THEN 'no_database_candidates_found' END,
         CASE WHEN n_db > 1 THEN 'multiple_unzipped_database_candidates' END, CASE WHEN n_zip > 1 THEN 'multiple_zip_candidates' END) AS warnings FROM c_discovered""",
     "case_manifest": """SELECT site_code, case_id, site_code || '/' || case_id AS case_path, discovery_order, databases AS candidate_unzipped_db_paths, zips AS candidate_zip_paths,
@@ -275,8 +275,12 @@ STATEMENTS: dict[str, str] = {
     "first_cases": "SELECT site_code, case_id, discovery_order FROM c_discovered WHERE discovery_order <= 20 AND ends_with(case_id, '3')",
     "state_labeled_export": """SELECT l.site_code, l.case_id, strftime(l.ts, '%Y-%m-%dT%H:%M:%S') AS timestamp, l.event_type, l.source, l.is_synthetic, coalesce(l.segment_id, '') AS segment_id,
         l.event_kind, coalesce(state, '') AS state, coalesce(state_assignment_rule, '') AS state_assignment_rule, cleanup_rule_applied, '' AS drop_reason, l.row_number, source_detail,
-        '' AS insertion_rule, raw_payload AS raw_payload_json FROM c_labelled l JOIN c_norm n ON n.site_code = l.site_code AND n.case_id = l.case_id AND n.row_number = l.row_number
-        WHERE l.source = 'auditlog'""",
+        coalesce(insertion_rule, '') AS insertion_rule, raw_payload AS raw_payload_json FROM c_labelled l""",
+    "normalized_export": """SELECT site_code, case_id, row_number, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS timestamp, event_type, coalesce(segment_id, '') AS segment_id, event_kind,
+        'auditlog' AS source, event_type = 'SignalRecord' AS is_dropped, CASE WHEN event_type = 'SignalRecord' THEN 'filtered_signal_record' ELSE '' END AS drop_reason,
+        raw_payload AS raw_payload_json FROM c_norm""",
+    "enriched_export": """SELECT site_code, case_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS timestamp, event_type, source, is_synthetic, source_detail, coalesce(segment_id, '') AS segment_id,
+        event_kind, '' AS drop_reason, coalesce(insertion_rule, '') AS insertion_rule, row_number, raw_payload AS raw_payload_json FROM c_enriched""",
     "source_resolution": """SELECT site_code, case_id, status, CASE WHEN status = 'resolved' THEN CASE WHEN n_db > 0 THEN 'unzipped' ELSE 'zip_extracted' END END AS source_type,
         CASE WHEN status = 'resolved' THEN CASE WHEN n_db > 0 THEN 'unzipped_precedence' ELSE 'zip_precedence' END END AS resolution_rule,
         CASE WHEN status = 'resolved' THEN CASE WHEN n_db > 0 THEN databases ELSE zips END END AS source_path,

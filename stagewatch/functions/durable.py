@@ -2,19 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 
+from stagewatch.functions.scratch import stored
+
 
 def durable(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder named by ``spark.checkpoint.dir``."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = sc.getConf().get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-            folder = tempfile.mkdtemp(prefix="stagewatch-checkpoint-")
-        sc.setCheckpointDir(folder)
-    return df.checkpoint()
+    """``df`` written as parquet below the folder named by ``spark.checkpoint.dir`` and read back."""
+    return stored(df, "durable")

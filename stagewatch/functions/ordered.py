@@ -1,16 +1,15 @@
 """Ordered, per-group computations that hold up when one group is huge.
 
-A plain ``Window.partitionBy(keys)`` sends a whole group to one task.  When a group is larger
-than the row limit, :func:`slice_hot_groups` cuts it into consecutive slices of its order and
-labels the rows with ``group_slice`` (NULL for ordinary groups).  Every helper below then works
-inside a slice and adds what earlier (or later) slices contribute.  Those contributions are one
-row per slice of a hot group; their number is bounded by ``2 * MAX_SLICES`` whatever the data
-size, which is what makes broadcasting them safe.
+A plain ``Window.partitionBy(keys)`` sends a whole group to one task.  :func:`slice_hot_groups` takes the rows of groups
+above the row limit out, cuts them by range over (keys, order) into slices of about that many rows (``group_slice``), writes
+them once, and puts them back beside the other rows, which stay as they are (``group_slice`` NULL).  Every helper below then
+works inside a slice and adds what earlier (or later) slices contribute, one row per slice.  The limit is a number of rows,
+the same at every data size: slices don't grow with the data, their number does, and so nothing about them is broadcast by
+force.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,7 +18,6 @@ from pyspark.sql import functions as F
 from stagewatch.functions.durable import durable
 
 SLICE = "group_slice"
-MAX_SLICES = 8000
 SLICE_ROWS_CONF = "spark.stagewatch.sliceRows"
 DEFAULT_SLICE_ROWS = 5_000_000
 
@@ -48,52 +46,17 @@ def slice_hot_groups(
     if largest is not None and largest <= limit:
         return df
     sizes = (df if sized_by is None else sized_by).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    totals = sizes.agg(F.max("n").alias("largest"), F.sum("n").alias("rows")).first()
-    if totals["largest"] is None or totals["largest"] <= limit:
-        return df
-    # At most MAX_SLICES groups can exceed rows / MAX_SLICES, so the table of hot groups is bounded.
-    limit = max(limit, totals["rows"] // MAX_SLICES)
     hot = durable(sizes.filter(F.col("n") > limit))
     hot_rows = hot.agg(F.sum("n")).first()[0] or 0
     if not hot_rows:
         return df
-    cuts = math.ceil(hot_rows / limit)
-
-    rank = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
-    keyed = df.withColumn("__rank", rank)
-    bounds = (
-        _hot_rows_only(keyed, hot, keys)
-        .select(*keys, "__rank")
-        .repartitionByRange(cuts, *keys, "__rank")
-        .groupBy(F.spark_partition_id().alias("cut"))
-        .agg(F.min(F.struct(*keys, "__rank")).alias("lowest"))
-        .select(*[F.col(f"lowest.{k}").alias(k) for k in keys], F.col("lowest.__rank").alias("__rank"))
-    )
-    if keys:
-        per_group = bounds.groupBy(*keys).agg(F.sort_array(F.collect_list("__rank")).alias("__cuts"))
-        per_group = durable(hot.select(*keys).join(F.broadcast(per_group), list(keys), "left"))
-        labelled = keyed.join(
-            F.broadcast(per_group.withColumn("__hot", F.lit(True))), list(keys), "left"
-        )
-    else:
-        one = durable(bounds.agg(F.sort_array(F.collect_list("__rank")).alias("__cuts")))
-        labelled = keyed.withColumn("__one", F.lit(1)).join(
-            F.broadcast(one.select(F.lit(1).alias("__one"), "__cuts", F.lit(True).alias("__hot"))), "__one", "left"
-        ).drop("__one")
-    # Number of cuts at or below the row, found by halving steps (a power-of-two search).
-    steps = [2**p for p in range(math.ceil(math.log2(cuts + 1)), -1, -1)]
-    position = F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda at, step: F.when(
-            F.get(F.col("__cuts"), at + step - 1) <= F.col("__rank"), at + step
-        ).otherwise(at),
-    )
-    return labelled.withColumn(SLICE, F.when(F.col("__hot"), position)).drop("__rank", "__cuts", "__hot")
-
-
-def _hot_rows_only(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(F.broadcast(hot.select(*keys)), list(keys), "left_semi") if keys else df
+    hot_keys = hot.select(*keys)
+    hot_part = df.join(hot_keys, list(keys), "left_semi") if keys else df
+    slices = -(-hot_rows // limit) + 1
+    sliced = durable(hot_part.repartitionByRange(slices, *keys, *order).withColumn(SLICE, F.spark_partition_id()))
+    if not keys:
+        return sliced
+    return df.join(hot_keys, list(keys), "left_anti").withColumn(SLICE, F.lit(None).cast("int")).unionByName(sliced)
 
 
 def is_sliced(df: DataFrame) -> bool:
@@ -101,8 +64,10 @@ def is_sliced(df: DataFrame) -> bool:
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """Write sliced rows once, so that the per-slice tables of later steps do not start from the source."""
-    return durable(df) if is_sliced(df) else df
+    """Write the sliced rows once, so that the per-slice tables of later steps do not start from the source."""
+    if not is_sliced(df):
+        return df
+    return df.filter(F.col(SLICE).isNull()).unionByName(durable(df.filter(F.col(SLICE).isNotNull())))
 
 
 def group_window(df: DataFrame, keys: Sequence[str]):
@@ -114,7 +79,7 @@ def _slice_rows(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) -> D
 
 
 def _attach_slices(df: DataFrame, keys: Sequence[str], carried: DataFrame) -> DataFrame:
-    return df.join(F.broadcast(durable(carried)), [*keys, SLICE], "left")
+    return df.join(durable(carried), [*keys, SLICE], "left")
 
 
 def running_before(
@@ -183,7 +148,7 @@ def group_values(
     hot = df.filter(F.col(SLICE).isNotNull())
     named = [agg.alias(f"__all_{name}") for name, agg in aggs.items()]
     if keys:
-        totals = F.broadcast(durable(hot.groupBy(*keys).agg(*named)))
+        totals = durable(hot.groupBy(*keys).agg(*named))
         local = local.join(totals, list(keys), "left")
     else:
         totals = F.broadcast(durable(hot.groupBy(F.lit(1).alias("__one")).agg(*named)))

@@ -49,7 +49,9 @@ def exact_quantiles(
         .select(*keys, "coarse", "n", "t.q", "t.side", (F.col("t.rank") - F.col("before")).alias("rank"))
     )
     inside = Window.partitionBy(*keys, "coarse").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    values = counted.select(
+    # Only the one or two coarse buckets of each wanted rank are looked into.
+    wanted_buckets = targets.select(*keys, "coarse").distinct()
+    values = counted.join(wanted_buckets, [*keys, "coarse"], "left_semi").select(
         *keys, "coarse", "v", "c", F.coalesce(F.sum("c").over(inside), F.lit(0)).alias("before")
     )
     found = targets.join(values, [*keys, "coarse"]).filter(

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stagewatch.functions.ordered import ranked
 from stagewatch.workflow import DIAGNOSTIC_FLAGS, KEYS
 
 
@@ -101,11 +102,15 @@ def kind_counts(events: DataFrame) -> DataFrame:
     return events.groupBy("event_kind").agg(F.count(F.lit(1)).alias("n_events"))
 
 
-def matching_events(events: DataFrame, pattern: str = "%Treat%", n: int = 50) -> DataFrame:
-    """The first ``n`` events per site, in time order, whose type matches the pattern."""
-    order = Window.partitionBy("site_code").orderBy("ts_us", "case_id", "row_number")
+def matching_events(events: DataFrame, pattern: str = "%Treat%", n: int | None = None) -> DataFrame:
+    """Events whose type matches the pattern, numbered per site in time order (``n``: only the first so many)."""
+    order = [F.col("ts_us"), F.col("case_id"), F.col("row_number")]
     hits = events.filter(F.col("event_type").like(pattern))
-    return hits.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= n)
+    if n is None:
+        return ranked(hits, ["site_code"], order, "nth")
+    # A bounded number per site: Spark's window group limit keeps only the first n before the shuffle.
+    nth = F.row_number().over(Window.partitionBy("site_code").orderBy(*order))
+    return hits.withColumn("nth", nth).filter(F.col("nth") <= n)
 
 
 def stateless_types(labelled: DataFrame) -> DataFrame:

@@ -34,6 +34,7 @@ def session_events(sessions: DataFrame) -> DataFrame:
     usable = session_fields(sessions).filter((F.col("status") == "ok") & F.col("event_type").isNotNull())
     return usable.select(
         *KEYS, "timestamp", "event_type",
+        F.col("row_number").cast("bigint").alias("source_row"),
         F.lit("sessions").alias("source"),
         F.concat(F.lit("Sessions."), F.col("field")).alias("source_detail"),
         F.lit("session_field_map_v1").alias("insertion_rule"),
@@ -103,6 +104,7 @@ def _mapped_labels(sheet: DataFrame) -> DataFrame:
 def timing_log_events(sheet: DataFrame) -> DataFrame:
     return _mapped_labels(sheet).filter(F.col("timestamp").isNotNull()).select(
         *KEYS, "timestamp", "event_type",
+        F.col("row_number").cast("bigint").alias("source_row"),
         F.lit("timing_log").alias("source"),
         F.col("label").alias("source_detail"),
         F.lit("timing_log_label_map_v1").alias("insertion_rule"),
@@ -140,7 +142,7 @@ def timing_log_warnings(sheet: DataFrame) -> DataFrame:
 
 EVENT_COLUMNS = [
     *KEYS, "timestamp", "ts_us", "tie_rank", "event_type", "source", "is_synthetic", "source_detail",
-    "segment_id", "event_kind", "drop_reason", "insertion_rule", "row_number",
+    "segment_id", "event_kind", "drop_reason", "insertion_rule", "row_number", "source_row",
 ]
 
 
@@ -155,6 +157,7 @@ def enrich(kept_events: DataFrame, *synthetic: DataFrame, with_payload: bool = F
         "is_synthetic": F.lit(False),
         "source_detail": F.lit("normalized_audit_event"),
         "insertion_rule": F.lit(None).cast("string"),
+        "source_row": F.col("row_number"),
     }).withColumn("tie_rank", tie_rank()).select(*columns)
     for part in synthetic:
         merged = merged.unionByName(part.withColumns({
@@ -169,7 +172,7 @@ def enrich(kept_events: DataFrame, *synthetic: DataFrame, with_payload: bool = F
     return merged
 
 
-def inject_session_rows(raw: DataFrame, sessions: DataFrame, largest_case: int | None = None) -> DataFrame:
+def inject_session_rows(raw: DataFrame, sessions: DataFrame) -> DataFrame:
     """Script profile: session times become log rows cloned from the first log row of the case.
 
     New rows get the row numbers after the last one; a row whose type and time text are already in
@@ -189,10 +192,12 @@ def inject_session_rows(raw: DataFrame, sessions: DataFrame, largest_case: int |
         .select(*KEYS, "session_row", "f.*")
         .filter(F.col("raw_timestamp").isNotNull())
     )
-    logged = raw.select(*KEYS, "raw_event_type", "raw_timestamp")
+    # Only rows of the few mapped types can be equal to an injected one; no others need to move.
+    types = sorted({event for _, _, event in mapped})
+    logged = raw.filter(F.col("raw_event_type").isin(*types)).select(*KEYS, "raw_event_type", "raw_timestamp")
     fresh = wanted.join(logged, [*KEYS, "raw_event_type", "raw_timestamp"], "left_anti")
     order = [F.col("session_row"), F.col("at")]
-    numbered = row_position(slice_hot_groups(fresh, KEYS, order, sized_by=sessions, largest=largest_case), KEYS, order, "nth").drop(SLICE)
+    numbered = row_position(slice_hot_groups(fresh, KEYS, order, sized_by=sessions), KEYS, order, "nth").drop(SLICE)
     added = numbered.join(template, KEYS).select(
         *KEYS, (F.col("last_row") + F.col("nth")).alias("row_number"), "raw_timestamp", "raw_event_type",
         "first.raw_segment_id", "first.raw_event_kind", "first.raw_payload",

@@ -114,11 +114,12 @@ def midnight_crossings(rows: DataFrame) -> DataFrame:
     )
 
 
-def script_timeline(timed: DataFrame, max_cases: int = 60) -> DataFrame:
-    """Script profile: minutes per row for the first ``max_cases`` cases of each site, in id order."""
+def script_timeline(timed: DataFrame, max_cases: int | None = None) -> DataFrame:
+    """Script profile: minutes per row of the cases of each site in id order (``max_cases``: only the first so many)."""
     rows = timed.filter(has_state() & (F.col("duration_us") > 0))
-    order = Window.partitionBy("site_code").orderBy("case_id")
-    cases = rows.select(*KEYS).distinct().withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= max_cases)
+    cases = ranked(rows.select(*KEYS).distinct(), ["site_code"], [F.col("case_id")], "nth")
+    if max_cases is not None:
+        cases = cases.filter(F.col("nth") <= max_cases)
     dimension = F.broadcast(state_dimension(timed.sparkSession))
     return rows.join(cases.withColumn("y", F.col("nth") - 1), KEYS).join(dimension, "state", "left").select(
         *KEYS, "y", "state", "ordinal", "row_number", "ts_us", "event_type",

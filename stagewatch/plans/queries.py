@@ -13,7 +13,7 @@ from stagewatch.functions.durable import durable
 from stagewatch.operators import (
     diagnostics, enrich, intervals, normalize, sanity, schedule, states, stats, summary, timeline, warnings,
 )
-from stagewatch.plans.site_run import ScriptRun, SiteRun
+from stagewatch.plans.site_run import ScriptRun, SiteRun, composed_run
 from stagewatch.sources import driver_tables as tables
 from stagewatch.sources import listing
 from stagewatch.workflow import KEYS, SESSION_FIELDS, TIMING_LABELS
@@ -36,6 +36,14 @@ def site_run(spark: SparkSession, sf_dir: str, **options) -> SiteRun:
     )
 
 
+def full_run(spark: SparkSession, sf_dir: str, **options) -> SiteRun:
+    """The run as composed from discovery on: processed cases only, all warnings."""
+    return composed_run(
+        listing.discover_cases(tables.file_listing(spark, sf_dir)), tables.raw_events(spark, sf_dir),
+        tables.sessions(spark, sf_dir), tables.timing_log(spark, sf_dir), YEARS, largest_case=largest(spark, sf_dir), **options,
+    )
+
+
 def largest(spark: SparkSession, sf_dir: str) -> int:
     """Upper bound for the events of one case: its log rows plus the few synthetic ones."""
     return tables.largest_case(spark, sf_dir) + len(SESSION_FIELDS) + len(TIMING_LABELS)
@@ -265,9 +273,9 @@ def relative_times(spark, sf):
 
 @query
 def interval_export(spark, sf):
-    rows = site_run(spark, sf).intervals
-    out = sinks.export_columns(rows, [c for c in sinks.INTERVALS if c != "raw_payload_json"])
-    return out.withColumn("timestamp", F.substring("timestamp", 1, 19))
+    """Intervals in the export contract, payload joined back from the enriched rows."""
+    run = site_run(spark, sf)
+    return sinks.export_columns(sinks.with_payload(run.intervals, run.enrich(with_payload=True)), sinks.INTERVALS)
 
 
 # ---- summaries ----------------------------------------------------------------------------------
@@ -496,7 +504,7 @@ def schedule_bootstrap(spark, sf):
 
 @query
 def run_diagnostics(spark, sf):
-    run = site_run(spark, sf, materialize=True)
+    run = full_run(spark, sf, materialize=True)
     return diagnostics.run_diagnostics(run.intervals, run.warnings)
 
 
@@ -507,7 +515,7 @@ def quality_flag_counts(spark, sf):
 
 @query
 def warning_top(spark, sf):
-    return diagnostics.top_warnings(site_run(spark, sf, materialize=True).warnings)
+    return diagnostics.top_warnings(full_run(spark, sf, materialize=True).warnings)
 
 
 @query
@@ -573,5 +581,14 @@ def state_labeled_export(spark, sf):
     """Labelled events in the export contract, payload joined back from the enriched rows."""
     run = site_run(spark, sf)
     rows = sinks.with_payload(run.labelled, run.enrich(with_payload=True))
-    out = sinks.export_columns(rows, sinks.STATE_LABELED)
-    return out.withColumn("timestamp", F.substring("timestamp", 1, 19)).filter("source = 'auditlog'")
+    return sinks.export_columns(rows, sinks.STATE_LABELED)
+
+
+@query
+def normalized_export(spark, sf):
+    return sinks.export_columns(site_run(spark, sf).normalized, sinks.NORMALIZED)
+
+
+@query
+def enriched_export(spark, sf):
+    return sinks.export_columns(site_run(spark, sf).enrich(with_payload=True), sinks.ENRICHED)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import cached_property, reduce
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from stagewatch.functions.durable import durable
 from stagewatch.functions.ordered import group_values, settled, slice_hot_groups
 from stagewatch.operators import enrich, intervals, normalize, states, warnings
+from stagewatch.sources import listing
 from stagewatch.workflow import DEFAULT, KEYS, SCRIPT, Workflow, event_order
 
 
@@ -27,13 +29,15 @@ class SiteRun:
     timing_sheet: DataFrame | None = None
     workflow: Workflow = DEFAULT
     largest_case: int | None = None  # rows of the largest case, where known from statistics
-    materialize: bool = False  # write the intervals once when several consumers read them
+    materialize: bool = False  # write errors and intervals once when several consumers read them
     other_errors: DataFrame | None = None  # keys, row_number, error: unreadable files, bad sheets
+    source_warnings: DataFrame | None = None  # long form: warnings of discovery and source choice
 
     @cached_property
     def errors(self) -> DataFrame:
         own = normalize.case_errors(self.raw)
-        return own if self.other_errors is None else own.unionByName(self.other_errors)
+        found = own if self.other_errors is None else own.unionByName(self.other_errors)
+        return durable(found) if self.materialize else found
 
     @cached_property
     def normalized(self) -> DataFrame:
@@ -91,9 +95,35 @@ class SiteRun:
             parts.append(self._healthy(enrich.session_warnings(self.sessions)))
         if self.timing_sheet is not None:
             parts.append(self._healthy(enrich.timing_log_warnings(self.timing_sheet)))
+        if self.source_warnings is not None:
+            parts.append(self.source_warnings)
         return reduce(DataFrame.unionByName, parts)
 
 
+def composed_run(
+    cases: DataFrame, raw: DataFrame, sessions: DataFrame | None = None, timing_sheet: DataFrame | None = None,
+    years: Iterable[int] | None = None, **options,
+) -> SiteRun:
+    """The run over discovered ``cases``: only cases with one source, of the wanted years and without errors go on.
+
+    Warnings of discovery and source choice count for processed cases and for cases without any candidate; a case that
+    fails gives its error instead.
+    """
+    sources = listing.resolve_sources(cases)
+    row = F.lit(None).cast("bigint").alias("row_number")
+    unresolved = F.col("status") != "resolved"
+    excluded = sources.filter(unresolved).select(*KEYS, row, F.col("status").alias("error"))
+    if years is not None:
+        other_year = ~F.coalesce(F.col("case_year").isin(*years), F.lit(False))
+        outside = normalize.case_years(raw).filter(other_year).select(*KEYS, row, F.lit("other_year").alias("error"))
+        excluded = excluded.unionByName(outside.join(excluded.select(*KEYS), KEYS, "left_anti"))
+    run = SiteRun(raw, sessions, timing_sheet, other_errors=excluded, **options)
+    processed = run._healthy(sources.filter(~unresolved))
+    run.source_warnings = listing.source_warnings(processed).unionByName(
+        listing.source_warnings(sources.filter(F.col("status") == "no_candidates")))
+    return run
+
+
 @dataclass
 class ScriptRun:
     """The script profile: session times injected as log rows, set-up states adjusted, stateless rows dropped."""
@@ -105,7 +135,7 @@ class ScriptRun:
 
     @cached_property
     def injected(self) -> DataFrame:
-        return self.raw if self.sessions is None else enrich.inject_session_rows(self.raw, self.sessions, self.largest_case)
+        return self.raw if self.sessions is None else enrich.inject_session_rows(self.raw, self.sessions)
 
     @cached_property
     def ordered(self) -> DataFrame:

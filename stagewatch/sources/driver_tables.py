@@ -117,7 +117,7 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def timing_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = F.col("base") + F.col("i").cast("bigint") * F.lit(600 * MICROS)
     return (
-        _cases(spark, sf_dir).filter(F.col("user_id") % 3 == 0)
+        _cases(spark, sf_dir)
         .select("*", F.posexplode(text_array(LABELS)).alias("i", "label"))
         .select(
             *KEYS,

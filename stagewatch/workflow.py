@@ -92,19 +92,30 @@ DIAGNOSTIC_FLAGS = (
 )
 INSERTION_STATES = ("Device insertion", "Device repositioning")
 REMOVAL_STATE = "Post-treatment scans & Device removal"
+MRI_STATES = (
+    "Patient positioning & induction", "Device insertion", "Device repositioning", "Alignment", "Coarse", "Detailed",
+    "Planning start angle", "Initialization", "Treating", "Paused", "Review", "Post-treatment scans & Device removal",
+    "Patient recovery & transfer",
+)
+IN_ROOM_STATES = (
+    "Patient positioning & induction", "Device insertion", "Device repositioning", "Alignment", "Coarse", "Detailed",
+    "Planning start angle", "Initialization", "Treating", "Paused", "Review", "Post-treatment scans & Device removal",
+)
+PHASE_GROUPS = {
+    "code5X008_intra": (
+        "Device insertion", "Device repositioning", "Alignment", "Coarse", "Detailed", "Planning start angle",
+        "Initialization", "Treating", "Paused", "Review", "Post-treatment scans & Device removal",
+    ),
+    "code5X006_intra": ("Device insertion", "Device repositioning", "Post-treatment scans & Device removal"),
+    "code5X007_intra": (
+        "Device repositioning", "Alignment", "Coarse", "Detailed", "Planning start angle", "Initialization", "Treating",
+        "Paused", "Review", "Post-treatment scans & Device removal",
+    ),
+}
 # ---- end of fixed values ------------------------------------------------------------------------
 
 STATE_NAMES = tuple(name for name, _ in STATES)
 PLOT_STATES = tuple(s for s in STATE_NAMES if s != "NA")
-MRI_STATES = PLOT_STATES[2:]
-IN_ROOM_STATES = tuple(s for s in MRI_STATES if s != "Patient recovery & transfer")
-PHASE_GROUPS = {
-    "code5X008_intra": tuple(s for s in IN_ROOM_STATES if s != "Patient positioning & induction"),
-    "code5X006_intra": (*INSERTION_STATES, REMOVAL_STATE),
-    "code5X007_intra": tuple(
-        s for s in IN_ROOM_STATES if s not in ("Patient positioning & induction", "Device insertion")
-    ),
-}
 
 
 def quoted(text: str | None) -> str:
@@ -187,7 +198,7 @@ def event_order() -> list[Column]:
     Ordering by expressions would give every window operator its own copy of them, and with it a
     sort of its own; plain columns let all ordered steps share one sort.
     """
-    return [F.col("ts_us"), F.col("tie_rank"), F.col("event_type"), F.col("source_detail")]
+    return [F.col("ts_us"), F.col("tie_rank"), F.col("event_type"), F.col("source_detail"), F.col("source_row")]
 
 
 def as_warnings(df: DataFrame, category: str | Column, row_number: Column, detail: Column) -> DataFrame:

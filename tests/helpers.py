@@ -30,7 +30,8 @@ def event(at, kind, number, case="c1", segment=None, event_kind=None, source="au
 
 def enriched(spark, rows):
     df = spark.createDataFrame(rows, SCHEMA)
-    return df.withColumn("ts_us", micros(F.col("timestamp"))).withColumn("tie_rank", tie_rank())
+    return df.withColumn("ts_us", micros(F.col("timestamp"))).withColumn("tie_rank", tie_rank()).withColumn(
+        "source_row", F.col("row_number"))
 
 
 def with_state(spark, rows):

@@ -103,6 +103,10 @@ def test_case_files_end_to_end(spark, tree, resolved, tmp_path):
     assert states == {"Ready4Urology": "Patient positioning & induction", "SetupWorkflowRecord": "TULSA QA", "CoarseWorkflowRecord": "Coarse"}
     out = sinks.with_payload(run.intervals, run.enrich(with_payload=True))
     assert out.filter("raw_payload IS NULL").count() == 0
+    twice = SiteRun(raw, sessions.unionByName(sessions.withColumn("row_number", F.col("row_number") + 1)))
+    indexes = sinks.with_payload(twice.labelled, twice.enrich(with_payload=True)).filter("source = 'sessions' AND case_id = 'plain'").select(
+        F.get_json_object("raw_payload", "$.session_row_index").alias("i"))
+    assert {r.i for r in indexes.collect()} == {"1", "2"}
     sinks.write_events(out, str(tmp_path / "intervals"), sinks.INTERVALS, per_case=True)
     back = spark.read.parquet(str(tmp_path / "intervals"))
     assert set(back.columns) == {"site_code", *sinks.INTERVALS} and back.count() == 9
