@@ -276,6 +276,11 @@ STATEMENTS: dict[str, str] = {
     "state_labeled_export": """SELECT l.site_code, l.case_id, strftime(l.ts, '%Y-%m-%dT%H:%M:%S') AS timestamp, l.event_type, l.source, l.is_synthetic, coalesce(l.segment_id, '') AS segment_id,
         l.event_kind, coalesce(state, '') AS state, coalesce(state_assignment_rule, '') AS state_assignment_rule, cleanup_rule_applied, '' AS drop_reason, l.row_number, source_detail,
         coalesce(insertion_rule, '') AS insertion_rule, raw_payload AS raw_payload_json FROM c_labelled l""",
+    "aligned_logs": """SELECT site_code, case_id, row_number, raw_timestamp, raw_event_type, raw_segment_id AS SegmentId, raw_event_kind,
+        CASE WHEN site_code NOT IN ('S0', 'S1') THEN raw_event_kind::DOUBLE END AS Temperature FROM c_raw""",
+    "log_head": "SELECT site_code, case_id, row_number, raw_timestamp, raw_event_type, raw_segment_id FROM c_raw WHERE row_number <= 5",
+    "filled_phases": f"""SELECT site_code, case_id, row_number() OVER (PARTITION BY site_code ORDER BY case_id) AS Pt, 0.0::DOUBLE AS Paused, Treating
+        FROM ({summary("c_intervals")})""",
     "normalized_export": """SELECT site_code, case_id, row_number, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS timestamp, event_type, coalesce(segment_id, '') AS segment_id, event_kind,
         'auditlog' AS source, event_type = 'SignalRecord' AS is_dropped, CASE WHEN event_type = 'SignalRecord' THEN 'filtered_signal_record' ELSE '' END AS drop_reason,
         raw_payload AS raw_payload_json FROM c_norm""",

@@ -62,8 +62,8 @@ def plausible_session_text(text: Column) -> Column:
     )
 
 
-def optional_int(text: Column) -> Column:
-    return blank_to_null(text).try_cast("double").try_cast("int")
+def optional_int(text: Column, kind: str = "bigint") -> Column:
+    return blank_to_null(text).try_cast("double").try_cast(kind)
 
 
 def micros(ts: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,6 +75,25 @@ def normalize_events(raw: DataFrame, workflow: Workflow = DEFAULT, on_error: str
     })
 
 
+# Log columns that versions name differently, and those that no version needs.
+RENAMED_LOG_COLUMNS = {"TreatmentId": "SegmentId"}
+UNUSED_LOG_COLUMNS = ("SignalHelpKey", "FirstActiveElement")
+
+
+def align_log_versions(*logs: DataFrame) -> DataFrame:
+    """One table from logs of different versions: old names renamed, unused columns dropped, absent ones NULL."""
+    def aligned(log: DataFrame) -> DataFrame:
+        renames = {old: new for old, new in RENAMED_LOG_COLUMNS.items() if old in log.columns and new not in log.columns}
+        return log.withColumnsRenamed(renames).drop(*UNUSED_LOG_COLUMNS)
+
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(aligned, logs))
+
+
+def log_head(raw: DataFrame, n: int = 5) -> DataFrame:
+    """The first ``n`` log rows of every case: a look at the data, by row number and so without a sort."""
+    return raw.filter(F.col("row_number") <= n)
+
+
 def kept(normalized: DataFrame) -> DataFrame:
     return normalized.filter(~F.col("is_dropped"))
 

@@ -133,6 +133,20 @@ def inferred_ids(spark, sf):
     return normalize.infer_patient_ids(tables.raw_events(spark, sf), tables.sessions(spark, sf))
 
 
+@query
+def aligned_logs(spark, sf):
+    """Logs of two versions (here: by site) as one table."""
+    raw = tables.raw_events(spark, sf).withColumnRenamed("raw_segment_id", "SegmentId")
+    old = raw.filter("site_code IN ('S0', 'S1')").withColumnRenamed("SegmentId", "TreatmentId").withColumn("SignalHelpKey", F.lit("k"))
+    new = raw.filter("site_code NOT IN ('S0', 'S1')").withColumn("Temperature", F.col("raw_event_kind").cast("double"))
+    return normalize.align_log_versions(old, new).drop("raw_payload")
+
+
+@query
+def log_head(spark, sf):
+    return normalize.log_head(tables.raw_events(spark, sf)).select(*KEYS, "row_number", "raw_timestamp", "raw_event_type", "raw_segment_id")
+
+
 @query
 def matching_events(spark, sf):
     return diagnostics.matching_events(site_run(spark, sf).normalized).select(
@@ -318,6 +332,12 @@ def identified_summary(spark, sf):
         "Site", "PtId", "Pt", "CaseFolder", "MRITotal", "ProcedureTotal", "TotalMinutes"))
 
 
+@query
+def filled_phases(spark, sf):
+    """A summary that lacks a state, filled up."""
+    return rounded(summary.fill_phases(wide(spark, sf).drop("Paused"))).select(*KEYS, "Pt", "Paused", "Treating")
+
+
 @query
 def localization_summary(spark, sf):
     merged = summary.merge_phases(wide(spark, sf))

@@ -130,7 +130,7 @@ def audit_events(rows: DataFrame) -> DataFrame:
         blank_to_null(_field("TimeStamp")).alias("raw_timestamp"),
         blank_to_null(_field("AuditRecordBase_Type")).alias("raw_event_type"),
         blank_to_null(F.coalesce(_field("SegmentId"), _field("TreatmentId"))).alias("raw_segment_id"),
-        optional_int(_field("EventKind")).alias("raw_event_kind"),
+        optional_int(_field("EventKind"), "int").alias("raw_event_kind"),
         blank_to_null(_field("PatientId")).alias("patient_id"),
         F.col("payload").alias("raw_payload"),
     )
