@@ -21,7 +21,7 @@ GUARD_REFERENCE_WORDS = 2000
 MAX_CLASS_DISTANCE = 0.22
 MAX_WORD_DISTANCE = 0.40
 #: Beyond this class distance the words don't matter: the text isn't prose.
-FAR_CLASS_DISTANCE = 0.27
+FAR_CLASS_DISTANCE = 0.29
 
 # Character classes as regular expressions, taken off the words one after the other; what is left is a class.
 CLASSES = {"lower": "[a-zß-öø-ÿ]+", "symbol": "[#*$%&|<>]+", "upper": "[A-ZÀ-ÖØ-Þ]+", "stop": "[.,;:!?'\"()\\-]+", "digit": "[0-9]+"}
