@@ -155,4 +155,56 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(len(g.gone), 0)::BIGINT A
          ' '), '')) AS kept_sha256
 FROM docs d LEFT JOIN gone g ON d.r = g.r
 """,
+    "op9_quality": r"""
+WITH raw AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS lang,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s0 AS (SELECT *, array_to_string(w, '') AS a FROM raw),
+s1 AS (SELECT *, regexp_replace(a, '[a-zß-öø-ÿ]+', '', 'g') AS b FROM s0),
+s2 AS (SELECT *, regexp_replace(b, '[#*$%&|<>]+', '', 'g') AS c FROM s1),
+s3 AS (SELECT *, regexp_replace(c, '[A-ZÀ-ÖØ-Þ]+', '', 'g') AS d FROM s2),
+s4 AS (SELECT *, regexp_replace(d, '[.,;:!?''"()\-]+', '', 'g') AS e FROM s3),
+s5 AS (SELECT *, regexp_replace(e, '[0-9]+', '', 'g') AS f FROM s4),
+measured AS (
+  SELECT r, doc_id, lang, t, w, len(w) AS n, length(a) AS word_chars, length(b) - length(c) AS n_symbols,
+         [length(t) - length(a), length(a) - length(b), length(b) - length(c), length(c) - length(d), length(d) - length(e),
+          length(e) - length(f), length(f)] AS classes,
+         list_transform(COMMON, lambda k: len(list_filter(w, lambda x: x = k))) AS common,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM s5
+), windows AS (
+  SELECT r, i, count(*) OVER (PARTITION BY r, w[i], w[i + 1], w[i + 2]) AS times
+  FROM (SELECT r, w, unnest(range(1, n - 1)) AS i FROM measured WHERE n >= 3)
+), repeated AS (
+  SELECT r, count(DISTINCT pos) AS n_repeat FROM (SELECT r, unnest([i, i + 1, i + 2]) AS pos FROM windows WHERE times > 1) GROUP BY r
+), cells AS (
+  SELECT r, lang, 'class' AS kind, unnest(classes) AS v, generate_subscripts(classes, 1) AS k, length(t) AS total FROM measured
+  UNION ALL
+  SELECT r, lang, 'word', unnest(list_append(common, n - list_sum(common))), generate_subscripts(list_append(common, 0), 1), n FROM measured
+), langs AS (
+  SELECT lang, sum(n) >= 2000 AS enough FROM measured GROUP BY lang
+), refs AS (
+  SELECT lang, kind, k, sum(v) / greatest(sum(sum(v)) OVER (PARTITION BY lang, kind), 1)::DOUBLE AS q FROM cells GROUP BY lang, kind, k
+), pool AS (
+  SELECT kind, k, sum(v) / greatest(sum(sum(v)) OVER (PARTITION BY kind), 1)::DOUBLE AS q FROM cells GROUP BY kind, k
+), compared AS (
+  SELECT c.r, c.kind, c.v / greatest(c.total, 1)::DOUBLE AS p, CASE WHEN l.enough THEN f.q ELSE o.q END AS q
+  FROM cells c JOIN langs l ON l.lang = c.lang JOIN refs f ON f.lang = c.lang AND f.kind = c.kind AND f.k = c.k
+  JOIN pool o ON o.kind = c.kind AND o.k = c.k
+), distances AS (
+  SELECT r, kind, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+                                    + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2, 0)) AS d
+  FROM compared GROUP BY r, kind
+), judged AS (
+  SELECT m.doc_id, m.n, m.word_chars, m.n_symbols, len(m.lines) - len(list_distinct(m.lines)) AS n_dup, coalesce(p.n_repeat, 0) AS n_repeat,
+         m.n < 50 OR 100 * coalesce(p.n_repeat, 0) > 50 * m.n AS base_failed, c.d AS class_d, x.d AS word_d
+  FROM measured m LEFT JOIN repeated p ON p.r = m.r JOIN distances c ON c.r = m.r AND c.kind = 'class'
+  JOIN distances x ON x.r = m.r AND x.kind = 'word'
+)
+SELECT doc_id, n::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup::BIGINT AS n_dup_lines,
+       n_repeat::BIGINT AS n_repeat_words, base_failed,
+       NOT base_failed AND NOT (n >= 50 AND (class_d > 0.29 OR class_d > 0.22 AND word_d > 0.40)) AS kept
+FROM judged
+""".replace("COMMON", "['the', 'of', 'and', 'to', 'in', 'der', 'die', 'und', 'den', 'nicht', 'de', 'la', 'le', 'les', 'et', 'el', 'los', 'y', 'se', 'por']"),
 }
