@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stagewatch.functions.scratch import stored
-from stagewatch.llm.common import row_key
 
 #: Pages that must have a style node before its entropy is judged.
 MIN_PAGES = 8

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stagewatch.functions.scratch import stored
-from stagewatch.llm.common import WORD, text_or_empty
+from stagewatch.llm.common import text_or_empty
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stagewatch.llm import (
     decontaminate, html_extract, licenses, mixing, neardup, quality, sharding, substring, token_counts, token_files,
