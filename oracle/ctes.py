@@ -93,7 +93,7 @@ G2_MISMATCH = ("length(trim(segment_id)) >= 10 AND contains(trim(segment_id), '-
 
 CTES: dict[str, str] = {
     "c_events": """
-        SELECT user_id, event_id, epoch_us(ts) AS us, props, CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS BIGINT) AS k
+        SELECT user_id, event_id, epoch_us(ts) - CASE WHEN user_id % 10 = 4 THEN 365 * 86400000000 ELSE 0 END AS us, props, CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS BIGINT) AS k
         FROM events""",
     "c_arrival": """
         SELECT *, us + CASE WHEN k % 17 = 0 THEN 86400000000 ELSE 0 END AS arrival_us,
@@ -105,11 +105,13 @@ CTES: dict[str, str] = {
         SELECT 'S' || (user_id % 4) AS site_code, 'case_' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS case_id, row_number,
           CASE WHEN user_id % 50 = 49 AND row_number = 1 THEN 'not-a-date'
                ELSE strftime(make_timestamp(cus), '%Y-%m-%d %H:%M:%S') || '.0000000' END AS raw_timestamp,
-          [{listed(TYPES)}][k % 40 + 1] AS raw_event_type,
+          CASE WHEN user_id % 50 = 48 AND row_number = 2 THEN ' ' ELSE [{listed(TYPES)}][k % 40 + 1] END AS raw_event_type,
           CASE WHEN k % 21 = 0 THEN strftime(make_timestamp(cus - 86400000000), '%Y-%m-%d') || '_seg'
                WHEN k % 7 = 0 THEN strftime(make_timestamp(cus), '%Y-%m-%d') || '_seg'
                WHEN k % 7 = 1 THEN 'SEG-1' END AS raw_segment_id,
-          CAST(k % 3 AS INTEGER) AS raw_event_kind, props AS raw_payload
+          CAST(k % 3 AS INTEGER) AS raw_event_kind,
+          CASE WHEN k % 7 > 1 AND k % 11 = 3 THEN '{{"TreatmentId": "T-' || (k % 5) || '"}}' ELSE props END AS raw_payload,
+          CASE WHEN user_id % 4 = 1 AND row_number > 1 THEN 'P' || user_id END AS patient_id
         FROM c_numbered""",
     "c_bases": """
         SELECT user_id, 'S' || (user_id % 4) AS site_code, 'case_' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS case_id,
@@ -125,7 +127,7 @@ CTES: dict[str, str] = {
         FROM c_bases""",
     "c_sheet": f"""
         SELECT site_code, case_id, case_id || '.csv' AS source_file, i + 2 AS row_number, [{listed(LABELS)}][i + 1] AS label,
-          strftime(make_timestamp(base + i * 600000000), '%Y-%m-%d %H:%M:%S') AS start_text,
+          CASE WHEN (user_id + i) % 13 = 0 THEN 'soon' ELSE strftime(make_timestamp(base + i * 600000000), '%Y-%m-%d %H:%M:%S') END AS start_text,
           CASE WHEN (user_id + i) % 7 = 0 THEN ''
                ELSE strftime(make_timestamp(base + i * 600000000 + 480000000), '%Y-%m-%d %H:%M:%S') END AS end_text
         FROM c_bases, range(6) r(i)""",
@@ -135,11 +137,12 @@ CTES: dict[str, str] = {
     "c_typed": """
         SELECT *, TRY_CAST(raw_timestamp AS TIMESTAMP) AS ts FROM c_raw""",
     "c_errors": """
-        SELECT site_code, case_id, min(row_number) AS row_number, 'invalid_timestamp' AS error
-        FROM c_typed WHERE ts IS NULL GROUP BY site_code, case_id""",
+        SELECT site_code, case_id, min(row_number) AS row_number,
+          arg_min(CASE WHEN ts IS NULL THEN 'invalid_timestamp' ELSE 'missing_event_type' END, row_number) AS error
+        FROM c_typed WHERE ts IS NULL OR trim(raw_event_type) = '' GROUP BY site_code, case_id""",
     "c_norm": """
         SELECT t.site_code, t.case_id, t.row_number, t.ts, epoch_us(t.ts) AS ts_us, trim(raw_event_type) AS event_type,
-               trim(raw_segment_id) AS segment_id, raw_event_kind AS event_kind, raw_payload
+               coalesce(trim(raw_segment_id), json_extract_string(raw_payload, '$.TreatmentId')) AS segment_id, raw_event_kind AS event_kind, raw_payload
         FROM c_typed t ANTI JOIN c_errors e ON e.site_code = t.site_code AND e.case_id = t.case_id""",
     "c_fields": """
         SELECT site_code, case_id, field, event_type, value,
@@ -182,7 +185,9 @@ CTES: dict[str, str] = {
         SELECT site_code, case_id, 'timing_log_unmapped_label' AS category, row_number, 'label=' || label AS detail
         FROM c_sheet WHERE label NOT IN (SELECT label FROM c_labels)
         UNION ALL SELECT site_code, case_id, 'timing_log_missing_mapped_time', row_number, label || ':' || event_type || ':' || selector
-        FROM c_mapped WHERE ts IS NULL""",
+        FROM c_mapped WHERE ts IS NULL
+        UNION ALL SELECT site_code, case_id, 'timing_log_unparseable_datetime', row_number, 'field=TimeSTART:value=soon'
+        FROM c_sheet WHERE start_text = 'soon'""",
     "c_enriched": """
         SELECT site_code, case_id, ts, epoch_us(ts) AS ts_us, event_type, source, is_synthetic, source_detail, segment_id,
                event_kind, row_number, insertion_rule, raw_payload, CASE source WHEN 'auditlog' THEN 0 WHEN 'sessions' THEN 1 ELSE 2 END AS src
@@ -297,10 +302,11 @@ CTES: dict[str, str] = {
           'event_type=' || event_type || ':start_us=' || start_us || ':expected_pre_anchor=1' FROM c_intervals WHERE start_us < -21600000000""",
     # ---- script profile ----
     "c_injected": """
-        SELECT site_code, case_id, row_number, raw_timestamp, raw_event_type, raw_segment_id, raw_event_kind FROM c_raw
+        SELECT site_code, case_id, row_number, raw_timestamp, raw_event_type, raw_segment_id, raw_event_kind,
+               json_extract_string(raw_payload, '$.TreatmentId') AS treatment FROM c_raw
         UNION ALL
         SELECT a.site_code, a.case_id, m.last_row + row_number() OVER (PARTITION BY a.site_code, a.case_id ORDER BY a.at),
-               a.value, a.event_type, m.seg, m.kind
+               a.value, a.event_type, m.seg, m.kind, m.treatment
         FROM (SELECT site_code, case_id, event_type, trim(value) AS value,
                 CASE field WHEN 'TimePatientSedatedAt' THEN 0 WHEN 'TimeUaInsertedAt' THEN 1 ELSE 2 END AS at
               FROM c_fields f WHERE event_type IS NOT NULL AND year(TRY_CAST(value AS TIMESTAMP)) >= 2000
@@ -308,12 +314,13 @@ CTES: dict[str, str] = {
                   AND r.raw_event_type = f.event_type AND r.raw_timestamp = trim(f.value))) a
         JOIN (SELECT site_code, case_id, max(row_number) AS last_row,
                 max(CASE WHEN row_number = 1 THEN raw_segment_id END) AS seg,
-                max(CASE WHEN row_number = 1 THEN raw_event_kind END) AS kind
+                max(CASE WHEN row_number = 1 THEN raw_event_kind END) AS kind,
+                max(CASE WHEN row_number = 1 THEN json_extract_string(raw_payload, '$.TreatmentId') END) AS treatment
               FROM c_raw GROUP BY site_code, case_id) m ON m.site_code = a.site_code AND m.case_id = a.case_id""",
     "c_script_events": f"""
         SELECT site_code, case_id, row_number, TRY_CAST(raw_timestamp AS TIMESTAMP) AS ts, epoch_us(TRY_CAST(raw_timestamp AS TIMESTAMP)) AS ts_us,
-          raw_event_type AS event_type, raw_segment_id AS segment_id, raw_event_kind AS event_kind
-        FROM c_injected WHERE TRY_CAST(raw_timestamp AS TIMESTAMP) IS NOT NULL AND raw_event_type <> 'SignalRecord'""",
+          raw_event_type AS event_type, coalesce(raw_segment_id, treatment) AS segment_id, raw_event_kind AS event_kind
+        FROM c_injected WHERE TRY_CAST(raw_timestamp AS TIMESTAMP) IS NOT NULL AND trim(raw_event_type) <> '' AND raw_event_type <> 'SignalRecord'""",
     "c_script_dups": f"""
         SELECT *, coalesce(event_type = 'AlignmentWorkflowRecord' AND lag(event_type) OVER w = 'CoarseWorkflowRecord'
                   AND lag(ts_us) OVER w = ts_us, FALSE) AS is_dup

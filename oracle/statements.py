@@ -146,7 +146,9 @@ STATEMENTS: dict[str, str] = {
     "year_selected_cases": """SELECT site_code, case_id, count(*) AS n_rows FROM c_raw
         WHERE (site_code, case_id) IN (SELECT (site_code, case_id) FROM c_raw WHERE row_number = 1 AND starts_with(raw_timestamp, '2024')) GROUP BY site_code, case_id""",
     "lenient_time_quality": "SELECT site_code, count(*) AS n_rows, count(*) FILTER (ts IS NULL) AS n_bad FROM c_typed GROUP BY site_code",
-    "inferred_ids": "SELECT site_code, case_id, case_id AS inferred_id FROM c_bases",
+    "inferred_ids": """SELECT b.site_code, b.case_id, coalesce(max(r.patient_id),
+        CASE WHEN user_id % 8 = 2 THEN 'Q' || user_id WHEN user_id % 8 = 3 THEN 'N' || user_id END, b.case_id) AS inferred_id
+        FROM c_bases b JOIN c_raw r ON r.site_code = b.site_code AND r.case_id = b.case_id GROUP BY b.site_code, b.case_id, user_id""",
     "matching_events": """SELECT site_code, case_id, row_number, ts AS timestamp, event_type, nth FROM (SELECT *, row_number() OVER (PARTITION BY site_code ORDER BY ts_us, case_id, row_number) AS nth
         FROM c_norm WHERE event_type LIKE '%Treat%')""",
     "session_events": "SELECT site_code, case_id, ts AS timestamp, event_type, source_detail FROM c_session_events",
@@ -156,7 +158,7 @@ STATEMENTS: dict[str, str] = {
     "timing_log_unmapped": "SELECT site_code, case_id, row_number, label FROM c_sheet WHERE label NOT IN (SELECT label FROM c_labels)",
     "timing_log_warnings": f"SELECT {WARNING} FROM c_timing_warnings",
     "enriched_events": f"SELECT {EVENT}, is_synthetic, segment_id, event_kind, insertion_rule FROM c_enriched",
-    "injected_session_events": "SELECT * FROM c_injected",
+    "injected_session_events": "SELECT * EXCLUDE (treatment) FROM c_injected",
     "state_labeled_events": f"SELECT {EVENT}, state, state_assignment_rule, cleanup_rule_applied FROM c_labelled",
     "unmapped_critical": "SELECT * FROM c_unmapped",
     "stateless_types": "SELECT event_type, count(*) AS n_events FROM c_labelled WHERE state IS NULL GROUP BY event_type",

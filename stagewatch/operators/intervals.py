@@ -144,7 +144,7 @@ def state_intervals(labelled: DataFrame, workflow: Workflow = DEFAULT, arrival:
 
 
 def relative_times(
-    df: DataFrame, ts_us: str = "ts_us", keys: list[str] | None = None, tie: str = "row_number"
+    df: DataFrame, ts_us: str = "ts_us", keys: list[str] | None = None, tie: str = "row_number", largest: int | None = None,
 ) -> DataFrame:
     """Seconds since the group's first time, seconds to the next time (0 at the end, never negative).
 
@@ -153,7 +153,7 @@ def relative_times(
     keys = KEYS if keys is None else keys
     keys = keys if all(k in df.columns for k in keys) else []
     order = [F.col(ts_us), F.col(tie)]
-    out = slice_hot_groups(df.drop(SLICE), keys, order)
+    out = slice_hot_groups(df.drop(SLICE), keys, order, largest=largest if keys else None)
     out = next_value(group_values(out, keys, {"__first": F.min(ts_us)}), keys, order, "__next", F.col(ts_us))
     return out.withColumns({
         "start_sec": (F.col(ts_us) - F.col("__first")) / 1e6,

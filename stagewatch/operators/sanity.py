@@ -17,10 +17,10 @@ def _crossing(first: Column, last: Column, cutoff: int) -> Column:
     return F.coalesce((clock_us(first) < cutoff) & (clock_us(last) >= cutoff), F.lit(False))
 
 
-def backward_steps(events: DataFrame, arrival: str = "row_number") -> DataFrame:
+def backward_steps(events: DataFrame, arrival: str = "row_number", largest: int | None = None) -> DataFrame:
     """Per case: does the clock ever step back in log order, and the worst step in seconds (≤ 0)."""
     order = [F.col(arrival)]
-    out = slice_hot_groups(events.select(*KEYS, arrival, "ts_us"), KEYS, order)
+    out = slice_hot_groups(events.select(*KEYS, arrival, "ts_us"), KEYS, order, largest=largest)
     out = running_before(out, KEYS, order, {"__prev": ("last", F.col("ts_us"))})
     step = F.col("ts_us") - F.col("__prev")
     return out.groupBy(*KEYS).agg(F.least(F.coalesce(F.min(step), F.lit(0)), F.lit(0)).alias("step_us")).select(
@@ -28,11 +28,12 @@ def backward_steps(events: DataFrame, arrival: str = "row_number") -> DataFrame:
     )
 
 
-def time_sanity(labelled: DataFrame, log: DataFrame | None = None) -> DataFrame:
+def time_sanity(labelled: DataFrame, log: DataFrame | None = None, largest: int | None = None) -> DataFrame:
     """One row per case: the log window and, for rows with a state, the procedural window.
 
     ``log`` holds the rows in arrival order for the backward-step check (default: the log rows of
-    ``labelled``); the check would be empty on rows already sorted by time.
+    ``labelled``); the check would be empty on rows already sorted by time.  ``largest`` is the size of the largest case
+    where it is known; without it the rows are counted first.
     """
     noon = parse_clock(NOON)
     with_state = has_state()
@@ -45,7 +46,7 @@ def time_sanity(labelled: DataFrame, log: DataFrame | None = None) -> DataFrame:
         F.coalesce(F.bool_or(with_state & after), F.lit(False)).alias("proc_any_after_noon"),
     )
     logged = labelled.filter(F.col("row_number").isNotNull()) if log is None else log
-    facts = facts.join(backward_steps(logged.drop(SLICE)), KEYS, "left")
+    facts = facts.join(backward_steps(logged.drop(SLICE), largest=largest), KEYS, "left")
 
     def window(first: str, last: str, prefix: str) -> list[Column]:
         a, b = F.col(first), F.col(last)

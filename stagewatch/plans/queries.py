@@ -139,7 +139,7 @@ def aligned_logs(spark, sf):
     raw = tables.raw_events(spark, sf).withColumnRenamed("raw_segment_id", "SegmentId")
     old = raw.filter("site_code IN ('S0', 'S1')").withColumnRenamed("SegmentId", "TreatmentId").withColumn("SignalHelpKey", F.lit("k"))
     new = raw.filter("site_code NOT IN ('S0', 'S1')").withColumn("Temperature", F.col("raw_event_kind").cast("double"))
-    return normalize.align_log_versions(old, new).drop("raw_payload")
+    return normalize.align_log_versions(old, new).drop("raw_payload", "patient_id")
 
 
 @query
@@ -282,7 +282,7 @@ def interval_warnings(spark, sf):
 @query
 def relative_times(spark, sf):
     rows = normalize.kept(site_run(spark, sf).normalized)
-    return intervals.relative_times(rows).select(*KEYS, "row_number", "start_sec", "duration_sec")
+    return intervals.relative_times(rows, largest=largest(spark, sf)).select(*KEYS, "row_number", "start_sec", "duration_sec")
 
 
 @query
@@ -348,12 +348,12 @@ def localization_summary(spark, sf):
 
 @query
 def time_sanity(spark, sf):
-    return rounded(sanity.time_sanity(site_run(spark, sf).labelled))
+    return rounded(sanity.time_sanity(site_run(spark, sf).labelled, largest=largest(spark, sf)))
 
 
 @query
 def sanity_rollup(spark, sf):
-    return sanity.flag_rollup(sanity.time_sanity(site_run(spark, sf).labelled))
+    return sanity.flag_rollup(sanity.time_sanity(site_run(spark, sf).labelled, largest=largest(spark, sf)))
 
 
 @query

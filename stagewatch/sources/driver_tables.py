@@ -54,6 +54,11 @@ def _case(user: Column) -> Column:
     return F.concat(F.lit("case_"), F.lpad(user.cast("string"), 6, "0"))
 
 
+def _shifted(us: Column) -> Column:
+    """Every tenth case lies a year earlier."""
+    return us - F.when(F.col("user_id") % 10 == 4, F.lit(365 * DAY_US)).otherwise(F.lit(0))
+
+
 def _stamp(us: Column) -> Column:
     return from_micros(us).cast("string").substr(1, 19)
 
@@ -63,7 +68,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrival = [F.col("arrival_us"), F.col("event_id")]
     events = table(spark, sf_dir, "events").select(
         _site(user).alias("site_code"), _case(user).alias("case_id"), "user_id", "event_id",
-        micros(F.col("ts")).alias("us"), "props",
+        _shifted(micros(F.col("ts"))).alias("us"), "props",
         F.get_json_object("props", "$.k").cast("bigint").alias("k"),
     ).withColumn("arrival_us", us + F.when(k % 17 == 0, F.lit(DAY_US)).otherwise(F.lit(0)))
     events = settled(slice_hot_groups(events, KEYS, arrival, largest=largest_case(spark, sf_dir)))
@@ -78,12 +83,16 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             *KEYS, "row_number",
             F.when((user % 50 == 49) & (F.col("row_number") == 1), "not-a-date")
             .otherwise(F.concat(_stamp(F.col("cus")), F.lit(".0000000"))).alias("raw_timestamp"),
-            F.get(text_array(TYPES), (k % 40).cast("int")).alias("raw_event_type"),
+            F.when((user % 50 == 48) & (F.col("row_number") == 2), " ")
+            .otherwise(F.get(text_array(TYPES), (k % 40).cast("int"))).alias("raw_event_type"),
             F.when(k % 21 == 0, F.concat(_stamp(F.col("cus") - DAY_US).substr(1, 10), F.lit("_seg")))
             .when(k % 7 == 0, F.concat(day, F.lit("_seg")))
             .when(k % 7 == 1, "SEG-1").alias("raw_segment_id"),
             (k % 3).cast("int").alias("raw_event_kind"),
-            F.col("props").alias("raw_payload"),
+            # Rows without a segment may name a treatment in their payload instead.
+            F.when((k % 7 > 1) & (k % 11 == 3), F.concat(F.lit('{"TreatmentId": "T-'), (k % 5).cast("string"), F.lit('"}')))
+            .otherwise(F.col("props")).alias("raw_payload"),
+            F.when((user % 4 == 1) & (F.col("row_number") > 1), F.concat(F.lit("P"), user.cast("string"))).alias("patient_id"),
         )
     )
 
@@ -93,7 +102,7 @@ def _cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "events").groupBy("user_id").agg(F.min("ts").alias("first_ts"))
         .select(_site(F.col("user_id")).alias("site_code"), _case(F.col("user_id")).alias("case_id"),
-                "user_id", micros(F.col("first_ts")).alias("base"))
+                "user_id", _shifted(micros(F.col("first_ts"))).alias("base"))
     )
 
 
@@ -109,6 +118,8 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(user % 5 == 0, "0001-01-01 00:00:00").when(user % 7 == 0, "").when(user % 11 == 0, "not-a-date")
         .otherwise(after(30)).alias("TimePatientSedatedAt"),
         F.when(user % 6 != 0, after(75)).alias("TimeUaInsertedAt"),
+        F.when(user % 8 == 2, F.concat(F.lit("Q"), user.cast("string"))).otherwise(" ").alias("PatientId"),
+        F.when(user % 8 == 3, F.concat(F.lit("N"), user.cast("string"))).alias("DisplayName"),
         after(15 * 60).alias("TimeUaRemovedAt"),
         F.when(user % 4 == 0, "0001-01-01T00:00:00.0000000").otherwise(after(20 * 60)).alias("TimePatientTransferredAt"),
     )
@@ -124,7 +135,7 @@ def timing_log(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.col("case_id"), F.lit(".csv")).alias("source_file"),
             (F.col("i") + 2).cast("bigint").alias("row_number"),
             "label",
-            _stamp(start).alias("start_text"),
+            F.when((F.col("user_id") + F.col("i")) % 13 == 0, "soon").otherwise(_stamp(start)).alias("start_text"),
             F.when((F.col("user_id") + F.col("i")) % 7 == 0, "").otherwise(_stamp(start + F.lit(480 * MICROS)))
             .alias("end_text"),
         )

@@ -9,7 +9,7 @@ from stagewatch import sinks
 from stagewatch.operators import diagnostics, enrich, normalize
 from stagewatch.plans.site_run import SiteRun
 from stagewatch.sources import case_files, listing, tables, timing_sheets
-from stagewatch.workflow import KEYS
+
 
 
 def database(rows, segment="SegmentId", audit=True) -> bytes:
