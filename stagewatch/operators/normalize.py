@@ -94,6 +94,22 @@ def log_head(raw: DataFrame, n: int = 5) -> DataFrame:
     return raw.filter(F.col("row_number") <= n)
 
 
+def log_facts(raw: DataFrame, workflow: Workflow = DEFAULT) -> DataFrame:
+    """What a run reports of a case's log, in one pass: counts, first bad row and its error, year of the first row."""
+    typed = _typed(raw).withColumns({
+        "bad": ~_usable(), "noise": F.coalesce(F.col("event_type") == workflow.noise_type, F.lit(False)), "error": _row_error(),
+    })
+    bad_row = F.when(F.col("bad"), F.col("row_number"))
+    facts = typed.groupBy(*KEYS).agg(
+        F.count(F.lit(1)).alias("raw_event_count"),
+        F.count_if(~F.col("bad") & ~F.col("noise")).alias("normalized_event_count"),
+        F.count_if(~F.col("bad") & F.col("noise")).alias("dropped_event_count"),
+        F.min(bad_row).alias("row_number"), F.min_by("error", bad_row).alias("error"),
+        F.min_by("raw_timestamp", "row_number").alias("first_timestamp"),
+    )
+    return facts.withColumn("case_year", _year_of(F.col("first_timestamp")))
+
+
 def kept(normalized: DataFrame) -> DataFrame:
     return normalized.filter(~F.col("is_dropped"))
 
@@ -115,13 +131,15 @@ def resolve_years(selection: str, current_year: int) -> list[int]:
     raise ValueError(f"unknown year selection {selection!r}")
 
 
+def _year_of(timestamp_text: Column) -> Column:
+    prefix = timestamp_text.substr(1, 4)
+    return F.when(prefix.rlike(r"^\d{4}$"), prefix.cast("int"))
+
+
 def case_years(raw: DataFrame) -> DataFrame:
     """Year text of the first row (file order) of every case."""
     first = F.min_by("raw_timestamp", "row_number")
-    prefix = F.col("first_timestamp").substr(1, 4)
-    return raw.groupBy(*KEYS).agg(first.alias("first_timestamp")).withColumn(
-        "case_year", F.when(prefix.rlike(r"^\d{4}$"), prefix.cast("int"))
-    )
+    return raw.groupBy(*KEYS).agg(first.alias("first_timestamp")).withColumn("case_year", _year_of(F.col("first_timestamp")))
 
 
 def select_years(raw: DataFrame, years: Iterable[int]) -> DataFrame:

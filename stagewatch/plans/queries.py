@@ -570,20 +570,21 @@ def source_first_match(spark, sf):
 
 
 def results(spark, sf) -> DataFrame:
+    """Two passes over the log: one for the facts of each case, one for its intervals."""
     run = site_run(spark, sf, materialize=True)
     sources = listing.resolve_sources(listing.discover_cases(tables.file_listing(spark, sf)))
-    counts = diagnostics.stage_counts({
-        "raw_event_count": run.raw,
-        "normalized_event_count": normalize.kept(run.normalized),
-        "dropped_event_count": normalize.dropped(run.normalized),
-        "session_synthetic_count": run.session_events,
-        "timing_log_synthetic_count": run.timing_events,
+    facts = durable(normalize.log_facts(run.raw))
+    stages = diagnostics.stage_counts({
+        "session_synthetic_count": enrich.session_events(run.sessions),
+        "timing_log_synthetic_count": enrich.timing_log_events(run.timing_sheet),
         "state_interval_count": run.intervals,
         "state_warning_count": warnings.state_warnings(run.intervals),
         "timing_warning_count": warnings.interval_warnings(run.intervals),
         "plot_warning_count": warnings.timeline_warnings(run.intervals),
     })
-    return diagnostics.case_results(sources, run.errors, normalize.case_years(run.raw), counts, YEARS)
+    log_counts = facts.select(*KEYS, "raw_event_count", "normalized_event_count", "dropped_event_count")
+    errors = facts.filter("error IS NOT NULL").select(*KEYS, "error")
+    return diagnostics.case_results(sources, errors, facts, log_counts.join(stages, KEYS, "left"), YEARS)
 
 
 @query
