@@ -3,19 +3,18 @@
 The items' words go into one suffix automaton.  A document's words are streamed through it; the automaton holds the longest
 run of words that ends here and stands in some item.  Where that run reaches the window length, or a whole item that is
 shorter, the words are hit.  Items come in blocks of bounded size, so the automaton has a bound whatever the number of items:
-every document is streamed through each block's automaton.
+every document is streamed through each block's automaton, one pass after the other.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark import SparkContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stagewatch.functions.scratch import stored
 from stagewatch.llm.common import PLAIN, as_bytes
 
 WINDOW = 10
@@ -185,20 +184,53 @@ def automata(benchmark: DataFrame, item_id: str = "item_id", text: str = "text",
             yield SuffixAutomaton([(r["item"], r["words"].encode().split(), r["whole"]) for r in rows], window)
 
 
-def _scanner(spark_context: SparkContext, benchmark: DataFrame, item_id: str, text: str, window: int):
-    """A function from normalised words to (stretches, items, longest match) over all blocks."""
-    shared = [spark_context.broadcast(a) for a in automata(benchmark, item_id, text, window)]
+N_WORDS, HITS, ITEMS, LONGEST = "__dc_words", "__dc_hits", "__dc_items", "__dc_longest"
+SPAN = pa.struct([("start", pa.int32()), ("stop", pa.int32())])
 
-    def scan(words: list[bytes]) -> tuple[list[tuple[int, int]], set, int]:
-        hits, items, longest = [], set(), 0
-        for automaton in shared:
-            h, found, n = automaton.value.scan(words)
-            hits += h
-            items |= found
-            longest = max(longest, n)
-        return joined(hits), items, longest
 
-    return scan
+def scanned(
+    docs: DataFrame, text: str, benchmark: DataFrame, item_id: str = "item_id", item_text: str = "text", window: int = WINDOW
+) -> DataFrame:
+    """``docs`` with what was found in each text: words, hit stretches, sorted items and the longest match.
+
+    Every automaton is one pass over the documents.  All but the last pass are written, so an executor holds one automaton at a
+    time; benchmarks of up to ``BLOCK_WORDS`` / 2 words need one pass and no writing.
+    """
+    context = docs.sparkSession.sparkContext
+    out = docs.withColumns({
+        N_WORDS: F.lit(0).cast("bigint"), HITS: F.expr("CAST(array() AS ARRAY<STRUCT<start: INT, stop: INT>>)"),
+        ITEMS: F.expr("CAST(array() AS ARRAY<STRING>)"), LONGEST: F.lit(0).cast("bigint"),
+    })
+    schema, at = out.schema, docs.columns.index(text)
+    names, held = out.columns, len(docs.columns)
+    nothing = SuffixAutomaton([], window)
+    done = False
+
+    def one_pass(df: DataFrame, automaton: SuffixAutomaton) -> DataFrame:
+        shared = context.broadcast(automaton)  # at most about BLOCK_WORDS words
+
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found: list[list] = [[], [], [], []]
+                earlier = zip(*[batch.column(held + k).to_pylist() for k in (1, 2, 3)])
+                for raw, (spans, items, longest) in zip(as_bytes(batch.column(at)), earlier):
+                    words = (raw or b"").translate(PLAIN).split()
+                    hits, more, n = shared.value.scan(words)
+                    hits += [(s["start"], s["stop"]) for s in spans]
+                    values = (len(words), [{"start": a, "stop": b} for a, b in joined(hits)],
+                              sorted({*items, *(i for i in more if i is not None)}), max(n, longest))
+                    for column, value in zip(found, values):
+                        column.append(value)
+                types = (pa.int64(), pa.list_(SPAN), pa.list_(pa.string()), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns[:held], *[pa.array(c, t) for c, t in zip(found, types)]], names=names)
+
+        return df.mapInArrow(scan, schema)
+
+    for automaton in automata(benchmark, item_id, item_text, window):
+        out = one_pass(stored(out, "scanned") if done else out, automaton)
+        done = True
+    return out if done else one_pass(out, nothing)
 
 
 def contamination(
@@ -212,29 +244,11 @@ def contamination(
     row is hit.  Repeated rows and items count as they stand.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    kind = dict(rows.dtypes)["doc_id"]
-    scan = _scanner(docs.sparkSession.sparkContext, benchmark, item_id, item_text, window)
-
-    def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[list] = [[], [], [], [], [], []]
-            for text in as_bytes(batch.column(1)):
-                words = (text or b"").translate(PLAIN).split()
-                stretches, found, longest = scan(words)
-                items = sorted(i for i in found if i is not None)
-                values = (len(words), sum(b - a for a, b in stretches), len(items), items,
-                          hashlib.sha256(",".join(items).encode()).hexdigest(), longest)
-                for column, value in zip(out, values):
-                    column.append(value)
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.string(), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(c, t) for c, t in zip(out, types)], pa.array([n > 0 for n in out[1]], pa.bool_())],
-                ["doc_id", "n_words", "n_hit", "n_items", "items", "items_sha256", "longest_match", "contaminated"],
-            )
-
-    return rows.mapInArrow(
-        report, f"doc_id {kind}, n_words bigint, n_hit bigint, n_items bigint, items array<string>, items_sha256 string, "
-        "longest_match bigint, contaminated boolean",
+    n_hit = F.aggregate(HITS, F.lit(0).cast("bigint"), lambda n, s: n + (s["stop"] - s["start"]))
+    return scanned(rows, "text", benchmark, item_id, item_text, window).select(
+        "doc_id", F.col(N_WORDS).alias("n_words"), n_hit.alias("n_hit"), F.size(ITEMS).cast("bigint").alias("n_items"),
+        F.col(ITEMS).alias("items"), F.sha2(F.array_join(ITEMS, ","), 256).alias("items_sha256"),
+        F.col(LONGEST).alias("longest_match"), (F.size(HITS) > 0).alias("contaminated"),
     )
 
 
@@ -273,21 +287,22 @@ def decontaminate(
     Hit spans longer than ``max_span`` words are cut out of the text; a document of which hits cover more than ``max_cover``
     goes as a whole.  Texts without hits, null and empty ones stay as they are.
     """
-    scan = _scanner(docs.sparkSession.sparkContext, benchmark, item_id, item_text, window)
-    at = docs.columns.index(text)
+    found = scanned(docs, text, benchmark, item_id, item_text, window)
+    names = docs.columns
+    at, hits_at, words_at = docs.columns.index(text), found.columns.index(HITS), found.columns.index(N_WORDS)
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts: list[bytes | None] = []
             keep: list[bool] = []
-            for raw in as_bytes(batch.column(at)):
-                words = (raw or b"").translate(PLAIN).split()
-                stretches, _, _ = scan(words)
-                left = cleaned(raw, stretches, len(words), max_span, max_cover) if stretches else raw
+            found_here = zip(as_bytes(batch.column(at)), batch.column(hits_at).to_pylist(), batch.column(words_at).to_pylist())
+            for raw, spans, n_words in found_here:
+                stretches = [(s["start"], s["stop"]) for s in spans]
+                left = cleaned(raw, stretches, n_words, max_span, max_cover) if stretches else raw
                 keep.append(left is not None or raw is None)
                 texts.append(left)
-            columns = list(batch.columns)
+            columns = list(batch.columns[: len(names)])
             columns[at] = pa.array(texts, pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names).filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(clean, docs.schema)
+    return found.mapInArrow(clean, docs.schema)

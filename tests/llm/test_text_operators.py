@@ -122,7 +122,7 @@ def test_automaton_finds_what_comparing_finds(items, doc, window):
 @pytest.mark.parametrize("limits", [(100_000, 20_000), (60, 15)])
 def test_decontamination_edges(spark, edges, monkeypatch, limits):
     monkeypatch.setattr(decontaminate, "BLOCK_WORDS", limits[0])
-    monkeypatch.setattr(decontaminate, "PIECE_WORDS", limits[1])
+    monkeypatch.setattr(decontaminate, "PIECE_WORDS", limits[1])  # small limits: several automata, a pass each
     items = [(1, "same same same"), (2, None), (3, ""), (None, "no id here"), (4, " ".join(f"S{i}" for i in range(30))), (5, "mit"), (5, "w5 w6 w7"),
              (6, " ".join(f"w{i}" for i in range(100, 180)))]
     table = spark.createDataFrame(items, "item_id bigint, text string")
