@@ -46,10 +46,10 @@ def slice_hot_groups(
     if largest is not None and largest <= limit:
         return df
     sizes = (df if sized_by is None else sized_by).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    hot = durable(sizes.filter(F.col("n") > limit))
-    hot_rows = hot.agg(F.sum("n")).first()[0] or 0
-    if not hot_rows:
+    if (sizes.agg(F.max("n")).first()[0] or 0) <= limit:
         return df
+    hot = durable(sizes.filter(F.col("n") > limit))
+    hot_rows = hot.agg(F.sum("n")).first()[0]
     hot_keys = hot.select(*keys)
     hot_part = df.join(hot_keys, list(keys), "left_semi") if keys else df
     slices = -(-hot_rows // limit) + 1
