@@ -1,8 +1,8 @@
 """Quality rules by distribution divergence, with DataFrame functions only.
 
 Each document's histograms of character classes and of common words are compared with references: the pooled histograms of
-its language over all documents.  A document far from its reference in both, by Jensen-Shannon distance, is rejected; short
-documents are not judged by it, because their histograms are mostly noise.
+its language over all documents, by Jensen-Shannon distance.  Character classes, symbols and common words have a verdict each;
+its limit narrows with the number of words, because a short document's histogram is mostly noise.
 """
 
 from __future__ import annotations
@@ -22,9 +22,14 @@ MAX_CLASS_DISTANCE = 0.22
 MAX_WORD_DISTANCE = 0.40
 #: Beyond this class distance the words don't matter: the text isn't prose.
 FAR_CLASS_DISTANCE = 0.29
+#: Limits of a histogram on its own: for an endless document, and what is added over the square root of the number of words.
+CLASS_LIMIT = (0.13, 2.0)
+SYMBOL_LIMIT = (0.10, 0.5)
+WORD_LIMIT = (0.05, 3.5)
 
 # Character classes as regular expressions, taken off the words one after the other; what is left is a class.
 CLASSES = {"lower": "[a-zß-öø-ÿ]+", "symbol": "[#*$%&|<>]+", "upper": "[A-ZÀ-ÖØ-Þ]+", "stop": "[.,;:!?'\"()\\-]+", "digit": "[0-9]+"}
+SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 # Common words of the corpus' languages.
 COMMON = (
@@ -109,6 +114,7 @@ def measured(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFra
     out = out.withColumns({
         f"{PREFIX}classes": F.array(*counts), f"{PREFIX}chars": F.length(body).cast("bigint"),
         f"{PREFIX}n_symbols": counts[2],
+        f"{PREFIX}symbols": F.array(*[(F.length(body) - F.length(F.replace(body, F.lit(c), F.lit("")))).cast("bigint") for c in SYMBOLS]),
         f"{PREFIX}n_words": F.size(words).cast("bigint"),
         f"{PREFIX}word_chars": F.length(f"{rest}0").cast("bigint"),
         f"{PREFIX}n_dup_lines": _dup_lines(body),
@@ -141,52 +147,73 @@ def references(table: DataFrame) -> DataFrame:
         return F.array(*[F.sum(F.col(f"{PREFIX}{column}")[i]) for i in range(bins)])
 
     sums = [pooled("classes", len(CLASSES) + 1).alias("classes"), pooled("common", len(COMMON)).alias("common"),
+            pooled("symbols", len(SYMBOLS)).alias("symbols"),
             F.sum(f"{PREFIX}chars").alias("chars"), F.sum(f"{PREFIX}n_words").alias("words")]
     known = table.groupBy(F.col(f"{PREFIX}lang").alias("lang")).agg(*sums)
     by_lang = known.filter(F.col("words") >= GUARD_REFERENCE_WORDS)
     both = by_lang.withColumn("pool", F.lit(False)).unionByName(
-        table.agg(*sums).select(F.lit(None).cast("string").alias("lang"), "classes", "common", "chars", "words", F.lit(True).alias("pool"))
+        table.agg(*sums).select(F.lit(None).cast("string").alias("lang"), "classes", "common", "symbols", "chars", "words", F.lit(True).alias("pool"))
     )
     return stored(both.select(
         F.col("lang").alias("__ref_lang"), "pool", _histogram(F.col("classes"), F.col("chars")).alias("__ref_classes"),
         _histogram(F.col("common"), F.col("words")).alias("__ref_common"),
+        _histogram(F.col("symbols"), F.col("chars")).alias("__ref_symbols"),
     ), "references")
 
 
+def _limit(limit: tuple[float, float], n: Column) -> Column:
+    return limit[0] + limit[1] / F.sqrt(F.greatest(n, F.lit(1)).cast("double"))
+
+
 def judged(table: DataFrame) -> DataFrame:
-    """Add ``__q_base_failed``, ``__q_class_distance``, ``__q_word_distance`` and ``__q_kept`` to a measured table."""
+    """Add ``__q_base_failed``, the three distances, ``__q_kept`` and ``__q_kept_by_fixed_limits`` to a measured table.
+
+    Symbols only tell against a document that has more of them than its language.  Words on their own tell against documents
+    whose language has a reference of its own; against the pool of all languages they only count beside the classes.
+    """
     refs = references(table)
-    pool = refs.filter("pool").select(F.col("__ref_classes").alias("__pool_classes"), F.col("__ref_common").alias("__pool_common"))
+    pool = refs.filter("pool").select("__ref_classes", "__ref_common", "__ref_symbols")
     # One row: the pooled histograms of all documents, as constants of the plan.
     row = pool.first()
     pool_classes = F.array(*[F.lit(float(x or 0)) for x in (row[0] or [0.0] * (len(CLASSES) + 2))])
     pool_common = F.array(*[F.lit(float(x or 0)) for x in (row[1] or [0.0] * (len(COMMON) + 1))])
+    pool_symbols = F.array(*[F.lit(float(x or 0)) for x in (row[2] or [0.0] * (len(SYMBOLS) + 1))])
     own = refs.filter("NOT pool").drop("pool")
     out = table.join(own, F.col(f"{PREFIX}lang") == F.col("__ref_lang"), "left")
     n = F.col(f"{PREFIX}n_words")
     class_distance = js_distance(
         _histogram(F.col(f"{PREFIX}classes"), F.col(f"{PREFIX}chars")), F.coalesce("__ref_classes", pool_classes))
     word_distance = js_distance(_histogram(F.col(f"{PREFIX}common"), n), F.coalesce("__ref_common", pool_common))
+    symbols, usual = _histogram(F.col(f"{PREFIX}symbols"), F.col(f"{PREFIX}chars")), F.coalesce("__ref_symbols", pool_symbols)
+    more = F.element_at(symbols, -1) < F.element_at(usual, -1)
+    symbol_distance = F.when(more, js_distance(symbols, usual)).otherwise(0.0)
     base_failed = (n < MIN_WORDS) | (100 * F.col(f"{PREFIX}n_repeat_words") > MAX_REPEAT_PERCENT * n)
     c, w = F.col(f"{PREFIX}class_distance"), F.col(f"{PREFIX}word_distance")
-    diverges = (n >= GUARD_WORDS) & ((c > FAR_CLASS_DISTANCE) | (c > MAX_CLASS_DISTANCE) & (w > MAX_WORD_DISTANCE))
+    judgeable, passed = n >= GUARD_WORDS, ~F.col(f"{PREFIX}base_failed")
+    by_fixed = judgeable & ((c > FAR_CLASS_DISTANCE) | (c > MAX_CLASS_DISTANCE) & (w > MAX_WORD_DISTANCE))
+    by_own = judgeable & (
+        (c > _limit(CLASS_LIMIT, n)) | (F.col(f"{PREFIX}symbol_distance") > _limit(SYMBOL_LIMIT, n))
+        | F.col(f"{PREFIX}own_words") & (w > _limit(WORD_LIMIT, n))
+    )
     return (
         out.withColumns({f"{PREFIX}class_distance": class_distance, f"{PREFIX}word_distance": word_distance,
-                         f"{PREFIX}base_failed": base_failed})
-        .withColumn(f"{PREFIX}kept", ~F.col(f"{PREFIX}base_failed") & ~diverges)
-        .drop("__ref_lang", "__ref_classes", "__ref_common")
+                         f"{PREFIX}symbol_distance": symbol_distance, f"{PREFIX}base_failed": base_failed,
+                         f"{PREFIX}own_words": F.col("__ref_lang").isNotNull()})
+        .withColumns({f"{PREFIX}kept": passed & ~by_fixed & ~by_own, f"{PREFIX}kept_by_fixed_limits": passed & ~by_fixed})
+        .drop("__ref_lang", "__ref_classes", "__ref_common", "__ref_symbols", f"{PREFIX}own_words")
     )
 
 
 def quality_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, class_distance, word_distance, kept.
+    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, three distances, and two verdicts.
 
-    A null or empty text has no words and fails.  A null language is a language of its own.  No rows in, no rows out.
+    ``kept`` is the verdict of ``keep_good``; ``kept_by_fixed_limits`` is the older one, without limits that narrow with length
+    and without symbols, as the SQL of ``op9_quality`` states it.  A null or empty text has no words and fails.  A null language is a language of its own.  No rows in, no rows out.
     """
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     table = stored(measured(narrow).drop("text", "lang"), "quality")
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance",
-             "word_distance", "kept")
+             "word_distance", "symbol_distance", "kept", "kept_by_fixed_limits")
     return judged(table).select("doc_id", *[F.col(f"{PREFIX}{n}").alias(n) for n in names])
 
 

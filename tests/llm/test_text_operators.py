@@ -174,6 +174,17 @@ def test_quality_rejects_another_distribution_only(spark):
     assert all(kept[r.doc_id] for r in labels if not quality_brute(r.text)[5])
 
 
+def test_every_labelled_kind_of_junk_goes_and_clean_documents_stay(spark):
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    report = quality.quality_report(docs).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").join(docs.drop("lang"), "doc_id")
+    rows = report.filter("NOT base_failed").collect()
+    junk = [r for r in rows if r.quality == 0]
+    assert sum(" | " in r.text for r in junk) > 100 and sum(" | " not in r.text for r in junk) > 100
+    assert not [r.doc_id for r in junk if r.kept]
+    assert not [r.doc_id for r in rows if r.quality == 1 and not r.kept]
+
+
 def test_keep_good_returns_the_columns(spark, edges):
     out = quality.keep_good(edges)
     assert out.columns == edges.columns and {r.doc_id for r in out.collect()} <= {3, 4, 5, 6, None}
