@@ -145,6 +145,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     A null or empty text has fingerprint 0 and links like any other.  Rows with one text are linked.  A null id never names
     a component that has another id; a component of null ids only has a null name.  No rows in, no rows out.
     """
+    return _rooted(docs, doc_id, text, radius).select("doc_id", "row", "fp", "component_id")
+
+
+def _rooted(docs: DataFrame, doc_id: str, text: str, radius: int) -> DataFrame:
+    """What ``near_duplicates`` returns, ``root`` (the component's smallest fingerprint, which no other component has) and
+    ``least`` (the fingerprint's smallest id)."""
     rows = stored(fingerprints(docs, doc_id, text), "fingerprints")
     prints = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     roots = components(fingerprint_links(prints.select("fp"), radius))
@@ -153,23 +159,25 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         .select("fp", "least", F.coalesce("root", "fp").alias("root")), "fingerprint-roots",
     )
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = stored(named.join(least, "root").select("fp", "component_id"), "fingerprint-classes")
-    return rows.join(classes, "fp").select("doc_id", "row", "fp", "component_id")
+    classes = stored(named.join(least, "root").select("fp", "root", "least", "component_id"), "fingerprint-classes")
+    return rows.join(classes, "fp").select("doc_id", "row", "fp", "root", "least", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
     """One row of each component: the first by id, row key and, among equal rows, any. Columns as in the input.
 
-    Rows without an id are kept: they can't be told apart by the name of their component.
+    Components are told apart by their root, not by an id, which rows with unlike texts may share or lack.  Beside the row
+    with an id stays one row without an id, if there is one whose fingerprint no row with an id has.
     """
-    found = near_duplicates(docs, doc_id, text, radius)
-    # The component's smallest id may occur on several rows; of these the one with the smallest row key stays.
-    first = found.filter(F.col("doc_id") == F.col("component_id")).groupBy(F.col("doc_id").alias("__id")).agg(F.min("row").alias("__row"))
+    found = _rooted(docs, doc_id, text, radius).filter("doc_id IS NOT NULL OR least IS NULL")
+    order = F.struct(F.col("doc_id").alias("id"), F.col("row").alias("row"))
+    first = found.groupBy("root", F.col("doc_id").isNull()).agg(F.min(order).alias("first")).select(
+        F.col("first.id").alias("__id"), F.col("first.row").alias("__row"))
     named = docs.withColumn("__key", row_key(doc_id, text))
-    kept = named.join(stored(first, "kept"), (F.col(doc_id) == F.col("__id")) & (F.col("__key") == F.col("__row")), "left_semi")
-    unnamed = named.filter(F.col(doc_id).isNull())
-    unique = kept.dropDuplicates([doc_id])
-    return unique.unionByName(unnamed).select(*[F.col(f"`{c}`") for c in docs.columns])
+    same = (F.col("__key") == F.col("__row")) & F.col(doc_id).eqNullSafe(F.col("__id"))
+    kept = named.join(stored(first, "kept"), same, "left_semi")
+    # Rows that are equal in id and text are of one component.
+    return kept.dropDuplicates([doc_id, "__key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def fingerprint_text(fp: str = "fp"):

@@ -72,6 +72,18 @@ def test_near_duplicates_edges(spark, edges):
     assert kept.columns == edges.columns and ids.count(8) == 1 and 1 in ids and 2 not in ids and 7 not in ids and ids.count(None) == 2
 
 
+def test_one_row_of_each_component_stays_whatever_its_id(spark):
+    def prose(k):
+        return " ".join(f"t{k}.{i * i % 89}" for i in range(60))
+
+    rows = [(0, prose(1)), (0, prose(2)), (0, prose(3)), (0, prose(3)), (None, prose(4)), (None, prose(4)), (None, prose(1)),
+            (None, prose(5)), (7, prose(5)), (None, prose(6)), (5, prose(7)), (6, prose(7))]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = neardup.drop_near_duplicates(table).collect()
+    expected = [(0, prose(1)), (0, prose(2)), (0, prose(3)), (None, prose(4)), (7, prose(5)), (None, prose(6)), (5, prose(7))]
+    assert Counter(map(tuple, got)) == Counter(expected)
+
+
 @pytest.mark.parametrize("block", [8, 4096])
 def test_links_of_fingerprints_need_no_pairs(spark, monkeypatch, block):
     monkeypatch.setattr(neardup, "BLOCK", block)
