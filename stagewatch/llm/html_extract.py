@@ -236,9 +236,14 @@ def style_rows(page: str | None) -> list[tuple[int, int, int]]:
 
 
 def main_text(page: str | None, cut: frozenset[int] | set[int] = frozenset()) -> str:
-    """The article's blocks, two line feeds between them, without the branches below the style nodes ``cut``."""
-    blocks, _ = blocks_of(page)
-    left = [b for b in blocks if not b.header and cut.isdisjoint(b.path)]
+    """The article's blocks, two line feeds between them, without the branches below the style nodes ``cut``.
+
+    A node that holds all text of the page is not cut, and nothing is cut from a page of which nothing would be left.
+    """
+    blocks = [b for b in blocks_of(page)[0] if not b.header]
+    if cut and blocks:
+        cut = cut - set(blocks[0].path).intersection(*[b.path for b in blocks[1:]])
+    left = [b for b in blocks if cut.isdisjoint(b.path)] or blocks
     for region in ("article", "main"):
         inside = [b for b in left if getattr(b, region)]
         if inside:
@@ -254,22 +259,25 @@ def host_of(url: str) -> Column:
 def unimportant_nodes(pages: DataFrame, min_pages: int = MIN_PAGES, min_importance: float = MIN_IMPORTANCE) -> DataFrame:
     """host, cut: the style nodes of low importance. ``pages`` has the columns host and html.
 
-    A page that a host has many times counts once per different text, so a group of copies doesn't make an article look like a
+    Pages of a host with equal style nodes and texts count once, so a group of copies doesn't make an article look like a
     notice.  Counts are partial aggregates over (host, node, hash); no host's pages meet in one task.
     """
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hosts, rows = [], []
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for row in style_rows(page):
+                found = style_rows(page)
+                digest = xxhash.xxh64_intdigest(repr(found).encode()) >> 1
+                for row in found:
                     hosts.append(host)
-                    rows.append(row)
-            columns = zip(*rows) if rows else ((), (), ())
+                    rows.append((*row, digest))
+            columns = zip(*rows) if rows else ((), (), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), *[pa.array(c, pa.int64()) for c in columns]],
-                                             ["host", "node", "presentation", "content"])
+                                             ["host", "node", "presentation", "content", "page"])
 
-    rows = pages.select("host", "html").mapInArrow(scan, "host string, node bigint, presentation bigint, content bigint")
-    pairs = rows.groupBy("host", "node", "presentation", "content").agg(F.count(F.lit(1)).alias("n"))
+    rows = pages.select("host", "html").mapInArrow(
+        scan, "host string, node bigint, presentation bigint, content bigint, page bigint")
+    pairs = rows.distinct().groupBy("host", "node", "presentation", "content").agg(F.count(F.lit(1)).alias("n"))
     kinds = pairs.select("host", "node", "n", F.explode(F.array(
         F.struct(F.lit(0).alias("kind"), F.col("presentation").alias("value")), F.struct(F.lit(1).alias("kind"), F.col("content").alias("value"))
     )).alias("f")).select("host", "node", "n", "f.kind", "f.value")

@@ -281,6 +281,23 @@ def test_copies_of_a_page_do_not_make_an_article_unimportant(spark):
     assert all("Title" in r.text and "channel" not in r.text for r in got)
 
 
+@pytest.mark.parametrize("copies, others", [(12, 0), (190, 10), (27, 3)])
+def test_hosts_of_copies_keep_their_text(spark, copies, others):
+    rows = [(n, "/relative" if n % 2 else None, PAGE.format(n=77 if n < copies else n)) for n in range(copies + others)]
+    got = html_extract.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert len(got) == copies + others
+    for r in got:
+        n = 77 if r.page_id < copies else r.page_id
+        assert f"Title {n}" in r.text and f"Next {n} line" in r.text
+        assert others < 10 or "channel" not in r.text  # enough different pages to tell what repeats
+
+
+def test_a_cut_never_takes_the_whole_page():
+    page = "<div><p>one</p></div><div class=x><p>two</p></div>"
+    nodes = {n for b in html_extract.blocks_of(page)[0] for n in b.path}
+    assert html_extract.main_text(page, nodes) == "one\n\ntwo"
+
+
 def test_pages_table_gives_the_article(spark):
     import html
 
