@@ -125,6 +125,10 @@ def blocks_of(page: str | None) -> tuple[list[Block], dict[int, list[int]]]:
     pieces: list[str] = []
     at, end = 0, len(page)
 
+    def put(text: str) -> None:
+        if not stack[-1].noise:
+            pieces.append(text)
+
     def flush() -> None:
         if pieces:
             text = "".join(pieces)
@@ -133,7 +137,7 @@ def blocks_of(page: str | None) -> tuple[list[Block], dict[int, list[int]]]:
                 text = html_entities.unescape(text)
             text = " ".join(text.split())
             top = stack[-1]
-            if text and not top.noise:
+            if text:
                 blocks.append(Block(text, tuple(n.signature for n in stack[1:]), top.header, top.article, top.main))
 
     def close(tags: frozenset[str] | set[str], until: frozenset[str] | set[str]) -> None:
@@ -147,20 +151,20 @@ def blocks_of(page: str | None) -> tuple[list[Block], dict[int, list[int]]]:
     while at < end:
         start = page.find("<", at)
         if start < 0:
-            pieces.append(page[at:])
+            put(page[at:])
             break
         if start > at:
-            pieces.append(page[at:start])
+            put(page[at:start])
         found = TOKEN.match(page, start)
         if found is None:
-            pieces.append("<")
+            put("<")
             at = start + 1
             continue
         at = found.end()
         tag = found["tag"] or found["tag2"]
         if tag is None:
             if page.startswith("<![CDATA[", start):
-                pieces.append(html_entities.escape(page[start + 9:at].removesuffix("]]>")))
+                put(html_entities.escape(page[start + 9:at].removesuffix("]]>")))
             continue
         tag = tag.lower()
         is_block = tag in BLOCK_TAGS
@@ -198,7 +202,7 @@ def blocks_of(page: str | None) -> tuple[list[Block], dict[int, list[int]]]:
             close(HEADINGS, BLOCK_TAGS - HEADINGS)
         parent = stack[-1]
         if parent.noise:
-            stack.append(Node(tag, parent.signature, True, False, False, False))
+            stack.append(Node(tag, parent.signature, True, parent.article, parent.main, parent.header))
             continue
         attributes = found["attributes"] or found["attributes2"] or ""
         style, declared = _style(attributes)

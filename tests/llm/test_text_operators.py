@@ -298,6 +298,16 @@ def test_a_cut_never_takes_the_whole_page():
     assert html_extract.main_text(page, nodes) == "one\n\ntwo"
 
 
+@pytest.mark.parametrize("page, text", [
+    ('<p>Text <span class="ad">Buy</span> more</p>', "Text more"),
+    ('<p>A <button>Share</button>b<select><option>x</select> c <label>d</label><a class="share">e</a><b hidden>f</b>.</p>', "A b c ."),
+    ("<p>Real text <button>Share</p><p>Next</p>", "Real text\n\nNext"),
+    ("<article><p>Real <span class=ad>Buy</article><p>Next", "Real"),
+])
+def test_inline_noise_takes_itself_only(page, text):
+    assert html_extract.main_text(page) == text
+
+
 def test_pages_table_gives_the_article(spark):
     import html
 
