@@ -46,6 +46,19 @@ NOISE_WORDS = frozenset(
     "related recommended recommendation recommendations trending pagination pager search skip skiplink copyright disclaimer "
     "hidden paywall".split()
 )
+#: What may stand beside a noise word in a class or id that declares noise ("site-footer", "cookie-bar", but not "no-sidebar").
+NEUTRAL_WORDS = frozenset(
+    "site page main primary secondary global top bottom left right upper lower inner outer box bar bars block blocks list lists link "
+    "links item items wrap wrapper container section area panel slot unit button buttons btn icon icons text message messages title "
+    "header entry post posts article articles story stories form field group row col column my wp js mobile desktop fixed sticky "
+    "visually screen thread count view policy settings strip zone holder placeholder frame google this us tab tabs trail email "
+    "inline horizontal vertical latest popular more".split()
+)
+#: Elements that are noise unless they hold the article; forms of some frameworks are around whole pages.
+HOLDERS = frozenset("form fieldset".split())
+#: Shares of a page's text: an element with more is most of it, an article with no more is a teaser.
+MOST = 0.5
+TEASER = 0.1
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
@@ -61,12 +74,13 @@ CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 @dataclass(slots=True)
 class Node:
-    """An open element: its style signature and whether it is cut, in an article, in a main region."""
+    """An open element: its style signature, whether it is cut, the elements of declared noise, article and main around it."""
 
     tag: str
     signature: int
     noise: bool
-    article: bool
+    declared: tuple[int, ...]
+    article: int
     main: bool
     header: bool
 
@@ -76,8 +90,19 @@ class Block:
     text: str
     path: tuple[int, ...]
     header: bool
-    article: bool
+    article: int
+    main: bool
+    tag: str = ""
+
+
+@dataclass(slots=True)
+class Region:
+    """An article or main element: the declared noise around it (itself too), the path to it, its characters."""
+
+    declared: tuple[int, ...]
+    path: tuple[int, ...]
     main: bool
+    chars: int = 0
 
 
 @lru_cache(maxsize=20_000)
@@ -90,16 +115,24 @@ def _raw_end(tag: str) -> re.Pattern[str]:
     return re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)", re.I)
 
 
+def _declares(token: str) -> bool:
+    """Whether a class or id as a whole names noise."""
+    words = [w for w in STYLE_WORD.findall(CAMEL.sub(" ", token).lower()) if len(w) > 1]
+    if NOISE_WORDS.isdisjoint(words):
+        return False
+    return words[0] in ("skip", "skiplink") or all(w in NOISE_WORDS or w in NEUTRAL_WORDS for w in words)
+
+
 @lru_cache(maxsize=20_000)
-def _style(attributes: str) -> tuple[str, bool]:
-    """The part of the attributes that makes a style, and whether it declares noise."""
+def _style(attributes: str, heading: bool = False) -> tuple[str, bool]:
+    """The part of the attributes that makes a style, and whether it declares noise. A heading's id only repeats its text."""
     if not attributes or attributes.isspace():
         return "", False
     parts, noise = [], False
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name in ("class", "id"):
-            noise = noise or not NOISE_WORDS.isdisjoint(STYLE_WORD.findall(CAMEL.sub(" ", value).lower()))
+            noise = noise or not (heading and name == "id") and any(map(_declares, value.split()))
             if name == "class":
                 parts.append(value)
         elif name == "role":
@@ -114,31 +147,59 @@ def _style(attributes: str) -> tuple[str, bool]:
     return " ".join(parts), noise
 
 
-def blocks_of(page: str | None) -> tuple[list[Block], dict[int, list[int]]]:
-    """Text blocks outside declared noise in page order, with the style nodes above each, and each node's kinds of children.
+def _spared(pieces: list[tuple[str, Node]], regions: list[Region]) -> set[int]:
+    """The elements of declared noise that hold the page's main or article or most of its text, so that they are not cut.
+
+    An element with most of the text is cut all the same if an article or main beside it holds more than a teaser does.
+    """
+    held: dict[int, int] = {}
+    beside: dict[int, int] = {}
+    total = in_regions = 0
+    for text, node in pieces:
+        n = 0 if node.header else len(text.strip())
+        if not n:
+            continue
+        total += n
+        inside = n if node.article or node.main else 0
+        in_regions += inside
+        if node.article:
+            regions[node.article - 1].chars += n
+        for k in node.declared:
+            held[k] = held.get(k, 0) + n
+            beside[k] = beside.get(k, 0) - inside
+    spared = {k for k, n in held.items() if n > MOST * total and in_regions + beside[k] <= TEASER * total}
+    articles = [r for r in regions if not r.main]
+    whole = sum(r.chars for r in articles)
+    for r in regions:
+        if r.main or r.chars > MOST * whole and r.chars >= TEASER * total:
+            spared.update(r.declared)
+    return spared
+
+
+def blocks_of(page: str | None) -> tuple[list[Block], dict[int, list[int]], list[Region]]:
+    """Text blocks outside declared noise in page order, with the style nodes above each, each node's kinds of children, and
+    the page's articles and main elements; a block's ``article`` is its place in that list, from 1.
 
     Unclosed and crossing elements are closed as browsers do in the common cases; what a page lacks at its end is implied.
     """
     page = page or ""
-    root = Node("", 0, False, False, False, False)
-    stack, blocks, kinds = [root], [], {}
-    pieces: list[str] = []
+    root = Node("", 0, False, (), 0, False, False)
+    stack, kinds = [root], {}
+    found_blocks: list[tuple[list[tuple[str, Node]], tuple[int, ...], Node]] = []
+    regions: list[Region] = []
+    n_declared = 0
+    pieces: list[tuple[str, Node]] = []
     at, end = 0, len(page)
 
     def put(text: str) -> None:
         if not stack[-1].noise:
-            pieces.append(text)
+            pieces.append((text, stack[-1]))
 
     def flush() -> None:
         if pieces:
-            text = "".join(pieces)
+            nodes = [n for n in stack if n.tag in BLOCK_TAGS]
+            found_blocks.append((pieces.copy(), tuple(n.signature for n in nodes), nodes[-1] if nodes else root))
             pieces.clear()
-            if "&" in text:
-                text = html_entities.unescape(text)
-            text = " ".join(text.split())
-            top = stack[-1]
-            if text:
-                blocks.append(Block(text, tuple(n.signature for n in stack[1:]), top.header, top.article, top.main))
 
     def close(tags: frozenset[str] | set[str], until: frozenset[str] | set[str]) -> None:
         for i in range(len(stack) - 1, 0, -1):
@@ -172,7 +233,7 @@ def blocks_of(page: str | None) -> tuple[list[Block], dict[int, list[int]]]:
             flush()
         if found["end"] or found["end2"]:
             if tag == "br":
-                pieces.append(" ")
+                put(" ")
             elif tag not in VOID_TAGS:
                 close({tag}, frozenset() if is_block else BLOCK_TAGS)
             continue
@@ -182,7 +243,7 @@ def blocks_of(page: str | None) -> tuple[list[Block], dict[int, list[int]]]:
             continue
         if tag in VOID_TAGS:
             if tag in ("br", "hr", "wbr", "img"):
-                pieces.append("" if tag == "wbr" else " ")
+                put("" if tag == "wbr" else " ")
             continue
         if tag in CLOSES_P:
             close({"p"}, {"table", "td", "th", "button", "object"})
@@ -202,14 +263,21 @@ def blocks_of(page: str | None) -> tuple[list[Block], dict[int, list[int]]]:
             close(HEADINGS, BLOCK_TAGS - HEADINGS)
         parent = stack[-1]
         if parent.noise:
-            stack.append(Node(tag, parent.signature, True, parent.article, parent.main, parent.header))
+            stack.append(Node(tag, parent.signature, True, parent.declared, parent.article, parent.main, parent.header))
             continue
         attributes = found["attributes"] or found["attributes2"] or ""
-        style, declared = _style(attributes)
+        style, is_declared = _style(attributes, tag in HEADINGS)
         root_like = tag in ("html", "body")
-        noise = not root_like and (declared or tag in NOISE_TAGS)
-        article = parent.article or tag == "article" and not noise
-        main = parent.main or (tag == "main" or "main" in style.split()) and not noise
+        noise = tag in NOISE_TAGS and tag not in HOLDERS
+        declared = parent.declared
+        if not root_like and (is_declared or tag in HOLDERS):
+            n_declared += 1
+            declared = (*declared, n_declared)
+        article, main = parent.article, parent.main or (tag == "main" or "main" in style.split()) and not noise
+        if tag == "article" and not article or main and not parent.main:
+            regions.append(Region(declared, tuple(n.signature for n in stack if n.tag in BLOCK_TAGS), tag != "article"))
+            if tag == "article":
+                article = len(regions)
         # A page's header is cut; of an article's header the headings stay.
         header = not root_like and (tag == "header" or parent.header) and not (parent.article and tag in HEADINGS)
         if parent.header and parent.article and tag in HEADINGS:
@@ -219,14 +287,23 @@ def blocks_of(page: str | None) -> tuple[list[Block], dict[int, list[int]]]:
             child = kinds.setdefault(parent.signature, [])
             if not child or child[-1] != signature:
                 child.append(signature)
-        stack.append(Node(tag, signature, noise, article, main, header))
+        stack.append(Node(tag, signature, noise, declared, article, bool(main), header))
     flush()
-    return blocks, kinds
+    spared = _spared([p for ps, _, _ in found_blocks for p in ps], regions) if n_declared else set()
+    blocks = []
+    for parts, path, node in found_blocks:
+        text = "".join(t for t, n in parts if not n.declared or spared.issuperset(n.declared))
+        if "&" in text:
+            text = html_entities.unescape(text)
+        text = " ".join(text.split())
+        if text:
+            blocks.append(Block(text, path, node.header, node.article, node.main, node.tag))
+    return blocks, kinds, regions
 
 
 def style_rows(page: str | None) -> list[tuple[int, int, int]]:
     """(style node, hash of its presentation, hash of its content) of the nodes of a page that aren't cut anyhow."""
-    blocks, kinds = blocks_of(page)
+    blocks, kinds, _ = blocks_of(page)
     content: dict[int, xxhash.xxh64] = {}
     for block in blocks:
         if not block.header:
@@ -239,19 +316,30 @@ def style_rows(page: str | None) -> list[tuple[int, int, int]]:
     ]
 
 
+def _beside(block: Block, region: Region) -> bool:
+    """Whether a block before an article is its title or lead: an h1 next to it or higher, a paragraph next to it."""
+    above = block.path[:-1]
+    return block.tag == "h1" and above == region.path[:len(above)] or block.tag == "p" and above == region.path
+
+
 def main_text(page: str | None, cut: frozenset[int] | set[int] = frozenset()) -> str:
     """The article's blocks, two line feeds between them, without the branches below the style nodes ``cut``.
 
-    A node that holds all text of the page is not cut, and nothing is cut from a page of which nothing would be left.
+    A node that holds all text of the page is not cut, and nothing is cut from a page of which nothing would be left.  Articles
+    (else the main element) are taken for the page only where they hold most of the text that is left.
     """
-    blocks = [b for b in blocks_of(page)[0] if not b.header]
+    found, _, regions = blocks_of(page)
+    blocks = [b for b in found if not b.header]
     if cut and blocks:
         cut = cut - set(blocks[0].path).intersection(*[b.path for b in blocks[1:]])
     left = [b for b in blocks if cut.isdisjoint(b.path)] or blocks
-    for region in ("article", "main"):
-        inside = [b for b in left if getattr(b, region)]
-        if inside:
-            left = inside
+    whole = sum(len(b.text) for b in left)
+    for name in ("article", "main"):
+        inside = [i for i, b in enumerate(left) if getattr(b, name)]
+        if inside and sum(len(left[i].text) for i in inside) >= MOST * whole:
+            first = left[inside[0]]
+            region = regions[first.article - 1] if first.article else None
+            left = [b for i, b in enumerate(left) if getattr(b, name) or region and i < inside[0] and _beside(b, region)]
             break
     return "\n\n".join(b.text for b in left)
 

@@ -308,6 +308,27 @@ def test_inline_noise_takes_itself_only(page, text):
     assert html_extract.main_text(page) == text
 
 
+LONG = "A long sentence of the text that the page is about, with more to say. "
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<article class='post has-comments'><p>Text</p></article>", "Text"),
+    ("<div class='content-sidebar-wrap'><p>Text</div><div class='site-footer'>f</div>", "Text"),
+    ("<main class='no-sidebar'><p>Text</main>", "Text"), ("<article class='post tag-social'><p>Text</article>", "Text"),
+    ("<article><h2 id='search-engines'>Search engines</h2><p>Text</p><h2 id='search'>Search</h2></article>", "Search engines\n\nText\n\nSearch"),
+    ("<div class='widget'><article><p>Text</article></div><div class='widget'>w</div>", "Text"),
+    (f"<form id='f'><div><p>{LONG}</div><div class='newsletter-signup'>Mail</div></form>", LONG.strip()),
+    (f"<div class='overlay'><p>{LONG}</div><p>End", LONG.strip() + "\n\nEnd"),
+    (f"<article><p>Text of its own</article><section id='comments'><p>{LONG}</section>", "Text of its own"),
+    ("<p>Text of its own<div class='cookie-notice'>Cookies</div>", "Text of its own"),
+    (f"<main><p>{LONG * 3}<article>Card one</article><article>Card two</article></main>", (LONG * 3).strip() + "\n\nCard one\n\nCard two"),
+    (f"<div><p>{LONG * 3}</div><article>Card</article>", (LONG * 3).strip() + "\n\nCard"),
+    (f"<main><h1>Title</h1><p>Lead</p><article><p>{LONG}</article><div>Other</div></main>", f"Title\n\nLead\n\n{LONG.strip()}"),
+])
+def test_articles_survive_styles_and_teasers(page, text):
+    assert html_extract.main_text(f"<html><body class='has-sidebar'>{page}</body></html>") == text
+
+
 def test_pages_table_gives_the_article(spark):
     import html
 
