@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stagewatch.llm import (
-    decontaminate, html_extract, licenses, mixing, neardup, quality, sharding, substring, token_counts, token_files,
+    alignment, conversations, decontaminate, html_extract, licenses, mixing, neardup, packing, quality, sharding, substring,
+    token_counts, token_files,
 )
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 PIECE_MODEL = "piece_bpe_32k.model"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 
 
 def tokenizer_path(name: str) -> str:
@@ -70,10 +72,22 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_report(_table(spark, sf_dir, "documents"), tokenizer_path(WORD_TOKENIZER))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_report(_table(spark, sf_dir, "documents"), tokenizer_path(BYTE_TOKENIZER), tokenizer_path(PIECE_MODEL))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_report(_table(spark, sf_dir, "conversations"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_report(_table(spark, sf_dir, "documents"), tokenizer_path(BYTE_TOKENIZER))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_mix_sources, op2_simhash, op3_shards, op4_substring_dedup, op5_licenses, op6_decontaminate, op7_main_text,
-        op8_token_counts, op9_quality, op10_token_files,
+        op8_token_counts, op9_quality, op10_token_files, op11_alignment, op12_conversation_repair, op13_packing,
     )
 }
 
