@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from stagewatch.functions.scratch import stored
 from stagewatch.llm.common import as_bytes
-from stagewatch.llm.pretokens import MARKS, REMEMBERED, ByteLevel, stem_and_marks, units
+from stagewatch.llm.pretokens import MARKS, REMEMBERED, ByteLevel, spelled, stem_and_marks, units
 
 SPACE_MARK = "▁"
 #: Bytes of text whose distinct units and id pairs are counted together.
@@ -43,13 +43,13 @@ class Pieces:
         #: Characters that some piece joins with a mark behind them.
         self.before_marks = {a for n in ordinary for a, b in zip(n, n[1:]) if b in MARKS and a not in MARKS}
 
-    def ids(self, unit: str) -> list[int]:
-        """Ids of a unit that begins with a blank or line feed, or of marks behind a letter."""
-        if unit[0] == " ":
-            return self.model.encode(unit[1:])
-        if unit[0] == "\n":
-            return self.model.encode(unit)[1:]  # without the mark of the word that the model puts in front
-        return self.model.encode("\n" + unit)[2:]
+    def ids(self, text: str) -> list[int]:
+        """Ids of a stretch of text as it is inside a longer one: of a unit as spelled, or of marks behind a letter."""
+        if text[0] == " ":
+            return self.model.encode(text[1:])
+        if text[0] == "\n":
+            return self.model.encode(text)[1:]  # without the mark of the word that the model puts in front
+        return self.model.encode("\n" + text)[2:]
 
 
 def align(a: list[int], b: list[int], a_sizes: list[int], b_sizes: list[int]) -> list[tuple[list[int], list[int], list[tuple[int, int]]]]:
@@ -81,6 +81,10 @@ def align(a: list[int], b: list[int], a_sizes: list[int], b_sizes: list[int]) ->
     return groups
 
 
+#: A unit whose bytes a tokenizer does not give back.
+NOT_GIVEN_BACK: tuple[str, int, int, int, list[int]] = ("", -1, -1, -1, [])
+
+
 class UnitAligner(dict):
     """Numbers of units, and by number their group text, counts and id pairs; a new unit is aligned."""
 
@@ -93,8 +97,9 @@ class UnitAligner(dict):
 
     def forget(self) -> None:
         self.clear()
+        self.marks: dict[str, tuple[str, int, int, int, list[int]]] = {}
         self.groups: list[str] = []
-        #: Per unit: tokens of A and of B, groups; -1 for a unit whose bytes a tokenizer does not give back.
+        #: Per unit: tokens of A and of B, groups.
         self.n_a, self.n_b, self.n_groups = array("q"), array("q"), array("q")
         self.pairs, self.pair_ends = array("q"), array("q", [0])
 
@@ -108,25 +113,35 @@ class UnitAligner(dict):
         self.pair_ends.append(len(self.pairs))
         return number
 
-    def _pairs(self, number: int) -> array:
-        return self.pairs[self.pair_ends[number]:self.pair_ends[number + 1]]
-
     def __missing__(self, unit: str) -> int:
         stem, rest = stem_and_marks(unit)
-        if stem and stem[-1] not in self.b.before_marks:
-            s, r = self[stem], self[rest]
-            if self.n_a[s] < 0 or self.n_a[r] < 0:
-                return self._append(unit, "", -1, -1, -1, [])
-            return self._append(
-                unit, f"{self.groups[s]};{self.groups[r]}", self.n_a[s] + self.n_a[r], self.n_b[s] + self.n_b[r],
-                self.n_groups[s] + self.n_groups[r], self._pairs(s) + self._pairs(r),
-            )
-        a, b, raw = self.a.ids(unit), self.b.ids(unit), unit.encode()
+        if not stem or stem[-1] in self.b.before_marks:
+            return self._append(unit, *self._aligned(spelled(unit)))
+        s = self[stem]
+        if rest not in self.marks:
+            self.marks[rest] = self._aligned(rest)
+        text, n_a, n_b, n_groups, pairs = self.marks[rest]
+        if self.n_a[s] < 0 or n_a < 0:
+            return self._append(unit, *NOT_GIVEN_BACK)
+        return self._append(
+            unit, f"{self.groups[s]};{text}", self.n_a[s] + n_a, self.n_b[s] + n_b, self.n_groups[s] + n_groups,
+            self.pairs[self.pair_ends[s]:self.pair_ends[s + 1]] + array("q", pairs),
+        )
+
+    def _aligned(self, text: str) -> tuple[str, int, int, int, list[int]]:
+        a, b, raw = self.a.ids(text), self.b.ids(text), text.encode()
         if b"".join([self.a_bytes[i] for i in a]) != raw or b"".join([self.b_bytes[i] for i in b]) != raw:
-            return self._append(unit, "", -1, -1, -1, [])
+            return NOT_GIVEN_BACK
         groups = align(a, b, self.a_sizes, self.b_sizes)
-        text = ";".join([f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y, _ in groups])
-        return self._append(unit, text, len(a), len(b), len(groups), [x << PAIR_SHIFT | y for _, _, links in groups for x, y in links])
+        shown = ";".join([f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y, _ in groups])
+        return shown, len(a), len(b), len(groups), [x << PAIR_SHIFT | y for _, _, links in groups for x, y in links]
+
+    def numbers(self, text: str) -> np.ndarray:
+        """The units of a blank and ``text``."""
+        first, *others = units(text)
+        if not first or first[0] in " \n":
+            first = " " + first
+        return np.fromiter(map(self.__getitem__, [first, *others]), dtype=np.int64)
 
 
 CELLS = ("n_a", "n_b", "n_groups", "n_links")
@@ -155,7 +170,7 @@ def aligned(docs: DataFrame, a_file: str, b_file: str, doc_id: str, text: str, k
             for one, raw in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1))):
                 numbers, plain = None, (raw or b"").decode(errors="replace")
                 if raw and plain.encode() == raw:  # not of bytes that are no UTF-8
-                    numbers = np.fromiter(map(aligner.__getitem__, units(" " + plain)), dtype=np.int64)
+                    numbers = aligner.numbers(plain)
                 held.append((one, numbers))
                 size += len(raw or b"")
                 if size >= CHUNK_BYTES:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from stagewatch.functions.scratch import stored
 from stagewatch.llm.common import as_bytes
-from stagewatch.llm.pretokens import PackedIds
+from stagewatch.llm.pretokens import packed_ids
 
 CAPACITY = 2048
 END_ID = 0
@@ -100,7 +100,7 @@ def pieces(
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "part", "at", *(["ids"] if with_ids else [])]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = PackedIds(tokenizer_file), TaskContext.get().partitionId()
+        encoder, part = packed_ids(tokenizer_file), TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
         for batch in batches:
             held: list[tuple] = []

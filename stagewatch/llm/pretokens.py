@@ -14,21 +14,28 @@ from tokenizers import Tokenizer
 _RARE_SPACE = re.compile(r"[^\S \n]")
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-#: Units a worker remembers; when so many are new, all are forgotten.
-REMEMBERED = 400_000
+#: Units a worker remembers, twice: when so many are new, what was remembered before the last such time goes.
+REMEMBERED = 450_000
 
 
 def units(text: str) -> list[str]:
-    """``text`` cut before every blank or line feed that stands alone between two other characters; joined they are ``text``.
+    """``text`` cut before every blank or line feed that stands alone between two other characters; the blanks go.
 
+    So the units behind the first stand for themselves if they begin with a line feed, else for themselves behind a blank.
     Byte-level pre-tokens take at most the last character of a run of white space into the next word, and no piece of a
     vocabulary whose word mark stands in front spans such a place either, so the units' tokens are the text's.
     """
     if _RARE_SPACE.search(text) is None:
         words = text.replace("\n", " \n").split(" ")
         if "" not in words and "\n" not in words:
-            return [words[0], *[w if w[0] == "\n" else " " + w for w in words[1:]]]
-    return _CUT.split(text)
+            return words
+    first, *others = _CUT.split(text)
+    return [first, *[u[1:] if u[0] == " " else u for u in others]]
+
+
+def spelled(unit: str) -> str:
+    """A unit behind the first as it stands in the text."""
+    return unit if unit[0] in " \n" else " " + unit
 
 
 def stem_and_marks(unit: str) -> tuple[str, str]:
@@ -62,20 +69,24 @@ class ByteLevel:
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.encode_special_tokens = plain
         self.model = self.tokenizer.model
-        self.special = [] if plain else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        #: Whether a special token's string may be in a stretch of text.
+        self.special = re.compile("(?!)" if plain else "|".join(
+            re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()) or "(?!)")
         self.alphabet = byte_alphabet()
+        self.line_feed = self.whole("\n")
 
-    def ids(self, unit: str) -> list[int]:
-        word = unit[1:] if unit[:1] == " " else unit
+    def ids(self, text: str) -> list[int]:
+        """Ids of a stretch of text that starts and ends where pre-tokens do."""
+        word = text[1:] if text[0] == " " else text
         if word.isalpha():  # one pre-token: straight from the merges
-            return [t.id for t in self.model.tokenize(unit.encode().decode("latin-1").translate(self.alphabet))]
-        return self.tokenizer.encode(unit, add_special_tokens=False).ids
+            coded = text.encode().decode("latin-1").translate(self.alphabet)
+            return [t.id for t in self.model.tokenize(coded)]
+        if text[0] == "\n" and len(text) > 1 and text[1:].isalpha():
+            return [*self.line_feed, *self.ids(text[1:])]
+        return self.whole(text)
 
-    def splits(self, unit: str) -> tuple[str, str]:
-        """Two parts of ``unit`` that are encoded apart, the first possibly empty."""
-        if any(s in unit for s in self.special):
-            return "", unit
-        return stem_and_marks(unit)
+    def whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def id_bytes(self) -> list[bytes]:
         back = {ord(c): b for b, c in self.alphabet.items()}
@@ -84,22 +95,50 @@ class ByteLevel:
 
 
 class PackedIds(dict):
-    """Ids of units as little-endian unsigned 32-bit integers; a unit asked for the first time is encoded."""
+    """Ids of units behind the first as little-endian unsigned 32-bit integers; one asked for the first time is encoded."""
 
     def __init__(self, tokenizer_file: str) -> None:
         super().__init__()
         self.level = ByteLevel(tokenizer_file, plain=False)
+        self.older: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
 
-    def _packed(self, ids: list[int]) -> bytes:
+    def _packed(self, text: str) -> bytes:
+        ids = self.level.ids(text) if text else []
         return array("I", ids).tobytes() if sys.byteorder == "little" else np.array(ids, dtype="<u4").tobytes()
 
+    def _behind(self, marks: str) -> bytes:
+        if marks not in self.marks and len(self.marks) < REMEMBERED:
+            self.marks[marks] = self._packed(marks)
+        return self.marks.get(marks) or self._packed(marks)
+
     def __missing__(self, unit: str) -> bytes:
-        stem, rest = self.level.splits(unit)
-        found = self[stem] + self[rest] if stem else self._packed(self.level.ids(unit))
+        found = self.older.get(unit)
+        if found is None:
+            stem, rest = ("", unit) if unit[-1].isalpha() or self.level.special.search(unit) else stem_and_marks(unit)
+            if stem:
+                seen = stem in self
+                found = self[stem] + self._behind(rest)
+                if not seen:  # remember only what is likely to come again
+                    return found
+            else:
+                found = self._packed(spelled(unit))
+        if len(self) >= REMEMBERED:
+            self.older = dict(self)
+            self.clear()
         self[unit] = found
         return found
 
     def encode(self, text: str) -> bytes:
-        if len(self) > REMEMBERED:
-            self.clear()
-        return b"".join(map(self.__getitem__, units(text))) if text else b""
+        first, *others = units(text)
+        return self._packed(first) + b"".join(map(self.__getitem__, others))
+
+
+_encoders: dict[str, PackedIds] = {}
+
+
+def packed_ids(tokenizer_file: str) -> PackedIds:
+    """This worker's encoder; it outlives a task, so later tasks find its units."""
+    if tokenizer_file not in _encoders:
+        _encoders[tokenizer_file] = PackedIds(tokenizer_file)
+    return _encoders[tokenizer_file]
