@@ -121,7 +121,8 @@ BOOTSTRAP = f"""
 PROCESSED = "s.status = 'resolved' AND e.error IS NULL AND y.case_year = 2024"
 COUNTS = {
     "raw_event_count": "c_raw", "normalized_event_count": "(SELECT * FROM c_norm WHERE event_type <> 'SignalRecord')",
-    "dropped_event_count": "(SELECT * FROM c_norm WHERE event_type = 'SignalRecord')", "session_synthetic_count": "c_session_events",
+    "dropped_event_count": "(SELECT * FROM c_norm WHERE event_type = 'SignalRecord')", "timing_log_entry_count": "c_sheet",
+    "session_synthetic_count": "c_session_events", "enriched_event_count": "c_enriched", "state_labeled_event_count": "c_labelled",
     "timing_log_synthetic_count": "c_timing_events", "state_interval_count": "c_intervals", "state_warning_count": "c_state_warnings",
     "timing_warning_count": "c_interval_warnings", "plot_warning_count": "c_timeline_warnings",
 }
@@ -131,6 +132,7 @@ RESULTS = f"""
            WHEN coalesce(y.case_year, 0) <> 2024 THEN 'skipped_year_filter' WHEN e.error IS NOT NULL THEN 'failed' ELSE 'processed' END AS status,
       CASE WHEN s.status = 'ambiguous' THEN 'ambiguous' WHEN s.status = 'resolved' AND y.case_year = 2024 THEN e.error END AS error,
       CASE WHEN {PROCESSED} THEN CASE WHEN n_db > 0 THEN 'unzipped' ELSE 'zip_extracted' END END AS source_type,
+      CASE WHEN {PROCESSED} THEN CASE WHEN n_db > 0 THEN databases ELSE zips END END AS source_path, discovery_order,
       {', '.join(f"CASE WHEN {PROCESSED} THEN coalesce(k{i}.n, 0) END AS {c}" for i, c in enumerate(COUNTS))}
     FROM c_sources s LEFT JOIN c_errors e ON e.site_code = s.site_code AND e.case_id = s.case_id
     LEFT JOIN (SELECT site_code, case_id, TRY_CAST(raw_timestamp[1:4] AS INTEGER) AS case_year FROM c_raw WHERE row_number = 1) y
@@ -230,11 +232,13 @@ STATEMENTS: dict[str, str] = {
     "describe_totals": f"""SELECT site_code, count(*) AS count, round(avg(m), 6) AS mean, round(stddev_samp(m), 6) AS std, round(min(m), 6) AS min, round(max(m), 6) AS max,
         round(quantile_cont(m, 0.25), 6) AS p25, round(quantile_cont(m, 0.5), 6) AS p50, round(quantile_cont(m, 0.75), 6) AS p75
         FROM (SELECT site_code, case_id, sum(minutes) FILTER (phase IN ({names(MRI_STATES)})) AS m FROM c_long GROUP BY ALL) GROUP BY site_code""",
-    "site_stats_doc": """SELECT b.site_code, CAST(b.n AS DOUBLE) AS n_cases, CAST(coalesce(o.n, 0) AS DOUBLE) AS n_outliers, CAST(v.n AS DOUBLE) AS treating_n, v.med AS treating_median
+    "site_stats_doc": """SELECT b.site_code, b.n AS n_cases, coalesce(o.n, 0) AS n_outliers, 3.0::DOUBLE AS z_threshold, v.* EXCLUDE (site_code)
         FROM (SELECT site_code, count(*) AS n FROM c_bases GROUP BY site_code) b
         LEFT JOIN (SELECT site_code, count(*) AS n FROM (SELECT *, avg(minutes) OVER g AS mean, stddev_samp(minutes) OVER g AS sd FROM c_capped WINDOW g AS (PARTITION BY site_code, phase))
             WHERE sd > 0 AND abs((minutes - mean) / sd) >= 3 GROUP BY site_code) o ON o.site_code = b.site_code
-        LEFT JOIN (SELECT site_code, count(*) AS n, round(quantile_cont(minutes, 0.5), 3) AS med FROM c_capped WHERE phase = 'Treating' GROUP BY site_code) v ON v.site_code = b.site_code""",
+        LEFT JOIN (SELECT site_code, phase, count(*) AS N, round(avg(minutes), 6) AS Mean, round(quantile_cont(minutes, 0.5), 6) AS Median, round(stddev_samp(minutes), 6) AS SD,
+            round(CASE WHEN avg(minutes) > 0 THEN stddev_samp(minutes) / avg(minutes) END, 6) AS CV, round(min(minutes), 6) AS Min, round(max(minutes), 6) AS Max
+          FROM c_capped GROUP BY site_code, phase) v ON v.site_code = b.site_code""",
     "timeline_rows": "SELECT site_code, case_id, ts AS timestamp, state, start_us, duration_us, color, row_number, flags AS quality_flags FROM c_plot",
     "timeline_states": "SELECT site_code, state, row_number() OVER (PARTITION BY site_code ORDER BY ordinal) AS state_order FROM (SELECT DISTINCT site_code, state, ordinal FROM c_plot)",
     "timeline_normalized": """SELECT p.site_code, p.case_id, y, state, color, row_number, ts_us, event_type, round(start_us / 60000000.0::DOUBLE, 6) AS start_min,
@@ -267,8 +271,13 @@ STATEMENTS: dict[str, str] = {
             'interval_truncated_large_gap', 'interval_terminal_state_clamped', 'interval_early_state_truncated', 'interval_unassigned_state_truncated', 'negative_rebased_start'))}
         FROM c_intervals JOIN c_processed USING (site_code, case_id) GROUP BY site_code) i LEFT JOIN (SELECT site_code, count(*) AS n FROM c_run_warnings GROUP BY site_code) w ON w.site_code = i.site_code""",
     "quality_flag_counts": "SELECT site_code, flag, count(*) AS n_intervals FROM (SELECT site_code, unnest(string_split(flags, '|')) AS flag FROM c_intervals WHERE flags <> '') GROUP BY ALL",
-    "warning_top": """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY site_code ORDER BY n_warnings DESC, category) AS rank
-        FROM (SELECT site_code, category, count(*) AS n_warnings FROM c_run_warnings GROUP BY ALL)) WHERE rank <= 8""",
+    "warning_top": """SELECT site_code, category, n_warnings, rank FROM (SELECT *, row_number() OVER (PARTITION BY site_code ORDER BY n_warnings DESC, first) AS rank
+        FROM (SELECT site_code, category, count(*) AS n_warnings, min((starts_with(category, 'plot'), lower(case_id), case_id,
+            CASE WHEN category = 'uncategorized' THEN -1 WHEN starts_with(category, 'session') OR starts_with(category, 'ignored_session') THEN 0
+                 WHEN starts_with(category, 'timing_log_blank') THEN 1 WHEN starts_with(category, 'timing_log') THEN 2
+                 WHEN starts_with(category, 'state') OR starts_with(category, 'cleanup') THEN 3
+                 WHEN starts_with(category, 'interval') OR starts_with(category, 'rebase') OR starts_with(category, 'case_end') THEN 4 ELSE 5 END,
+            coalesce(row_number, 0), category)) AS first FROM c_run_warnings GROUP BY site_code, category)) WHERE rank <= 8""",
     "case_discovery": """SELECT site_code, case_id, discovery_order, databases, zips, concat_ws('|', CASE WHEN n_db = 0 AND n_zip = 0 THEN 'no_database_candidates_found' END,
         CASE WHEN n_db > 1 THEN 'multiple_unzipped_database_candidates' END, CASE WHEN n_zip > 1 THEN 'multiple_zip_candidates' END) AS warnings FROM c_discovered""",
     "case_manifest": """SELECT site_code, case_id, site_code || '/' || case_id AS case_path, discovery_order, databases AS candidate_unzipped_db_paths, zips AS candidate_zip_paths,
@@ -300,5 +309,72 @@ STATEMENTS: dict[str, str] = {
 }
 
 
+SHEET_KIND = "(SELECT *, user_id % 9 AS kind FROM c_sheet JOIN c_bases USING (site_code, case_id))"
+CASE_VERSION = "CAST(case_id[6:] AS BIGINT) % 3"
+VERSION_COLUMNS = {
+    0: {"TimeStamp": "STRING", "AuditRecordBase_Type": "STRING", "TreatmentId": "STRING", "SignalHelpKey": "STRING"},
+    1: {"TimeStamp": "STRING", "AuditRecordBase_Type": "STRING", "SegmentId": "STRING", "EventKind": "BIGINT"},
+    2: {"TimeStamp": "STRING", "AuditRecordBase_Type": "STRING", "SegmentId": "STRING", "EventKind": "BIGINT", "Temperature": "DECIMAL"},
+}
+CATALOG = " UNION ALL ".join(
+    f"""SELECT site_code, case_id, '{column}' AS "column", {f"CASE WHEN count(raw_segment_id) = 0 THEN 'VOID' ELSE '{kind}' END" if column in ('SegmentId', 'TreatmentId') else f"'{kind}'"} AS type,
+        count(*) AS n_rows, {"count(*) - count(raw_segment_id)" if column in ('SegmentId', 'TreatmentId') else "0"} AS n_null FROM c_raw WHERE {CASE_VERSION} = {v} GROUP BY site_code, case_id"""
+    for v, columns in VERSION_COLUMNS.items() for column, kind in columns.items())
+# Per zone and half of the year the first and the last skipped or repeated minute, and hours to UTC before and after.
+CHANGES = "(VALUES ('America/New_York', 0, 120, 180, 5, 4), ('America/New_York', 1, 60, 120, 4, 5), ('Europe/Berlin', 0, 120, 180, -1, -2), ('Europe/Berlin', 1, 120, 180, -2, -1)) z(zone, half, lo, hi, h0, h1)"
+ZONED = f"""
+    SELECT event_id, 'S' || (user_id % 4) AS site_code, zone, wall_text, CASE WHEN k = 99 THEN 'bad' WHEN m < lo OR m >= hi THEN 'unique' WHEN half = 0 THEN 'gap' ELSE 'overlap' END AS instant_status,
+      wall + to_hours(h0) AS before, wall + to_hours(h1) AS after, m, lo, hi, k
+    FROM (SELECT e.*, k * 3 AS m, night || ' ' || lpad(CAST(k * 3 // 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(k * 3 % 60 AS VARCHAR), 2, '0') || ':00' AS clock,
+            CASE WHEN k = 99 THEN 'soon' ELSE night || ' ' || lpad(CAST(k * 3 // 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(k * 3 % 60 AS VARCHAR), 2, '0') || ':00' END AS wall_text,
+            TRY_CAST(CASE WHEN k = 99 THEN NULL ELSE night || ' ' || lpad(CAST(k * 3 // 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(k * 3 % 60 AS VARCHAR), 2, '0') || ':00' END AS TIMESTAMP) AS wall
+          FROM (SELECT *, CASE user_id % 4 WHEN 0 THEN '2024-03-10' WHEN 1 THEN '2024-11-03' WHEN 2 THEN '2024-03-31' ELSE '2024-10-27' END AS night FROM c_events) e)
+    JOIN {CHANGES} ON zone = CASE WHEN user_id % 4 < 2 THEN 'America/New_York' ELSE 'Europe/Berlin' END AND half = user_id % 2"""
+UNKNOWN = """
+    SELECT i.*, u.state AS named FROM c_intervals i JOIN (VALUES ('TreatmentRecord', 'Cooling'), ('PSTestRecord', 'Robot check'), ('UATestRecord', 'Applicator check'), ('FPumpRecord', 'Pump')) u(kind, state)
+      ON u.kind = i.event_type WHERE duration_us > 0"""
+DICTIONARY = f"""
+    SELECT state, row_number() OVER (ORDER BY first, state) AS number, first.s AS site_code, first.c AS case_id, n_rows
+    FROM (SELECT named AS state, min({{'s': site_code, 'c': case_id, 't': ts_us, 'r': coalesce(row_number, 1000000000000), 'e': event_type}}) AS first, count(*) AS n_rows FROM ({UNKNOWN}) GROUP BY named)"""
+
+STATEMENTS |= {
+    "sheet_rows": f"""SELECT site_code, case_id, row_number + CASE WHEN kind = 4 AND row_number >= 5 THEN 1 ELSE 0 END AS row_number, label, start_text, end_text
+        FROM {SHEET_KIND} WHERE kind <= 4 OR kind = 5 AND row_number <> 4""",
+    "sheet_errors": """SELECT site_code, case_id, CASE user_id % 9 WHEN 5 THEN 4 ELSE 1 END AS row_number,
+        CASE WHEN user_id % 9 = 5 THEN 'timing_log_short_row' WHEN user_id % 9 = 6 AND user_id % 2 = 0 THEN 'timing_log_header_only' ELSE 'timing_log_columns_missing' END AS error
+        FROM c_bases WHERE user_id % 9 IN (5, 6, 7)""",
+    "sheet_warnings": "SELECT site_code, case_id, 'timing_log_blank_row' AS category, 5 AS row_number FROM c_bases WHERE user_id % 9 = 4",
+    "case_sheets": """SELECT site_code, case_id, user_id % 9 <> 8 AS has_sheet, CASE WHEN user_id % 9 <= 4 THEN 6 WHEN user_id % 9 = 8 THEN 0 END AS n_entries,
+        CASE WHEN user_id % 9 = 4 THEN 1 WHEN user_id % 9 <= 3 OR user_id % 9 = 8 THEN 0 END AS n_blank,
+        CASE WHEN user_id % 9 = 5 THEN 'timing_log_short_row' WHEN user_id % 9 = 6 AND user_id % 2 = 0 THEN 'timing_log_header_only' WHEN user_id % 9 IN (6, 7) THEN 'timing_log_columns_missing' END AS error
+        FROM c_bases""",
+    "csv_bad_rows": "SELECT site_code, count(*) AS n_rows, count(*) FILTER (row_number % 89 = 7 OR row_number % 97 = 5) AS n_bad FROM c_raw GROUP BY site_code",
+    "csv_rows": """SELECT site_code, case_id, row_number, raw_timestamp, nullif(trim(raw_event_type), '') AS event_type, CAST(row_number * 7 % 1000 AS DOUBLE) AS duration_sec
+        FROM c_raw WHERE row_number % 89 <> 7 AND row_number % 97 <> 5""",
+    "unified_columns": """SELECT patient, first_row, count(*) AS n_rows FROM (
+        SELECT CASE WHEN user_id % 8 = 2 THEN 'Q' || user_id END AS patient, 1 AS first_row FROM c_bases
+        UNION ALL SELECT CASE WHEN user_id % 8 = 3 THEN 'N' || user_id END, NULL FROM c_bases) GROUP BY patient, first_row""",
+    "replaced_sites": f"""SELECT * FROM ({summary("c_intervals")}) WHERE site_code <> 'S1'
+        UNION ALL SELECT * FROM ({summary("c_intervals", "duration_us < 21600000000")}) WHERE site_code = 'S1'""",
+    "ordered_sanity": f"SELECT site_code, case_id, first_ts, n_events, row_number() OVER (ORDER BY site_code, case_id, first_ts) - 1 AS position FROM ({SANITY})",
+    "run_document": f"""SELECT r.site_code, (discovery_order - 1) // 10 + 1 AS part, (discovery_order - 1) % 10 AS at, case_id, status, error, source_path, state_interval_count,
+        cases_discovered, cases_processed, 'out/state_intervals/site_code=' || r.site_code AS intervals_path
+        FROM ({RESULTS}) r JOIN (SELECT site_code, count(*) AS cases_discovered, count(*) FILTER (status = 'processed') AS cases_processed FROM ({RESULTS}) GROUP BY site_code) m ON m.site_code = r.site_code""",
+    "log_catalog": CATALOG,
+    "log_versions": f"""SELECT site_code, version, count(*) AS n_cases, sum(n_rows)::BIGINT AS n_rows FROM (
+        SELECT site_code, case_id, string_agg("column", ',' ORDER BY "column") AS version, max(n_rows) AS n_rows FROM ({CATALOG}) GROUP BY site_code, case_id) GROUP BY site_code, version""",
+    "unified_log": f"""SELECT site_code, case_id, row_number, raw_timestamp AS time_text, raw_event_type AS event_type, raw_segment_id AS segment_id,
+        CASE WHEN {CASE_VERSION} > 0 THEN raw_event_kind END AS event_kind, CASE WHEN {CASE_VERSION} = 2 THEN raw_event_kind * 0.5::DOUBLE + 0.25 END AS temperature FROM c_raw""",
+    "zoned_times": f"""SELECT event_id, site_code, zone, wall_text, instant_status,
+        CASE instant_status WHEN 'overlap' THEN greatest(before, after) WHEN 'unique' THEN CASE WHEN m < lo THEN before ELSE after END END AS instant FROM ({ZONED})""",
+    "zoned_times_kept": f"""SELECT event_id, site_code, zone, wall_text, instant_status,
+        CASE instant_status WHEN 'overlap' THEN least(before, after) WHEN 'gap' THEN before ELSE CASE WHEN m < lo THEN before ELSE after END END AS instant FROM ({ZONED}) WHERE k <> 99""",
+    "unknown_states": DICTIONARY,
+    "state_numbers": f"""SELECT state_number, state, count(*) AS n_rows FROM (
+        SELECT ordinal AS state_number, state FROM c_plot WHERE event_type NOT IN ('TreatmentRecord', 'PSTestRecord', 'UATestRecord', 'FPumpRecord')
+        UNION ALL SELECT d.number + (SELECT count(*) FROM c_states WHERE state IN ({names(PLOT_STATES)})), u.named FROM ({UNKNOWN}) u JOIN ({DICTIONARY}) d ON d.state = u.named) GROUP BY state_number, state""",
+}
+
+
 def statements() -> dict[str, str]:
     return {name: query(select) for name, select in STATEMENTS.items()}

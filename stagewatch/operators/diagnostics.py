@@ -3,22 +3,43 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stagewatch.functions.ordered import ranked
 from stagewatch.workflow import DIAGNOSTIC_FLAGS, KEYS
 
 
+# The order in which a run reports the stages of a case, by how their categories begin; timelines come last.
+STAGES = (
+    ("session", "ignored_session"), ("timing_log_blank",), ("timing_log",), ("state", "cleanup"), ("interval", "rebase", "case_end"),
+)
+
+
+def first_sight() -> Column:
+    """A warning's place in the run's total order: cases by name, stages inside a case, rows inside a stage; timelines at the end."""
+    category = F.col("category")
+    stage = F.when(category == "uncategorized", -1)
+    for i, beginnings in enumerate(STAGES):
+        stage = stage.when(reduce(Column.__or__, [category.startswith(b) for b in beginnings]), i)
+    return F.struct(
+        category.startswith("plot").alias("late"), F.lower("case_id").alias("name"), F.col("case_id"),
+        stage.otherwise(len(STAGES)).alias("stage"), F.coalesce("row_number", F.lit(0)).alias("row"), category,
+    )
+
+
 def warning_categories(warnings: DataFrame) -> DataFrame:
-    return warnings.groupBy("site_code", "category").agg(F.count(F.lit(1)).alias("n_warnings"))
+    """n_warnings per site and category, and where the run meets the category first."""
+    return warnings.groupBy("site_code", "category").agg(F.count(F.lit(1)).alias("n_warnings"), F.min(first_sight()).alias("first"))
 
 
 def top_warnings(warnings: DataFrame, n: int = 8) -> DataFrame:
-    """Most frequent categories per site; ties by name."""
-    order = Window.partitionBy("site_code").orderBy(F.col("n_warnings").desc(), "category")
-    return warning_categories(warnings).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
+    """Most frequent categories per site; ties by first sight."""
+    order = Window.partitionBy("site_code").orderBy(F.col("n_warnings").desc(), "first")
+    ranked_rows = warning_categories(warnings).withColumn("rank", F.row_number().over(order))
+    return ranked_rows.filter(F.col("rank") <= n).drop("first")
 
 
 def quality_flag_counts(intervals: DataFrame) -> DataFrame:

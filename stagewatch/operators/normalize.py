@@ -163,6 +163,49 @@ def lenient_times(df: DataFrame, text: str, target: str, zone: str | None = None
     return out
 
 
+UNIQUE, OVERLAP, GAP, BAD = "unique", "overlap", "gap", "bad"
+
+
+def local_instants(df: DataFrame, text: str, zone: Column, target: str, overlap: str = "earlier", gap: str = "shift", drop_bad: bool = True) -> DataFrame:
+    """Read wall-clock text as local time of ``zone`` (a column); adds ``target`` (UTC wall clock) and ``<target>_status``.
+
+    A text that is no time is ``bad``: its row goes, or stays with NULL if ``drop_bad`` is off.  In the ``overlap`` after a
+    clock is set back a wall clock names two instants: the earlier or the later one is taken.  In the ``gap`` when it is set
+    forward it names none: ``shift`` takes the instant that the clock without the change would have named, ``null`` none.
+
+    The offsets in force a day before and a day after give the two candidates; one counts if the zone shows the wall clock
+    then.  Everything goes through wall clocks, so the session's zone does not matter.
+    """
+    if overlap not in ("earlier", "later") or gap not in ("shift", "null"):
+        raise ValueError(f"overlap must be earlier or later and gap shift or null, got {overlap!r} and {gap!r}")
+    utc, day = F.lit("UTC"), F.expr("INTERVAL '1' DAY")
+    wall, before, after = (f"__{target}_{n}" for n in ("wall", "before", "after"))
+
+    def candidate(near: Column) -> Column:
+        # The wall clock less the offset that holds at ``near``.
+        return F.col(wall) - (near - F.convert_timezone(zone, utc, near))
+
+    def shown(name: str) -> Column:
+        return F.convert_timezone(utc, zone, F.col(name)) == F.col(wall)
+
+    out = df.withColumn(wall, coerce.lenient_timestamp(F.col(text)))
+    if drop_bad:
+        out = out.filter(F.col(wall).isNotNull())
+    out = out.withColumns({before: candidate(F.col(wall) - day), after: candidate(F.col(wall) + day)})
+    both = shown(before) & shown(after)
+    status = (
+        F.when(F.col(wall).isNull(), BAD).when(both & (F.col(before) != F.col(after)), OVERLAP)
+        .when(~shown(before) & ~shown(after), GAP).otherwise(UNIQUE)
+    )
+    pick = F.least(before, after) if overlap == "earlier" else F.greatest(before, after)
+    instant = (
+        F.when(F.col(f"{target}_status") == OVERLAP, pick)
+        .when(F.col(f"{target}_status") == GAP, F.col(before) if gap == "shift" else F.lit(None).cast("timestamp_ntz"))
+        .otherwise(F.when(shown(before), F.col(before)).otherwise(F.col(after)))
+    )
+    return out.withColumn(f"{target}_status", status).withColumn(target, instant).drop(wall, before, after)
+
+
 def bad_time_count(df: DataFrame, text: str, keys: Iterable[str] = ("site_code",)) -> DataFrame:
     return df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_rows"),

@@ -57,6 +57,26 @@ def first_unknown_states(rows: DataFrame) -> DataFrame:
     ).select("site_code", F.col("first_seen.case_id").alias("case_id"), "state")
 
 
+def unknown_state_dictionary(rows: DataFrame) -> DataFrame:
+    """state, number (from 1), and the site and case that show it first: states the workflow lacks, by first sight in the run.
+
+    The run's order is site, case and the order inside the case.  Every task keeps the first sight of each state it meets;
+    what is numbered has one row per state.
+    """
+    first = F.min(F.struct(F.col("site_code"), _reading_order().alias("at"))).alias("first")
+    seen = rows.filter(F.col("ordinal").isNull()).groupBy("state").agg(first, F.count(F.lit(1)).alias("n_rows"))
+    number = F.row_number().over(Window.orderBy("first", "state"))
+    return seen.select(
+        "state", number.alias("number"), F.col("first.site_code").alias("site_code"), F.col("first.at.case_id").alias("case_id"), "n_rows")
+
+
+def with_state_numbers(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Rows with a number for every state: a known one's ordinal, an unknown one's after all known ones."""
+    known = len(PLOT_STATES)
+    found = rows.join(dictionary.select("state", "number"), "state", "left")
+    return found.withColumn("state_number", F.coalesce("ordinal", F.col("number") + known)).drop("number")
+
+
 def normalized_timeline(rows: DataFrame) -> DataFrame:
     """Rebased minutes per row and the case's y position."""
     return rows.join(case_order(rows), KEYS).select(

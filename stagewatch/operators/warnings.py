@@ -118,3 +118,27 @@ def run_warnings(intervals: DataFrame, workflow: Workflow = DEFAULT) -> DataFram
     return reduce(DataFrame.unionByName, [
         explode_entries(intervals, entries), _first_unmapped(intervals), *_timeline_firsts(intervals)
     ])
+
+
+def interval_facts(intervals: DataFrame, workflow: Workflow = DEFAULT) -> DataFrame:
+    """Per case: enriched and labelled events, intervals, and warnings by stage, in one aggregate over the interval rows.
+
+    Warnings that a case gives once per value (unmapped types, unknown states, a crossing of midnight) are counted as such.
+    """
+    def given(entries: Sequence[Column]) -> Column:
+        return F.sum(F.size(F.array_compact(F.array(*entries))))
+
+    rows = F.count(F.lit(1))
+    counted = intervals.groupBy(*KEYS).agg(
+        rows.alias("enriched_event_count"), rows.alias("state_labeled_event_count"), rows.alias("state_interval_count"),
+        given(state_entries()).alias("state_rows"), given(interval_entries(workflow)).alias("timing_warning_count"),
+        given(timeline_entries()).alias("plot_rows"),
+    )
+    firsts = {"state_firsts": [_first_unmapped(intervals)], "plot_firsts": _timeline_firsts(intervals)}
+    for name, parts in firsts.items():
+        once = reduce(DataFrame.unionByName, parts).groupBy(*KEYS).agg(F.count(F.lit(1)).alias(name))
+        counted = counted.join(once, KEYS, "left")
+    return counted.withColumns({
+        "state_warning_count": F.col("state_rows") + F.coalesce("state_firsts", F.lit(0)),
+        "plot_warning_count": F.col("plot_rows") + F.coalesce("plot_firsts", F.lit(0)),
+    }).drop("state_rows", "state_firsts", "plot_rows", "plot_firsts")

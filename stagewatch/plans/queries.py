@@ -435,13 +435,16 @@ def describe_totals(spark, sf):
 
 @query
 def site_stats_doc(spark, sf):
+    """Every field of every site's document, a row per phase."""
     rows = long(spark, sf)
-    variability = rounded(stats.phase_variability(rows), digits=3)
-    doc = stats.site_document(variability, stats.phase_outliers(rows), case_table(spark, sf))
-    at = [("n_cases", "$.n_cases"), ("n_outliers", "$.outliers.n_outliers"), ("treating_n", "$.phases.Treating.N"),
-          ("treating_median", "$.phases.Treating.Median")]
-    return doc.select("site_code", *[
-        F.get_json_object("document", path).cast("double").alias(name) for name, path in at])
+    doc = stats.site_document(stats.phase_variability(rows), stats.phase_outliers(rows), case_table(spark, sf))
+    phase = "struct<N:bigint,Mean:double,Median:double,SD:double,CV:double,Min:double,Max:double>"
+    parsed = doc.select("site_code", F.from_json(
+        "document", f"site string, n_cases bigint, phases map<string,{phase}>, outliers struct<n_outliers:bigint,z_threshold:double>").alias("d"))
+    return rounded(parsed.select(
+        F.col("d.site").alias("site_code"), "d.n_cases", "d.outliers.n_outliers", "d.outliers.z_threshold",
+        F.explode_outer("d.phases").alias("phase", "s"),
+    ).select("site_code", "n_cases", "n_outliers", "z_threshold", "phase", "s.*"))
 
 
 # ---- timeline -----------------------------------------------------------------------------------
@@ -572,24 +575,24 @@ def source_first_match(spark, sf):
 def results(spark, sf) -> DataFrame:
     """Two passes over the log: one for the facts of each case, one for its intervals."""
     run = site_run(spark, sf, materialize=True)
-    sources = listing.resolve_sources(listing.discover_cases(tables.file_listing(spark, sf)))
+    cases = listing.discover_cases(tables.file_listing(spark, sf))
+    sources = listing.resolve_sources(cases)
     facts = durable(normalize.log_facts(run.raw))
     stages = diagnostics.stage_counts({
+        "timing_log_entry_count": run.timing_sheet,
         "session_synthetic_count": enrich.session_events(run.sessions),
         "timing_log_synthetic_count": enrich.timing_log_events(run.timing_sheet),
-        "state_interval_count": run.intervals,
-        "state_warning_count": warnings.state_warnings(run.intervals),
-        "timing_warning_count": warnings.interval_warnings(run.intervals),
-        "plot_warning_count": warnings.timeline_warnings(run.intervals),
     })
-    log_counts = facts.select(*KEYS, "raw_event_count", "normalized_event_count", "dropped_event_count")
+    counts = facts.select(*KEYS, "raw_event_count", "normalized_event_count", "dropped_event_count")
+    counts = counts.join(stages, KEYS, "left").join(warnings.interval_facts(run.intervals), KEYS, "left")
     errors = facts.filter("error IS NOT NULL").select(*KEYS, "error")
-    return diagnostics.case_results(sources, errors, facts, log_counts.join(stages, KEYS, "left"), YEARS)
+    found = diagnostics.case_results(sources, errors, facts, counts, YEARS)
+    return found.join(sources.select(*KEYS, "discovery_order"), KEYS)
 
 
 @query
 def case_results(spark, sf):
-    return results(spark, sf).drop("source_path")
+    return results(spark, sf)
 
 
 @query

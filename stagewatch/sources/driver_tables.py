@@ -154,3 +154,72 @@ def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cases(spark, sf_dir).select(
         *KEYS, F.explode(F.get(kinds, (F.col("user_id") % 6).cast("int"))).alias("relative_path")
     ).withColumn("path", F.concat_ws("/", *KEYS, "relative_path"))
+
+
+def sheet_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """keys, text of a timing sheet per case, in nine shapes by user_id mod 9 (8: the case has no sheet)."""
+    # Rows of one case: six.
+    rows = timing_log(spark, sf_dir).groupBy(*KEYS).agg(F.sort_array(F.collect_list(
+        F.struct("row_number", "label", "start_text", "end_text"))).alias("r"))
+    sheets = _cases(spark, sf_dir).join(rows, KEYS).filter(F.col("user_id") % 9 != 8)
+    kind, odd = F.col("user_id") % 9, F.col("user_id") % 2 == 1
+
+    def lines(form: str) -> Column:
+        return F.transform("r", lambda r: F.format_string(form, r["label"], r["start_text"], r["end_text"], r["row_number"]))
+
+    def sheet(header: str, rows: Column) -> Column:
+        return F.concat(F.array(F.lit(header)), rows)
+
+    named = lines("%1$s,%2$s,%3$s")
+    shapes = [
+        sheet("Events,TimeSTART,TimeEND", named),
+        sheet('"TimeEND", Note , Events ,"TimeSTART"', lines('"%3$s","a ""quoted"", note","%1$s",%2$s')),
+        sheet("No,Site,What,From,To", lines("%4$d,x,%1$s,%2$s,%3$s")),
+        F.transform(sheet("\ufeffEvents,TimeSTART,TimeEND", named), lambda line: F.concat(line, F.lit("\r"))),
+        sheet("Events,TimeSTART,TimeEND", F.concat(F.slice(named, 1, 3), F.array(F.lit(" , ,")), F.slice(named, 4, 3))),
+        sheet("Events,TimeSTART,TimeEND", F.concat(F.slice(named, 1, 2), F.transform(F.slice("r", 3, 1), lambda r: r["label"]), F.slice(named, 4, 3))),
+        F.when(odd, F.array(F.lit(""))).otherwise(F.array(F.lit("Events,TimeSTART,TimeEND"))),
+        sheet("A,B", named),
+    ]
+    text = F.when(kind == 0, shapes[0])
+    for i, shape in enumerate(shapes[1:], 1):
+        text = text.when(kind == i, shape)
+    return sheets.select(*KEYS, F.array_join(text, "\n").alias("text"))
+
+
+def payload_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log rows whose columns are fields of a JSON payload, in three versions by case number mod 3 (sites have all three)."""
+    version = F.substring("case_id", 6, 20).cast("bigint") % 3
+    common = [F.col("raw_timestamp").alias("TimeStamp"), F.col("raw_event_type").alias("AuditRecordBase_Type")]
+    segment, kind = F.col("raw_segment_id"), F.col("raw_event_kind")
+    old = F.struct(*common, segment.alias("TreatmentId"), F.lit("k").alias("SignalHelpKey"))
+    middle = F.struct(*common, segment.alias("SegmentId"), kind.alias("EventKind"))
+    new = F.struct(*common, segment.alias("SegmentId"), kind.alias("EventKind"), (kind * 0.5 + 0.25).cast("double").alias("Temperature"))
+    keep = {"ignoreNullFields": "false"}
+    return raw_events(spark, sf_dir).select(
+        *KEYS, "row_number",
+        F.when(version == 0, F.to_json(old, keep)).when(version == 1, F.to_json(middle, keep)).otherwise(F.to_json(new, keep)).alias("raw_payload"),
+    )
+
+
+def local_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """event_id, site_code, zone, wall_text: wall clocks of nights on which the zone's clocks change, some of them no times."""
+    user, k = F.col("user_id"), F.get_json_object("props", "$.k").cast("bigint")
+    east, spring = user % 4 < 2, user % 2 == 0
+    night = F.when(east & spring, "2024-03-10").when(east, "2024-11-03").when(spring, "2024-03-31").otherwise("2024-10-27")
+    minutes = k * 3
+    clock = F.format_string("%02d:%02d:00", F.floor(minutes / 60), minutes % 60)
+    return table(spark, sf_dir, "events").select(
+        "event_id", _site(user).alias("site_code"), F.when(east, "America/New_York").otherwise("Europe/Berlin").alias("zone"),
+        F.when(k == 99, "soon").otherwise(F.concat_ws(" ", night, clock)).alias("wall_text"),
+    )
+
+
+def state_table_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """site_code, value: the log as lines of CSV, with synonyms for two columns by site and some broken lines."""
+    raw = raw_events(spark, sf_dir)
+    seconds = (F.col("row_number") * 7 % 1000).cast("string")
+    number = F.when(F.col("row_number") % 97 == 5, F.lit("many")).otherwise(seconds)
+    line = F.concat_ws(",", "case_id", F.col("row_number").cast("string"), F.col("raw_timestamp"), F.trim("raw_event_type"), number)
+    value = F.when(F.col("row_number") % 89 == 7, F.concat("case_id", F.lit(",x"))).otherwise(line)
+    return raw.select("site_code", value.alias("value"))

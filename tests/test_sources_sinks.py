@@ -1,4 +1,5 @@
 import io
+import json
 import sqlite3
 import zipfile
 
@@ -6,10 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from stagewatch import sinks
-from stagewatch.operators import diagnostics, enrich, normalize
+from stagewatch.operators import diagnostics, enrich, normalize, versions
 from stagewatch.plans.site_run import SiteRun
-from stagewatch.sources import case_files, listing, tables, timing_sheets
-
+from stagewatch.sources import case_files, listing, sheets, tables
 
 
 def database(rows, segment="SegmentId", audit=True) -> bytes:
@@ -57,6 +57,7 @@ def tree(tmp_path_factory):
     put("S1/TimingLogs/zipped.csv", b"A,B\n1,2\n")
     put("S1/TimingLogs/twice.csv", b"Events,TimeSTART,TimeEND\nonly\n")
     put("S1/TimingLogs/hollow.csv", b"Events,TimeSTART,TimeEND\n")
+    put("S1/TimingLogs/a+b c.csv", b"")
     return root
 
 
@@ -123,16 +124,132 @@ def test_manifest_documents(spark, resolved, tree, tmp_path):
     assert '"run_id":"r1"' in document and '"artifact_paths":{"intervals":"/x"}' in document
 
 
-def test_timing_sheets(spark, tree):
-    lines = timing_sheets.sheet_lines(spark, str(tree / "S1" / "TimingLogs"), "S1")
-    rows = {r.case_id: r for r in timing_sheets.sheet_rows(lines).collect()}
-    assert set(rows) == {"plain", "Older"}
+def test_sheets_of_a_site(spark, tree):
+    lines, files = sheets.sheet_lines(spark, str(tree)), sheets.sheet_files(spark, str(tree))
+    rows = {r.case_id: r for r in sheets.sheet_rows(lines).collect()}
+    assert set(rows) == {"plain", "Older"} and {r.site_code for r in rows.values()} == {"S1"}
     assert rows["Older"].label == 'Patient is ready, "now"' and rows["Older"].end_text == "2025-01-01 08:00:00"
-    assert [(r.case_id, r.row_number) for r in timing_sheets.blank_row_warnings(lines).collect()] == [("plain", 3)]
-    assert {r.case_id: r.error for r in timing_sheets.sheet_errors(lines).collect()} == {
-        "zipped": "timing_log_columns_missing", "twice": "timing_log_short_row", "hollow": "timing_log_header_only"}
-    events = enrich.timing_log_events(timing_sheets.sheet_rows(lines)).orderBy("timestamp").collect()
+    assert [(r.case_id, r.row_number, r.detail) for r in sheets.blank_row_warnings(lines).collect()] == [("plain", 3, "plain.csv")]
+    assert {r.case_id: (r.error, r.row_number) for r in sheets.sheet_errors(lines, files).collect()} == {
+        "zipped": (sheets.NO_COLUMNS, 1), "twice": (sheets.SHORT_ROW, 2), "hollow": (sheets.HEADER_ONLY, 1), "a+b c": (sheets.EMPTY, 1)}
+    events = enrich.timing_log_events(sheets.sheet_rows(lines)).orderBy("timestamp").collect()
     assert [e.event_type for e in events] == ["DeviceInsertionBegins", "DeviceInsertionEnds"]
+    cases = spark.createDataFrame([("S1", c) for c in ("plain", "none", "a+b c")], "site_code string, case_id string")
+    found = {r.case_id: (r.source_file is not None, r.n_entries, r.n_blank, r.error) for r in sheets.case_sheets(cases, files, lines).collect()}
+    assert found == {"plain": (True, 1, 1, None), "none": (False, 0, 0, None), "a+b c": (True, None, None, sheets.EMPTY)}
+
+
+def test_line_numbers_go_on_over_the_splits_of_a_file(spark, tmp_path):
+    folder = tmp_path / "S2" / "TimingLogs"
+    folder.mkdir(parents=True)
+    names = [f"step {i}" for i in range(5000)]
+    (folder / "long.csv").write_text("Events,TimeSTART,TimeEND\n" + "".join(f"{n},,x\n" for n in names))
+    (folder / "short.csv").write_text("Events,TimeSTART,TimeEND\nonly,,x\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        lines = sheets.sheet_lines(spark, str(tmp_path))
+        got = sorted((r.case_id, r.row_number, r.label) for r in sheets.sheet_rows(lines).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == [("long", i + 2, n) for i, n in enumerate(names)] + [("short", 2, "only")]
+
+
+def test_csv_cells_are_those_of_the_csv_module(spark):
+    import csv
+
+    texts = ['a,b', '', ',', '"a,b",c', '"a ""q"" b",', 'a"b,c', '"x"y,z', '""', '"",""', ' "a",b', 'é,"ü,ß"', '"' + "x" * 20_000 + '",y', '"' + '""' * 3000 + '"']
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.c for r in df.select("i", sheets.csv_cells(F.col("t")).alias("c")).collect()}
+    assert got == {i: (next(csv.reader([t])) if t else []) for i, t in enumerate(texts)}
+
+
+def test_rows_that_do_not_fit_are_found_whatever_is_asked_for(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("c,1,2024-01-01,x,7\nc,2,2024-01-01,x,many\nshort\nc,3,2024-01-01,x,1,more\n")
+    (tmp_path / "b.csv").write_text("c,1,2024-01-01,,\n")
+    rows = tables.read_checked(spark, str(tmp_path), "case_id string, n bigint, day date, kind string, seconds double", header=False)
+    good, bad = tables.split_bad(rows)
+    assert sorted(r.n for r in good.select("n").collect()) == [1, 1] and good.count() == 2
+    assert sorted(r[tables.BAD_LINE][:7] for r in bad.collect()) == ["c,2,202", "c,3,202", "short"]
+    assert sorted((r.source_file[-5:], r.n_rows, r.n_bad) for r in tables.bad_rows(rows).collect()) == [("a.csv", 4, 3), ("b.csv", 1, 0)]
+
+
+def test_synonyms_and_lenient_numbers(spark):
+    df = spark.createDataFrame([(" ", "p", "3.0"), ("q", None, "x")], "a string, b string, n string")
+    assert [tuple(r) for r in tables.unified(df, {"who": ("z", "a", "b"), "many": ("n",)}, ("many",)).collect()] == [("p", 3), ("q", None)]
+    with pytest.raises(ValueError):
+        tables.unified(df, {"who": ("none",)})
+
+
+def test_replacing_a_site_twice_leaves_the_others(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.replace_partitions(spark.createDataFrame([("A", 1), ("B", 2)], "site_code string, n int"), path)
+    for _ in range(2):
+        sinks.replace_partitions(spark.createDataFrame([("A", 7), ("A", 8)], "site_code string, n int"), path)
+    back = sinks.read_sites(spark, path, spark.read.parquet(path).schema)
+    assert sorted(tuple(r) for r in back.select("site_code", "n").collect()) == [("A", 7), ("A", 8), ("B", 2)]
+    one = sinks.read_sites(spark, path, back.schema, ["A"])
+    assert "site_code" in one._jdf.queryExecution().toString().split("PartitionFilters: [")[1].split("]")[0]
+    assert one.count() == 2
+
+
+def test_rows_of_an_ordered_table_are_found_by_position(spark, tmp_path):
+    path = str(tmp_path / "ordered")
+    numbers = [(i * 37) % 1000 for i in range(1000)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several files, small as they are
+    try:
+        sinks.write_ordered(spark.createDataFrame([(n,) for n in numbers], "n int").repartition(7), path, ["n"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted((r.position, r.n) for r in sinks.read_ordered(spark, path).collect()) == [(i, i) for i in range(1000)]
+    some = sinks.read_ordered(spark, path, 260, 270)
+    assert sorted((r.position, r.n) for r in some.collect()) == [(i, i) for i in range(260, 271)]
+    files = sorted((r.first, r.n_rows) for r in sinks.ordered_files(spark, path).collect())
+    assert len(files) > 1 and all(a + n == b for (a, n), (b, _) in zip(files, files[1:]))
+    assert sinks.read_ordered(spark, path, 5000, 6000).collect() == []
+
+
+def test_document_parts_are_bounded_and_in_order(spark, tmp_path):
+    results = spark.createDataFrame([("A", i, f"c{i}") for i in range(1, 26)], "site_code string, discovery_order bigint, case_id string")
+    manifest = spark.createDataFrame([("A", 25)], "site_code string, cases_discovered bigint")
+    places = spark.createDataFrame([("A", "x", "out/x")], "site_code string, name string, path string")
+    sinks.write_document_parts(sinks.document_parts(manifest, results, places, part_cases=10), str(tmp_path / "d"))
+    parts = sorted(sinks.read_document_parts(spark, str(tmp_path / "d")).collect(), key=lambda r: r.part)
+    assert [(r.part, r.kind) for r in parts] == [(0, "head"), (1, "cases"), (2, "cases"), (3, "cases")]
+    document = json.loads(parts[0].body) | {"case_results": [c for r in parts[1:] for c in json.loads(r.body)]}
+    assert document["artifact_paths"] == {"x": "out/x"} and [c["case_id"] for c in document["case_results"]] == [f"c{i}" for i in range(1, 26)]
+
+
+def test_payloads_that_are_no_objects_have_no_columns(spark):
+    rows = spark.createDataFrame([("S", "c", 1, '{"a": 1}'), ("S", "c", 2, '{"a": 2.5, "b": null}'), ("S", "c", 3, "no json"), ("S", "c", 4, None), ("S", "c", 5, "[1]")],
+                                 "site_code string, case_id string, row_number bigint, raw_payload string")
+    got = {(r["column"]): (r.type, r.n_rows, r.n_null) for r in versions.log_catalog(rows).collect()}
+    assert got["a"][0].startswith("DECIMAL") and got["a"][1:] == (2, 0) and got["b"] == ("VOID", 1, 1) and len(got) == 2
+    log = versions.unified_log(rows, {"n": ("int", ("a",)), "m": ("string", ("z", "b"))}).orderBy("row_number").collect()
+    assert [(r.n, r.m) for r in log][0] == (1, None) and len(log) == 5
+
+
+@pytest.mark.parametrize("wall, status, earlier, later", [
+    ("2024-03-10 01:59:59", "unique", "06:59:59", "06:59:59"), ("2024-03-10 02:00:00", "gap", "07:00:00", None),
+    ("2024-03-10 02:59:59", "gap", "07:59:59", None), ("2024-03-10 03:00:00", "unique", "07:00:00", "07:00:00"),
+    ("2024-11-03 00:59:59", "unique", "04:59:59", "04:59:59"), ("2024-11-03 01:00:00", "overlap", "05:00:00", "06:00:00"),
+    ("2024-11-03 01:59:59", "overlap", "05:59:59", "06:59:59"), ("2024-11-03 02:00:00", "unique", "07:00:00", "07:00:00"),
+    ("2024-07-01 12:00:00", "unique", "16:00:00", "16:00:00"), ("soon", "bad", None, None)])
+def test_clock_changes(spark, wall, status, earlier, later):
+    df = spark.createDataFrame([(wall,)], "t string")
+    zone = F.lit("America/New_York")
+    first = normalize.local_instants(df, "t", zone, "ts", drop_bad=False).first()
+    last = normalize.local_instants(df, "t", zone, "ts", overlap="later", gap="null", drop_bad=False).first()
+    shown = lambda r: None if r.ts is None else str(r.ts)[11:19]
+    assert (first.ts_status, shown(first), shown(last)) == (status, earlier, later)
+    assert normalize.local_instants(df, "t", zone, "ts").count() == (status != "bad")
+
+
+def test_ties_of_categories_go_by_first_sight(spark):
+    rows = [("S", "b", "zeta", 9, None), ("S", "B2", "alpha", 1, None), ("S", "a", "plot_x", 1, None), ("S", "b", "zeta", 3, None),
+            ("S", "c", "alpha", 1, None), ("S", "c", "plot_x", 2, None)]
+    df = spark.createDataFrame(rows, "site_code string, case_id string, category string, row_number bigint, detail string")
+    assert [r.category for r in diagnostics.top_warnings(df).orderBy("rank").collect()] == ["zeta", "alpha", "plot_x"]
 
 
 def test_csv_table_with_explicit_schema(spark, tmp_path):
