@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import re
 
-from stagewatch.sources.driver_tables import FILES, LABELS, TYPES
-from stagewatch.workflow import (
-    CRITICAL_TYPES, SCRIPT_ONLY_TRANSITIONS, SPARSE_RULES, SPARSE_TYPES, STATES, TIMING_LABELS, TRANSITIONS,
+from oracle.fixed import (
+    CRITICAL_TYPES, FILES, LABELS, SCRIPT_ONLY_TRANSITIONS, SPARSE_RULES, SPARSE_TYPES, STATES, TIMING_LABELS, TRANSITIONS, TYPES,
 )
 
 
@@ -426,19 +425,20 @@ for _name in _CHAIN:
 _NAME = re.compile(r"\bc_[a-z_0-9]+\b")
 
 
-def query(select: str) -> str:
-    """Prefix a select with the CTEs it needs, in dependency order."""
+def query(select: str, given: dict[str, str] | None = None) -> str:
+    """Prefix a select with the CTEs it needs, in dependency order; ``given`` replaces some of them."""
+    ctes = CTES | (given or {})
     ordered: list[str] = []
 
     def visit(name: str) -> None:
         if name in ordered:
             return
-        for other in _NAME.findall(CTES[name]):
+        for other in _NAME.findall(ctes[name]):
             if other != name:
                 visit(other)
         ordered.append(name)
 
     for name in _NAME.findall(select):
         visit(name)
-    body = ",\n".join(f"{n} AS MATERIALIZED ({CTES[n]})" for n in ordered)
+    body = ",\n".join(f"{n} AS MATERIALIZED ({ctes[n]})" for n in ordered)
     return f"WITH {body}\n{select}" if ordered else select

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from oracle.ctes import CASE, POST, query
-from stagewatch.workflow import IN_ROOM_STATES, MRI_STATES, PHASE_GROUPS, PLOT_STATES, STATE_NAMES
+from oracle.fixed import MRI_STATES, PHASE_GROUPS, PLOT_STATES, STATE_NAMES
 
 WARNING = "site_code, case_id, category, row_number, detail"
 EVENT = "site_code, case_id, ts AS timestamp, event_type, source, source_detail, row_number"

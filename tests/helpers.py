@@ -1,4 +1,4 @@
-"""Small hand-made events and a row-by-row restatement of the rules, for comparison only."""
+"""Small hand-made events."""
 
 from __future__ import annotations
 
@@ -7,9 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from stagewatch.functions.coerce import micros
-from stagewatch.workflow import (
-    SPARSE_RULES, SPARSE_TYPES, TRANSITIONS, tie_rank,
-)
+from stagewatch.workflow import tie_rank
 
 DAY = datetime(2025, 1, 1)
 SCHEMA = (
@@ -47,92 +45,3 @@ def with_state(spark, rows):
 
 
 POST = "Post-treatment scans & Device removal"
-MAP = {t: (s, r) for t, s, r in TRANSITIONS}
-
-
-def sequential_states(rows):
-    """One case, rows already in order: list of (state, rule, cleanup)."""
-    out, current, seen, previous = [], None, False, None
-    for row in rows:
-        at, kind, segment, event_kind = row[2], row[3], row[7], row[8]
-        if kind == "UATestRecord" and not seen:
-            step = ("Room ready", "map_uatest_pre_positioning")
-        elif "DeliveryPaused" in kind:
-            step = ("Paused", "map_delivery_paused")
-        else:
-            step = MAP.get(kind)
-        rule = step[1] if step else ("carry_forward_previous_state" if current else None)
-        current = step[0] if step else current
-        cleanup = []
-        if previous and kind == "AlignmentWorkflowRecord" and previous == ("CoarseWorkflowRecord", at):
-            current = None
-            cleanup.append("clear_alignment_duplicate_coarse_same_timestamp")
-        disconnect = kind == "MriConnectionRecord" or (kind, event_kind) in (("SessionEventRecord", 1), ("SegmentEventRecord", 2))
-        if current == POST and disconnect:
-            current = None
-            cleanup.append("clear_post_treatment_disconnect_events")
-        prefix = (segment or "").strip()[:10]
-        if current and len(prefix) == 10 and prefix[4] == prefix[7] == "-" and prefix.replace("-", "").isdigit() \
-                and prefix != at.strftime("%Y-%m-%d"):
-            current = None
-            cleanup.append("clear_segment_date_mismatch")
-        seen = seen or current == "Patient positioning & induction"
-        out.append((current, rule, ";".join(cleanup)))
-        previous = (kind, at)
-    return out
-
-
-def sequential_intervals(rows, labels):
-    """One case in order: list of (start seconds, duration seconds, anchor, flags)."""
-    times = [r[2] for r in rows]
-    kinds = [r[3] for r in rows]
-    states = [label[0] for label in labels]
-
-    def where(kind):
-        return [i for i, k in enumerate(kinds) if k == kind]
-
-    al, ii, uh, su = where("AlignmentWorkflowRecord"), where("InitialImaging"), where("PSHomingRecord"), where("SetupWorkflowRecord")
-    anchor, at = "Alignment", al[0] if al else 0
-    if not al:
-        anchor, at = ("InitialImaging", ii[0]) if ii else ("LastUAHoming", uh[-1]) if uh else ("CaseStart", 0)
-    else:
-        tests = [i for i in where("PSTestRecord") + where("UATestRecord") if i < al[0]]
-        ready = max(tests, default=0)
-        if ready <= 1:
-            ready = uh[0] if len(uh) > 1 else su[0] if su else ready
-        if any(i > ready for i in uh):
-            homed = [i for i in uh if i < al[0]]
-            if ii and ii[0] < al[0]:
-                anchor, at = "InitialImaging", ii[0]
-            elif not ii and homed:
-                anchor, at = "LastUAHoming", homed[-1]
-    last = max((i for i, s in enumerate(states) if s), default=len(rows) - 1)
-    end, limit, out = times[last], 7200.0, []
-    for i, (row, state) in enumerate(zip(rows, states)):
-        flags, duration = [], 0.0
-        if i + 1 < len(rows):
-            raw = (times[i + 1] - times[i]).total_seconds()
-            if raw == 0:
-                flags.append("zero_duration_to_next")
-            else:
-                duration, left = raw, (end - times[i]).total_seconds()
-                cap = left if 0 < left < limit else limit
-                terminal = state in ("Patient recovery & transfer", POST)
-                early = state in ("Room ready", "TULSA QA", "Patient positioning & induction")
-                past, large = times[i + 1] > end, raw > limit
-                if past and (terminal or not state):
-                    duration = max(0.0, left)
-                    flags += ["interval_terminal_state_clamped"] * terminal + ["interval_unassigned_state_truncated"] * (not state)
-                thin = labels[i][1] in SPARSE_RULES or row[3] in SPARSE_TYPES or row[4] == "sessions"
-                if large and early and thin and cap < duration:
-                    duration = cap
-                    flags += ["interval_early_state_truncated", "interval_truncated_large_gap"]
-                if large and (terminal or not state or past):
-                    duration = min(duration, cap)
-                    flags += ["interval_truncated_large_gap"]
-                    flags += ["interval_terminal_state_clamped"] * terminal + ["interval_unassigned_state_truncated"] * (not state)
-        start = (times[i] - times[at]).total_seconds()
-        if start < 0:
-            flags += ["negative_rebased_start", "negative_rebased_start_expected_pre_anchor"]
-        out.append((start, duration, anchor, list(dict.fromkeys(flags))))
-    return out

@@ -2,9 +2,10 @@ import random
 from datetime import timedelta
 
 import pytest
-from helpers import DAY, POST, clock, enriched, event, sequential_intervals, sequential_states, with_state
+from helpers import DAY, POST, clock, enriched, event, with_state
 from pyspark.sql import functions as F
 
+from oracle.ctes import query
 from stagewatch.functions.ordered import slice_hot_groups
 from stagewatch.operators import intervals, states, warnings
 from stagewatch.sources.driver_tables import TYPES
@@ -84,28 +85,84 @@ def random_case(rng, case, n):
     return rows
 
 
+def by_sql(rows):
+    """Intervals of the rows by the SQL of the registered queries, over these events instead of the tables'."""
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("""CREATE TABLE given (site_code TEXT, case_id TEXT, ts TIMESTAMP, event_type TEXT, source TEXT, is_synthetic BOOLEAN, source_detail TEXT,
+        segment_id TEXT, event_kind INT, drop_reason TEXT, insertion_rule TEXT, row_number BIGINT)""")
+    con.executemany(f"INSERT INTO given VALUES ({', '.join('?' * 12)})", rows)
+    events = "SELECT *, epoch_us(ts) AS ts_us, 0 AS src, NULL AS raw_payload FROM given"
+    select = """SELECT case_id, row_number, state, state_assignment_rule, cleanup_rule_applied, start_us, duration_us, rebase_anchor, flags
+        FROM c_intervals"""
+    return sorted(con.execute(query(select, {"c_enriched": events})).fetchall())
+
+
+def in_spark(events):
+    rows = intervals.state_intervals(states.label_states(events))
+    return sorted(tuple(r) for r in rows.select(
+        "case_id", "row_number", "state", "state_assignment_rule", "cleanup_rule_applied", "start_us", "duration_us", "rebase_anchor",
+        F.concat_ws("|", "quality_flags")).collect())
+
+
 @pytest.mark.parametrize("limit", [None, 7])
-def test_random_cases_match_a_row_by_row_reading(spark, slices_of, limit):
+def test_random_cases_equal_the_sql(spark, slices_of, limit):
     rng = random.Random(11)
     cases = {f"c{n:02d}": random_case(rng, f"c{n:02d}", rng.choice([1, 2, 30, 45])) for n in range(24)}
     cases["big"] = random_case(rng, "big", 330)  # one case holds about a third of all rows
-    events = enriched(spark, [row for rows in cases.values() for row in rows])
+    rows = [row for case in cases.values() for row in case]
+    events = enriched(spark, rows)
     if limit:
         slices_of(limit)
         events = slice_hot_groups(events, KEYS, event_order())
         assert events.filter("group_slice > 0").count() > 0
-    got = intervals.state_intervals(states.label_states(events)).collect()
-    by_case = {}
-    for r in got:
-        by_case.setdefault(r.case_id, {})[r.row_number] = r
-    assert sum(map(len, by_case.values())) == sum(map(len, cases.values()))
-    for case, rows in cases.items():
-        expected = sequential_states(rows)
-        timed = sequential_intervals(rows, expected)
-        for i, (label, interval) in enumerate(zip(expected, timed), start=1):
-            r = by_case[case][i]
-            assert (r.state, r.state_assignment_rule, r.cleanup_rule_applied) == label, (case, i)
-            assert (r.start_sec, r.duration_sec, r.rebase_anchor, list(r.quality_flags)) == interval, (case, i)
+    assert in_spark(events) == by_sql(rows)
+
+
+def hand_computed(spark, steps):
+    """steps: (time, type, segment, kind) of one case; (state, clean-up) and (start, duration) seconds per row."""
+    events = [event(clock(at), kind, i, segment=segment, event_kind=number) for i, (at, kind, segment, number) in enumerate(steps, 1)]
+    out = intervals.state_intervals(states.label_states(enriched(spark, events))).orderBy("row_number").collect()
+    return [r.state for r in out], [r.cleanup_rule_applied for r in out], [(r.start_sec, r.duration_sec) for r in out], out
+
+
+def test_a_test_of_the_applicator_means_ready_until_positioning(spark):
+    got, _, _, out = hand_computed(spark, [("08:00", "UATestRecord", None, 0), ("08:10", "Ready4Urology", None, 0), ("08:20", "UATestRecord", None, 0)])
+    assert got == ["Room ready", "Patient positioning & induction", "Patient positioning & induction"]
+    assert [r.state_assignment_rule for r in out] == ["map_uatest_pre_positioning", "map_anesthesia_or_urology_ready", CARRY]
+
+
+def test_a_cleared_state_is_not_carried_on(spark):
+    got, cleanup, _, _ = hand_computed(spark, [
+        ("08:00", "CoarseWorkflowRecord", "2024-12-31_x", 0), ("08:05", "SignalOther", None, 0), ("08:10", "DetailedWorkflowRecord", "2025-01-01_x", 0),
+        ("08:15", "SignalOther", "SEG-1", 0)])
+    assert got == [None, None, "Detailed", "Detailed"] and cleanup == ["clear_segment_date_mismatch", "", "", ""]
+
+
+@pytest.mark.parametrize("kind, number, cleared", [
+    ("MriConnectionRecord", 0, True), ("SessionEventRecord", 1, True), ("SessionEventRecord", 0, False), ("SegmentEventRecord", 2, True),
+    ("SegmentEventRecord", 1, False)])
+def test_disconnects_end_the_last_state(spark, kind, number, cleared):
+    got, _, _, _ = hand_computed(spark, [("08:00", "ReviewWorkflowRecord", None, 0), ("08:05", kind, None, number), ("08:10", "Other", None, 0)])
+    assert got == [POST, None if cleared else POST, None if cleared else POST]
+
+
+def test_time_before_the_anchor_is_negative(spark):
+    _, _, times, out = hand_computed(spark, [
+        ("08:00", "SetupWorkflowRecord", None, 0), ("08:30", "InitialImaging", None, 0), ("08:40", "PSHomingRecord", None, 0),
+        ("09:00", "AlignmentWorkflowRecord", None, 0), ("09:00", "CoarseWorkflowRecord", None, 0)])
+    assert times == [(-1800.0, 1800.0), (0.0, 600.0), (600.0, 1200.0), (1800.0, 0.0), (1800.0, 0.0)]
+    assert out[0].rebase_anchor == "InitialImaging" and "negative_rebased_start" in out[0].quality_flags
+    assert "zero_duration_to_next" in out[3].quality_flags
+
+
+def test_long_gaps_are_cut_at_two_hours_or_the_case_end(spark):
+    _, _, times, out = hand_computed(spark, [
+        ("06:00", "FPumpRecord", None, 0), ("07:00", "CoarseWorkflowRecord", None, 0), ("12:00", "DetailedWorkflowRecord", None, 0),
+        ("12:30", "PatientTransferEnds", None, 0), ("20:00", "Other", "2024-12-31_x", 0)])
+    assert [d for _, d in times] == [3600.0, 18000.0, 1800.0, 0.0, 0.0]
+    assert [f for f in out[3].quality_flags if f.startswith("interval")] == ["interval_terminal_state_clamped", "interval_truncated_large_gap"]
 
 
 def test_same_rows_for_any_partition_count(spark):
