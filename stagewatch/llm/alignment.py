@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 from array import array
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -20,11 +21,13 @@ from pyspark.sql import functions as F
 
 from stagewatch.functions.scratch import stored
 from stagewatch.llm.common import as_bytes
-from stagewatch.llm.pretokens import MARKS, REMEMBERED, ByteLevel, spelled, stem_and_marks, units
+from stagewatch.llm.pretokens import MARKS, ByteLevel, spelled, stem_and_marks, units
 
 SPACE_MARK = "▁"
 #: Bytes of text whose distinct units and id pairs are counted together.
 CHUNK_BYTES = 8 << 20
+#: Units a worker remembers, twice; each comes with its groups and links.
+REMEMBERED = 250_000
 PAIR_SHIFT = 32
 
 
@@ -54,18 +57,16 @@ class Pieces:
 
 def align(a: list[int], b: list[int], a_sizes: list[int], b_sizes: list[int]) -> list[tuple[list[int], list[int], list[tuple[int, int]]]]:
     """Groups (ids of A, ids of B, links) of two id lists over the same bytes; sizes are bytes per id."""
-    ends_a, ends_b = {}, {}
-    for ids, sizes, ends in ((a, a_sizes, ends_a), (b, b_sizes, ends_b)):
-        at = 0
-        for i, token in enumerate(ids):
-            at += sizes[token]
-            ends[at] = i + 1
+    ends_a = dict(zip(accumulate(map(a_sizes.__getitem__, a)), range(1, len(a) + 1)))
+    ends_b = dict(zip(accumulate(map(b_sizes.__getitem__, b)), range(1, len(b) + 1)))
     groups = []
     from_a = from_b = start = 0
     for cut in sorted(ends_a.keys() & ends_b.keys()):
         to_a, to_b = ends_a[cut], ends_b[cut]
-        if to_a - from_a == 1 or to_b - from_b == 1:
-            links = [(x, y) for x in a[from_a:to_a] for y in b[from_b:to_b]]
+        if to_a - from_a == 1:
+            links = [(a[from_a], y) for y in b[from_b:to_b]]
+        elif to_b - from_b == 1:
+            links = [(x, b[from_b]) for x in a[from_a:to_a]]
         else:
             links, i, j = [], from_a, from_b
             at_a = at_b = start
@@ -93,10 +94,17 @@ class UnitAligner(dict):
         self.a, self.b = ByteLevel(a_file, plain=True), Pieces(b_file)
         self.a_bytes, self.b_bytes = self.a.id_bytes(), self.b.id_bytes
         self.a_sizes, self.b_sizes = [len(x) for x in self.a_bytes], [len(x) for x in self.b_bytes]
+        self.names = [str(i) for i in range(max(len(self.a_sizes), len(self.b_sizes)))]
+        self._start()
         self.forget()
 
     def forget(self) -> None:
+        """Start numbering anew; what is known now is looked up instead of aligned until the next time."""
+        self.older = (dict(self), self.groups, self.n_a, self.n_b, self.n_groups, self.pairs, self.pair_ends)
         self.clear()
+        self._start()
+
+    def _start(self) -> None:
         self.marks: dict[str, tuple[str, int, int, int, list[int]]] = {}
         self.groups: list[str] = []
         #: Per unit: tokens of A and of B, groups.
@@ -114,6 +122,10 @@ class UnitAligner(dict):
         return number
 
     def __missing__(self, unit: str) -> int:
+        old, groups, n_a, n_b, n_groups, pairs, ends = self.older
+        k = old.get(unit)
+        if k is not None:
+            return self._append(unit, groups[k], n_a[k], n_b[k], n_groups[k], pairs[ends[k]:ends[k + 1]])
         stem, rest = stem_and_marks(unit)
         if not stem or stem[-1] in self.b.before_marks:
             return self._append(unit, *self._aligned(spelled(unit)))
@@ -133,8 +145,9 @@ class UnitAligner(dict):
         if b"".join([self.a_bytes[i] for i in a]) != raw or b"".join([self.b_bytes[i] for i in b]) != raw:
             return NOT_GIVEN_BACK
         groups = align(a, b, self.a_sizes, self.b_sizes)
-        shown = ";".join([f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y, _ in groups])
-        return shown, len(a), len(b), len(groups), [x << PAIR_SHIFT | y for _, _, links in groups for x, y in links]
+        names = self.names
+        shown = [f"{','.join([names[i] for i in x])}|{','.join([names[i] for i in y])}" for x, y, _ in groups]
+        return ";".join(shown), len(a), len(b), len(groups), [x << PAIR_SHIFT | y for _, _, links in groups for x, y in links]
 
     def numbers(self, text: str) -> np.ndarray:
         """The units of a blank and ``text``."""
