@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stagewatch.llm import (
     alignment, conversations, decontaminate, html_extract, licenses, mixing, neardup, packing, quality, sharding, substring,
@@ -63,9 +62,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = quality.quality_report(_table(spark, sf_dir, "documents"))
-    # The query's SQL states the verdict by fixed limits.
-    return report.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                         F.col("kept_by_fixed_limits").alias("kept"))
+    return report.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,6 +184,7 @@ measured AS (
          [length(t) - length(a), length(a) - length(b), length(b) - length(c), length(c) - length(d), length(d) - length(e),
           length(e) - length(f), length(f)] AS classes,
          list_transform(COMMON, lambda k: len(list_filter(w, lambda x: x = k))) AS common,
+         list_transform(['#', '*', '$', '%', '&', '|', '<', '>'], lambda k: length(t) - length(replace(t, k, ''))) AS symbols,
          list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM s5
 ), windows AS (
@@ -197,6 +195,8 @@ measured AS (
 ), cells AS (
   SELECT r, lang, 'class' AS kind, unnest(classes) AS v, generate_subscripts(classes, 1) AS k, length(t) AS total FROM measured
   UNION ALL
+  SELECT r, lang, 'symbol', unnest(list_append(symbols, length(t) - list_sum(symbols))), generate_subscripts(list_append(symbols, 0), 1), length(t) FROM measured
+  UNION ALL
   SELECT r, lang, 'word', unnest(list_append(common, n - list_sum(common))), generate_subscripts(list_append(common, 0), 1), n FROM measured
 ), langs AS (
   SELECT lang, sum(n) >= 2000 AS enough FROM measured GROUP BY lang
@@ -205,22 +205,23 @@ measured AS (
 ), pool AS (
   SELECT kind, k, sum(v) / greatest(sum(sum(v)) OVER (PARTITION BY kind), 1)::DOUBLE AS q FROM cells GROUP BY kind, k
 ), compared AS (
-  SELECT c.r, c.kind, c.v / greatest(c.total, 1)::DOUBLE AS p, CASE WHEN l.enough THEN f.q ELSE o.q END AS q
+  SELECT c.r, c.kind, c.k, l.enough, c.v / greatest(c.total, 1)::DOUBLE AS p, CASE WHEN l.enough THEN f.q ELSE o.q END AS q
   FROM cells c JOIN langs l ON l.lang = c.lang JOIN refs f ON f.lang = c.lang AND f.kind = c.kind AND f.k = c.k
   JOIN pool o ON o.kind = c.kind AND o.k = c.k
 ), distances AS (
-  SELECT r, kind, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+  SELECT r, kind, any_value(enough) AS own, bool_or(k = 9 AND p < q) AS more, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
                                     + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2, 0)) AS d
   FROM compared GROUP BY r, kind
 ), judged AS (
   SELECT m.doc_id, m.n, m.word_chars, m.n_symbols, len(m.lines) - len(list_distinct(m.lines)) AS n_dup, coalesce(p.n_repeat, 0) AS n_repeat,
-         m.n < 50 OR 100 * coalesce(p.n_repeat, 0) > 50 * m.n AS base_failed, c.d AS class_d, x.d AS word_d
+         m.n < 50 OR 100 * coalesce(p.n_repeat, 0) > 50 * m.n AS base_failed,
+         c.d AS class_d, x.d AS word_d, x.own, CASE WHEN y.more THEN y.d ELSE 0 END AS symbol_d, 1 / sqrt(greatest(m.n, 1)::DOUBLE) AS s
   FROM measured m LEFT JOIN repeated p ON p.r = m.r JOIN distances c ON c.r = m.r AND c.kind = 'class'
-  JOIN distances x ON x.r = m.r AND x.kind = 'word'
+  JOIN distances x ON x.r = m.r AND x.kind = 'word' JOIN distances y ON y.r = m.r AND y.kind = 'symbol'
 )
 SELECT doc_id, n::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup::BIGINT AS n_dup_lines,
        n_repeat::BIGINT AS n_repeat_words, base_failed,
-       NOT base_failed AND NOT (n >= 50 AND (class_d > 0.29 OR class_d > 0.22 AND word_d > 0.40)) AS kept
+       NOT base_failed AND NOT (class_d > 0.13 + 2.0 * s OR symbol_d > 0.10 + 0.5 * s OR own AND word_d > 0.15 + 2.5 * s) AS kept
 FROM judged
 """.replace("COMMON", "['the', 'of', 'and', 'to', 'in', 'der', 'die', 'und', 'den', 'nicht', 'de', 'la', 'le', 'les', 'et', 'el', 'los', 'y', 'se', 'por']"),
 }

@@ -10,7 +10,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from stagewatch.llm import decontaminate, html_extract, licenses, quality, substring
+from stagewatch.llm import decontaminate, html_extract, licenses, quality, queries, substring
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, size bigint, kept string"
@@ -177,10 +177,10 @@ def test_quality_rejects_another_distribution_only(spark):
 def test_every_labelled_kind_of_junk_goes_and_clean_documents_stay(spark):
     sf = "/root/testdata/sf0.1"
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
-    report = quality.quality_report(docs).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").join(docs.drop("lang"), "doc_id")
-    rows = report.filter("NOT base_failed").collect()
+    report = queries.op9_quality(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").join(docs.drop("lang"), "doc_id")
+    rows = report.filter("NOT base_failed AND doc_id % 2 = 1").collect()  # the limits were set on the other half
     junk = [r for r in rows if r.quality == 0]
-    assert sum(" | " in r.text for r in junk) > 100 and sum(" | " not in r.text for r in junk) > 100
+    assert sum(" | " in r.text for r in junk) > 50 and sum(" | " not in r.text for r in junk) > 50
     assert not [r.doc_id for r in junk if r.kept]
     assert not [r.doc_id for r in rows if r.quality == 1 and not r.kept]
 
