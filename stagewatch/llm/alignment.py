@@ -157,6 +157,16 @@ class UnitAligner(dict):
         return np.fromiter(map(self.__getitem__, [first, *others]), dtype=np.int64)
 
 
+_aligners: dict[tuple[str, str], UnitAligner] = {}
+
+
+def unit_aligner(a_file: str, b_file: str) -> UnitAligner:
+    """This worker's aligner; it outlives a task, so later tasks find its units."""
+    if (a_file, b_file) not in _aligners:
+        _aligners[a_file, b_file] = UnitAligner(a_file, b_file)
+    return _aligners[a_file, b_file]
+
+
 CELLS = ("n_a", "n_b", "n_groups", "n_links")
 ALIGNED = (
     "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, chunk bigint, units binary, "
@@ -174,7 +184,7 @@ def aligned(docs: DataFrame, a_file: str, b_file: str, doc_id: str, text: str, k
     kind = dict(rows.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = UnitAligner(a_file, b_file)
+        aligner = unit_aligner(a_file, b_file)
         chunk, id_type = TaskContext.get().partitionId() << 32, None
         held: list[tuple] = []  # doc_id, unit numbers or None
         size = 0

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +22,27 @@ PLAIN = bytes(
 )
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like ``names`` that ``df`` has no column of (Spark tells no case apart)."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
+def nested(df: DataFrame, *columns: Column) -> DataFrame:
+    """All of ``df``'s columns as one struct ``row`` beside ``columns``, so that no scratch column can meet one of them."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *columns)
+
+
+def unnested(df: DataFrame) -> DataFrame:
+    return df.select("row.*")
+
+
 def text_or_empty(text: str | Column) -> Column:
     column = F.col(text) if isinstance(text, str) else text
     return F.coalesce(column.cast("string"), F.lit(""))
@@ -35,6 +58,11 @@ def as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(pa.large_binary() if wide else pa.binary()).to_pylist()
 
 
+def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a folder and its path there."""
+    return pafs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{os.path.abspath(uri)}")
+
+
 def row_key(id_column: str, text_column: str) -> Column:
     """Tells rows that share an id but not their text apart (rows equal in both may share results)."""
     return F.xxhash64(F.col(id_column), F.col(text_column))

@@ -2,24 +2,28 @@
 
 The items' words go into one suffix automaton.  A document's words are streamed through it; the automaton holds the longest
 run of words that ends here and stands in some item.  Where that run reaches the window length, or a whole item that is
-shorter, the words are hit.  Items come in blocks of bounded size, so the automaton has a bound whatever the number of items:
-every document is streamed through each block's automaton, one pass after the other.
+shorter, the words are hit.  Items come in blocks of bounded size, so an automaton has a bound whatever the number of items;
+each is built in a task and written to the shared folder, and every document is streamed through all of them in one pass.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stagewatch.functions.scratch import stored
-from stagewatch.llm.common import PLAIN, as_bytes
+from stagewatch.functions.scratch import new_path, stored
+from stagewatch.llm.common import PLAIN, as_bytes, filesystem, fresh
 
 WINDOW = 10
 #: Words of items in one automaton; it has at most twice as many states (about 1 kB of memory a word, build included).
 BLOCK_WORDS = 100_000
+#: Bytes of text that a task takes through one automaton after the other.
+GROUP_BYTES = 32 << 20
 #: Words of one piece of an item; pieces overlap by a window less one word, so no window is lost.
 PIECE_WORDS = 20_000
 
@@ -172,65 +176,96 @@ def item_pieces(benchmark: DataFrame, item_id: str, text: str, window: int) -> D
     return named.mapInArrow(cut, "item string, words string, whole boolean, n bigint")
 
 
-def automata(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", window: int = WINDOW) -> Iterator[SuffixAutomaton]:
-    """One automaton per block of items; only one block's words are on the driver at a time."""
-    pieces = item_pieces(benchmark, item_id, text, window).distinct()
+def automata(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", window: int = WINDOW) -> tuple[str, list[int]]:
+    """Build one automaton per block of items, each in a task, and write them; returns their folder and the blocks' numbers."""
+    spark = benchmark.sparkSession
+    pieces = stored(item_pieces(benchmark, item_id, text, window).distinct(), "items")
     total = pieces.agg(F.sum("n")).first()[0] or 0
-    blocks = -(-total // (BLOCK_WORDS // 2))
-    block = F.pmod(F.xxhash64("item", "words"), F.lit(max(1, blocks)))
-    for b in range(blocks):
-        rows = pieces.filter(block == b).orderBy("item", "words").collect()
-        if rows:
-            yield SuffixAutomaton([(r["item"], r["words"].encode().split(), r["whole"]) for r in rows], window)
+    blocks = max(1, -(-total // (BLOCK_WORDS // 2)))
+
+    def build(key: tuple, rows: pa.Table) -> pa.Table:
+        items = sorted(zip(rows.column("item").to_pylist(), rows.column("words").to_pylist(), rows.column("whole").to_pylist()),
+                       key=lambda r: (r[0] is not None, r[0] or "", r[1], r[2]))
+        made = SuffixAutomaton([(name, words.encode().split(), whole) for name, words, whole in items], window)
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "automaton": pa.array([pickle.dumps(made)], pa.binary())})
+
+    block = F.pmod(F.xxhash64("item", "words"), F.lit(blocks)).cast("int")
+    folder = new_path(spark, "automata")
+    built = pieces.withColumn("block", block).groupBy("block").applyInArrow(build, "block int, automaton binary")
+    built.write.partitionBy("block").parquet(folder)
+    return folder, [r["block"] for r in spark.read.schema("automaton binary, block int").parquet(folder).select("block").orderBy("block").collect()]
+
+
+_held: dict[tuple[str, int], SuffixAutomaton] = {}
+
+
+def automaton_of(folder: str, block: int) -> SuffixAutomaton:
+    """A block's automaton; a worker holds one at a time and keeps it for later tasks."""
+    if (folder, block) not in _held:
+        _held.clear()
+        system, root = filesystem(folder)
+        column = pq.read_table(f"{root}/block={block}", filesystem=system, columns=["automaton"], partitioning=None).column("automaton")
+        _held[folder, block] = pickle.loads(column[0].as_py())
+    return _held[folder, block]
 
 
 N_WORDS, HITS, ITEMS, LONGEST = "__dc_words", "__dc_hits", "__dc_items", "__dc_longest"
 SPAN = pa.struct([("start", pa.int32()), ("stop", pa.int32())])
 
 
+def grouped(batches: Iterator[pa.RecordBatch], at: int, most: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches whose column ``at`` has some ``most`` bytes together."""
+    group, size = [], 0
+    for batch in batches:
+        group.append(batch)
+        size += batch.column(at).nbytes
+        if size >= most:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
 def scanned(
     docs: DataFrame, text: str, benchmark: DataFrame, item_id: str = "item_id", item_text: str = "text", window: int = WINDOW
 ) -> DataFrame:
-    """``docs`` with what was found in each text: words, hit stretches, sorted items and the longest match.
+    """``docs`` with what was found in each text: words, hit stretches, sorted items and the longest match, in four last columns.
 
-    Every automaton is one pass over the documents.  All but the last pass are written, so an executor holds one automaton at a
-    time; benchmarks of up to ``BLOCK_WORDS`` / 2 words need one pass and no writing.
+    One pass over the documents whatever the number of automata: a task takes some MB of text through one automaton after
+    the other, and holds one of them at a time.
     """
-    context = docs.sparkSession.sparkContext
-    out = docs.withColumns({
-        N_WORDS: F.lit(0).cast("bigint"), HITS: F.expr("CAST(array() AS ARRAY<STRUCT<start: INT, stop: INT>>)"),
-        ITEMS: F.expr("CAST(array() AS ARRAY<STRING>)"), LONGEST: F.lit(0).cast("bigint"),
-    })
-    schema, at = out.schema, docs.columns.index(text)
-    names, held = out.columns, len(docs.columns)
-    nothing = SuffixAutomaton([], window)
-    done = False
-
-    def one_pass(df: DataFrame, automaton: SuffixAutomaton) -> DataFrame:
-        shared = context.broadcast(automaton)  # at most about BLOCK_WORDS words
-
-        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                found: list[list] = [[], [], [], []]
-                earlier = zip(*[batch.column(held + k).to_pylist() for k in (1, 2, 3)])
-                for raw, (spans, items, longest) in zip(as_bytes(batch.column(at)), earlier):
-                    words = (raw or b"").translate(PLAIN).split()
-                    hits, more, n = shared.value.scan(words)
-                    hits += [(s["start"], s["stop"]) for s in spans]
-                    values = (len(words), [{"start": a, "stop": b} for a, b in joined(hits)],
-                              sorted({*items, *(i for i in more if i is not None)}), max(n, longest))
-                    for column, value in zip(found, values):
-                        column.append(value)
-                types = (pa.int64(), pa.list_(SPAN), pa.list_(pa.string()), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:held], *[pa.array(c, t) for c, t in zip(found, types)]], names=names)
-
-        return df.mapInArrow(scan, schema)
-
-    for automaton in automata(benchmark, item_id, item_text, window):
-        out = one_pass(stored(out, "scanned") if done else out, automaton)
-        done = True
-    return out if done else one_pass(out, nothing)
+    folder, blocks = automata(benchmark, item_id, item_text, window)
+    names = [*docs.columns, *fresh(docs, N_WORDS, HITS, ITEMS, LONGEST)]
+    kinds = ("bigint", "array<struct<start: int, stop: int>>", "array<string>", "bigint")
+    nothing = docs.withColumns({n: F.lit(None).cast(k) for n, k in zip(names[len(docs.columns):], kinds)})
+    at = docs.columns.index(text)
+    most = GROUP_BYTES if len(blocks) > 1 else 0
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in grouped(batches, at, most):
+            texts = [as_bytes(batch.column(at)) for batch in group]
+            counts = [[0] * len(t) for t in texts]
+            hits, items, longest = ([[make() for _ in t] for t in texts] for make in (list, set, int))
+            for block in blocks or [None]:
+                automaton = SuffixAutomaton([], window) if block is None else automaton_of(folder, block)
+                for b, raws in enumerate(texts):
+                    for i, raw in enumerate(raws):
+                        words = (raw or b"").translate(PLAIN).split()
+                        counts[b][i] = len(words)
+                        spans, more, n = automaton.scan(words)
+                        hits[b][i] += spans
+                        items[b][i] |= more
+                        longest[b][i] = max(n, longest[b][i])
+            for b, batch in enumerate(group):
+                found = (
+                    pa.array(counts[b], pa.int64()),
+                    pa.array([[{"start": x, "stop": y} for x, y in joined(h)] for h in hits[b]], pa.list_(SPAN)),
+                    pa.array([sorted(i for i in found if i is not None) for found in items[b]], pa.list_(pa.string())),
+                    pa.array(longest[b], pa.int64()),
+                )
+                yield pa.RecordBatch.from_arrays([*batch.columns, *found], names=names)
+
+    return docs.mapInArrow(scan, nothing.schema)
 
 
 def contamination(
@@ -244,6 +279,7 @@ def contamination(
     row is hit.  Repeated rows and items count as they stand.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    # These rows have no column of the scratch names, so those are as they stand.
     n_hit = F.aggregate(HITS, F.lit(0).cast("bigint"), lambda n, s: n + (s["stop"] - s["start"]))
     return scanned(rows, "text", benchmark, item_id, item_text, window).select(
         "doc_id", F.col(N_WORDS).alias("n_words"), n_hit.alias("n_hit"), F.size(ITEMS).cast("bigint").alias("n_items"),
@@ -289,7 +325,8 @@ def decontaminate(
     """
     found = scanned(docs, text, benchmark, item_id, item_text, window)
     names = docs.columns
-    at, hits_at, words_at = docs.columns.index(text), found.columns.index(HITS), found.columns.index(N_WORDS)
+    at, words_at = docs.columns.index(text), len(names)
+    hits_at = words_at + 1
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

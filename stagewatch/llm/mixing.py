@@ -1,6 +1,6 @@
 """Mixing sources to target weights by nested hash thresholds.
 
-Every row has a fixed hash of its id.  Words are summed by source and hash bucket; the bucket in which a source's budget
+Every row has a fixed hash of its id and text.  Words are summed by source and hash bucket; the bucket in which a source's budget
 ends is the only one that is looked into further, until a single hash value is left.  Rows below that value are taken, so
 nothing is sorted and every pass is a partial aggregation over four narrow columns.
 """
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stagewatch.functions.scratch import stored
-from stagewatch.llm.common import numbered, word_count
+from stagewatch.llm.common import nested, numbered, text_or_empty, unnested, word_count
 
 HASH_BITS = 60
 LEVEL_BITS = 12
@@ -40,14 +40,16 @@ def source_key(source: str) -> Column:
     return F.when(F.col(source).isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col(source).cast("string")))
 
 
-def row_hash(doc_id: str, seed: str) -> Column:
-    """60 bits of the MD5 of seed and id; rows with one id (also null) share it and are taken or left together."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit("null")))
-    return F.conv(F.substring(F.md5(text.cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("bigint")
+def row_hash(doc_id: str, text: str, seed: str) -> Column:
+    """60 bits of the MD5 of seed, id and the text's own MD5; only rows alike in both share it."""
+    body = F.md5(text_or_empty(text).cast("binary"))
+    key = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), F.lit(":"), body)
+    return F.conv(F.substring(F.md5(key.cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("bigint")
 
 
 def with_mix_columns(docs: DataFrame, doc_id: str, text: str, source: str, seed: str) -> DataFrame:
-    return docs.withColumns({KEY: source_key(source), SIZE: word_count(text), HASH: row_hash(doc_id, seed)})
+    return docs.select(
+        F.col(doc_id).alias("doc_id"), source_key(source).alias(KEY), word_count(text).alias(SIZE), row_hash(doc_id, text, seed).alias(HASH))
 
 
 def plan_mix(
@@ -87,7 +89,8 @@ def plan_mix(
 def _with_thresholds(narrow: DataFrame, sources: DataFrame, count: int) -> DataFrame:
     """Add ``__below``: rows with a smaller hash are taken once more."""
     rest = F.col("__rest")
-    open_at = sources.select(KEY, "__rest", F.lit(0).cast("bigint").alias("__prefix"), F.lit(0).cast("bigint").alias("__before"))
+    # A source whose rows all come equally often has no threshold.
+    open_at = sources.filter(rest > 0).select(KEY, "__rest", F.lit(0).cast("bigint").alias("__prefix"), F.lit(0).cast("bigint").alias("__before"))
     for shift in range(HASH_BITS - LEVEL_BITS, -1, -LEVEL_BITS):
         side = F.broadcast(open_at) if count <= BROADCAST_SOURCES else open_at
         inside = narrow.select(KEY, SIZE, HASH).join(side, KEY).filter(
@@ -120,24 +123,19 @@ def mix(
 ) -> DataFrame:
     """The mixed corpus: every row as often as its source's target asks for, with the input's columns.
 
-    Empty and null texts have no words; they follow their source's copies and threshold all the same.  Null ids form one
-    id.  An empty table gives an empty table.  Columns of any name pass through.
+    Empty and null texts have no words; they follow their source's copies and threshold all the same.  Rows alike in id (null
+    too) and text are taken or left together.  An empty table gives an empty table.  Columns of any name pass through.
     """
-    narrow = stored(with_mix_columns(docs, doc_id, text, source, seed).select(KEY, SIZE, HASH), "mix-sizes")
-    plan = plan_mix(narrow)
-    keyed = docs.withColumns({KEY: source_key(source), HASH: row_hash(doc_id, seed)})
-    repeated = plan.attached(keyed).withColumn("__times", F.explode(F.array_repeat(F.lit(1), copies().cast("int"))))
-    return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])
+    plan = plan_mix(stored(with_mix_columns(docs, doc_id, text, source, seed).drop("doc_id"), "mix-sizes"))
+    keyed = nested(docs, source_key(source).alias(KEY), row_hash(doc_id, text, seed).alias(HASH))
+    return unnested(plan.attached(keyed).withColumn("__times", F.explode(F.array_repeat(F.lit(1), copies().cast("int")))))
 
 
 def mix_report(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: str = "mix"
 ) -> DataFrame:
     """Per row: id, size, source_size, target and the words the mix takes of it."""
-    narrow = stored(
-        with_mix_columns(docs.select(doc_id, text, source), doc_id, text, source, seed)
-        .select(F.col(doc_id).alias("doc_id"), KEY, SIZE, HASH), "mix-sizes",
-    )
+    narrow = stored(with_mix_columns(docs, doc_id, text, source, seed), "mix-sizes")
     return plan_mix(narrow).attached(narrow).select(
         "doc_id", F.col(SIZE).alias("size"), F.col(TOTAL).alias("source_size"), F.col(TARGET).alias("target"),
         (copies() * F.col(SIZE)).cast("bigint").alias("taken")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stagewatch.functions.scratch import stored
-from stagewatch.llm.common import LOWER, as_bytes, row_key
+from stagewatch.llm.common import LOWER, as_bytes, nested, row_key, unnested
 from stagewatch.llm.components import components
 
 RADIUS = 3
@@ -149,8 +149,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def _rooted(docs: DataFrame, doc_id: str, text: str, radius: int) -> DataFrame:
-    """What ``near_duplicates`` returns, ``root`` (the component's smallest fingerprint, which no other component has) and
-    ``least`` (the fingerprint's smallest id)."""
+    """What ``near_duplicates`` returns and ``root`` (the component's smallest fingerprint, which no other component has)."""
     rows = stored(fingerprints(docs, doc_id, text), "fingerprints")
     prints = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     roots = components(fingerprint_links(prints.select("fp"), radius))
@@ -159,25 +158,23 @@ def _rooted(docs: DataFrame, doc_id: str, text: str, radius: int) -> DataFrame:
         .select("fp", "least", F.coalesce("root", "fp").alias("root")), "fingerprint-roots",
     )
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = stored(named.join(least, "root").select("fp", "root", "least", "component_id"), "fingerprint-classes")
-    return rows.join(classes, "fp").select("doc_id", "row", "fp", "root", "least", "component_id")
+    classes = stored(named.join(least, "root").select("fp", "root", "component_id"), "fingerprint-classes")
+    return rows.join(classes, "fp").select("doc_id", "row", "fp", "root", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
-    """One row of each component: the first by id, row key and, among equal rows, any. Columns as in the input.
+    """One row of each component: the first by id (null last), row key and, among equal rows, any.  Columns as in the input.
 
-    Components are told apart by their root, not by an id, which rows with unlike texts may share or lack.  Beside the row
-    with an id stays one row without an id, if there is one whose fingerprint no row with an id has.
+    Components are told apart by their root, not by an id, which rows with unlike texts may share or lack.
     """
-    found = _rooted(docs, doc_id, text, radius).filter("doc_id IS NOT NULL OR least IS NULL")
-    order = F.struct(F.col("doc_id").alias("id"), F.col("row").alias("row"))
-    first = found.groupBy("root", F.col("doc_id").isNull()).agg(F.min(order).alias("first")).select(
-        F.col("first.id").alias("__id"), F.col("first.row").alias("__row"))
-    named = docs.withColumn("__key", row_key(doc_id, text))
-    same = (F.col("__key") == F.col("__row")) & F.col(doc_id).eqNullSafe(F.col("__id"))
-    kept = named.join(stored(first, "kept"), same, "left_semi")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("row").alias("row"))
+    first = _rooted(docs, doc_id, text, radius).groupBy("root").agg(F.min(order).alias("first")).select(
+        F.col("first.id").alias("first_id"), F.col("first.row").alias("first_row"))
+    keyed = nested(docs, F.col(doc_id).alias("id"), row_key(doc_id, text).alias("key"))
+    same = (F.col("key") == F.col("first_row")) & F.col("id").eqNullSafe(F.col("first_id"))
+    kept = keyed.join(stored(first, "kept"), same, "left_semi")
     # Rows that are equal in id and text are of one component.
-    return kept.dropDuplicates([doc_id, "__key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return unnested(kept.dropDuplicates(["id", "key"]))
 
 
 def fingerprint_text(fp: str = "fp"):

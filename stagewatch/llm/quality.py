@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stagewatch.functions.scratch import stored
-from stagewatch.llm.common import text_or_empty
+from stagewatch.llm.common import nested, text_or_empty, unnested
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -214,5 +214,5 @@ def quality_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """The documents that pass, columns as in the input."""
-    table = stored(measured(docs, text, lang), "quality")
-    return judged(table).filter(f"{PREFIX}kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    table = stored(measured(nested(docs), f"row.`{text}`", f"row.`{lang}`"), "quality")
+    return unnested(judged(table).filter(f"{PREFIX}kept"))

@@ -93,7 +93,7 @@ ORACLE = {
 WITH sized AS (
   SELECT doc_id, source,
          len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null')), 1, 15))::BIGINT AS h
+         ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS h
   FROM documents
 ), sources AS (
   SELECT source, sum(size)::BIGINT AS source_size,

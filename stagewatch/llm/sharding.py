@@ -7,8 +7,6 @@ inside.  Shard and slot follow from the place by division, so both can be comput
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -70,11 +68,6 @@ def with_shards(numbered_rows: DataFrame, row: str, total: int, shards: int, see
     }).drop("__place")
 
 
-@F.pandas_udf(LongType())
-def crc32(texts: pd.Series) -> pd.Series:
-    return pd.Series([zlib.crc32(t.encode()) for t in texts], dtype="int64")
-
-
 def shard_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shards: int = 8, seed: int = 1) -> DataFrame:
     """Per row: doc_id, size (UTF-8 bytes plus 1; a null text has none), text_crc32, law ``rows``, shard, slot, grown_shard.
 
@@ -85,7 +78,7 @@ def shard_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
     body = text_or_empty(text)
     narrow = stored(
         docs.select(F.col(doc_id).alias("doc_id"), (F.octet_length(body) + 1).cast("bigint").alias("size"),
-                    crc32(body).alias("text_crc32"), F.monotonically_increasing_id().alias("__tie")), "shard-sizes",
+                    F.crc32(body.cast("binary")).alias("text_crc32"), F.monotonically_increasing_id().alias("__tie")), "shard-sizes",
     )
     total = narrow.count()
     rows = numbered(narrow, ["doc_id", "size", "text_crc32", "__tie"], "__row")

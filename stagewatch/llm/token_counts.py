@@ -22,6 +22,8 @@ MARK = "▁"
 #: Pre-tokens whose counts a task remembers, and bytes of text whose pre-tokens are put into one trie.
 REMEMBERED = 400_000
 TRIE_BYTES = 4 << 20
+#: Bytes beyond which a pre-token is counted anew each time, so that what is remembered is bounded in bytes too.
+LONG_WORD = 200
 UNKNOWN_PENALTY = 10.0
 
 
@@ -45,14 +47,14 @@ class TrieCounter:
         #: A character that no piece stands for costs this much and becomes one token per UTF-8 byte.
         self.unknown = min(scores.values()) - UNKNOWN_PENALTY
 
-    def extend(self, prefix: str, best: list[float], tokens: list[int]) -> None:
-        """Append the forward score of ``prefix`` to those of its own prefixes; ties take fewer tokens."""
-        n, scores = len(prefix), self.scores
-        top, count = best[n - 1] + self.unknown, tokens[n - 1] + len(prefix[-1].encode())
-        if prefix[-1] in scores:
+    def extend(self, word: str, n: int, best: list[float], tokens: list[int]) -> None:
+        """Append the forward score of the first ``n`` characters to those of fewer; ties take fewer tokens."""
+        scores, last = self.scores, word[n - 1]
+        top, count = best[n - 1] + self.unknown, tokens[n - 1] + len(last.encode())
+        if last in scores:
             top = -math.inf
         for start in range(max(0, n - self.longest), n):
-            score = scores.get(prefix[start:])
+            score = scores.get(word[start:n])
             if score is not None:
                 score += best[start]
                 if score > top or score == top and tokens[start] < count - 1:
@@ -70,7 +72,7 @@ class TrieCounter:
                 shared += 1
             del best[shared + 1:], tokens[shared + 1:]
             for stop in range(shared + 1, len(word) + 1):
-                self.extend(word[:stop], best, tokens)
+                self.extend(word, stop, best, tokens)
             path = word
             out.append((tokens[-1], best[-1]))
         return out
@@ -96,9 +98,11 @@ def token_report(docs: DataFrame, model_file: str, doc_id: str = "doc_id", text:
                 known.clear()
                 new = set().union(*texts)
             by_text = sorted((MARK + w.decode(), w) for w in new)
-            known.update(zip([w for _, w in by_text], counter.counts([t for t, _ in by_text])))
+            long: dict[bytes, tuple[int, float]] = {}
+            for (_, w), result in zip(by_text, counter.counts([t for t, _ in by_text])):
+                (known if len(w) <= LONG_WORD else long)[w] = result
             for words in texts:
-                found = [known[w] for w in words]
+                found = [known.get(w) or long[w] for w in words]
                 yield len(words), sum(n for n, _ in found), math.fsum(s for _, s in found)
 
         for batch in batches:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from stagewatch.functions.scratch import new_path, stored
-from stagewatch.llm.common import as_bytes
+from stagewatch.llm.common import as_bytes, filesystem
 
 SEQUENCE = 1024
 #: Sequences in one record batch of a file.
@@ -111,10 +111,6 @@ def encoder(tokenizer_file: str) -> WordEncoder:
     return _encoders[tokenizer_file]
 
 
-def _filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{os.path.abspath(uri)}")
-
-
 class SequenceWriter:
     """Writes a stream of ids as fixed-size-list batches of ``length`` ids and masks."""
 
@@ -161,14 +157,17 @@ def write_token_files(
     A task's attempt writes files with names of its own; only those in the manifest count, so a task that runs again leaves
     files that nobody reads, never a wrong result.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), F.xxhash64(text).alias("tie"))
-    ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), F.xxhash64(text).alias("tie"),
+                       F.monotonically_increasing_id().alias("row"))
+    # Equal rows, however many, are told apart by their place in the input, so that no range must hold them all.
+    order = ("doc_id", "tie", "row")
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(tokenizer_file)
         end = np.array([end_id], dtype=words.dtype).tobytes()
         part = TaskContext.get().partitionId()
-        system, root = _filesystem(folder)
+        system, root = filesystem(folder)
         path, docs_path = (f"{root}/part-{part:06d}-{uuid.uuid4().hex}.{kind}.arrow" for kind in ("ids", "docs"))
         sink = writer = docs_sink = docs_writer = None
         at = documents = 0
@@ -213,7 +212,7 @@ class TokenFile:
     """Random access to one file's sequences and documents."""
 
     def __init__(self, folder: str, path: str) -> None:
-        system, _ = _filesystem(folder)
+        system, _ = filesystem(folder)
         self.reader = _open(system, path)
         self.length = self.reader.schema.field("ids").type.list_size
 
@@ -244,7 +243,7 @@ def read_documents(manifest: DataFrame, folder: str, doc_id_type: str) -> DataFr
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, docs_path, before in zip(*[c.to_pylist() for c in batch.columns]):
-                system, _ = _filesystem(folder)
+                system, _ = filesystem(folder)
                 tokens, documents = TokenFile(folder, path), _open(system, docs_path)
                 for i in range(documents.num_record_batches):
                     listed = documents.get_batch(i)
