@@ -173,7 +173,10 @@ def row_position(df: DataFrame, keys: Sequence[str], order: Order, name: str, fi
 
 
 def ranked(
-    df: DataFrame, keys: Sequence[str], order: Order, name: str, sized_by: DataFrame | None = None
+    df: DataFrame, keys: Sequence[str], order: Order, name: str, sized_by: DataFrame | None = None, largest: int | None = None,
 ) -> DataFrame:
-    """Number the rows of each group 1, 2, … whatever the group's size; leaves no slice column."""
-    return row_position(slice_hot_groups(df, keys, order, sized_by=sized_by), keys, order, name).drop(SLICE)
+    """Number the rows of each group 1, 2, … whatever the group's size; leaves no slice column.
+
+    Without ``largest``, the size of the largest group, the groups are counted while the plan is built.
+    """
+    return row_position(slice_hot_groups(df, keys, order, sized_by=sized_by, largest=largest), keys, order, name).drop(SLICE)

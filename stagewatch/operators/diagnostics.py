@@ -42,6 +42,16 @@ def top_warnings(warnings: DataFrame, n: int = 8) -> DataFrame:
     return ranked_rows.filter(F.col("rank") <= n).drop("first")
 
 
+def site_diagnostics(cases: DataFrame, other_warnings: DataFrame) -> DataFrame:
+    """``run_diagnostics`` from ``warnings.interval_facts`` of the cases and the warnings that do not come from intervals."""
+    counts = [F.sum(c).alias(c) for c in (*[f"n_over_{sec}" for sec in (7200, 14400, 28800)], *DIAGNOSTIC_FLAGS)]
+    given = F.col("state_warning_count") + F.col("timing_warning_count") + F.col("plot_warning_count")
+    out = cases.groupBy("site_code").agg((F.max("max_duration_us") / 1e6).alias("max_duration_sec"), *counts, F.sum(given).alias("given"))
+    others = other_warnings.groupBy("site_code").agg(F.count(F.lit(1)).alias("others"))
+    total = F.col("given") + F.coalesce("others", F.lit(0))
+    return out.join(others, "site_code", "left").withColumn("total_warnings", total).drop("given", "others")
+
+
 def quality_flag_counts(intervals: DataFrame) -> DataFrame:
     """Intervals per site and quality flag, every flag found."""
     return intervals.select("site_code", F.explode("quality_flags").alias("flag")).groupBy("site_code", "flag").agg(
@@ -123,12 +133,15 @@ def kind_counts(events: DataFrame) -> DataFrame:
     return events.groupBy("event_kind").agg(F.count(F.lit(1)).alias("n_events"))
 
 
-def matching_events(events: DataFrame, pattern: str = "%Treat%", n: int | None = None) -> DataFrame:
-    """Events whose type matches the pattern, numbered per site in time order (``n``: only the first so many)."""
+def matching_events(events: DataFrame, pattern: str = "%Treat%", n: int | None = None, largest: int | None = None) -> DataFrame:
+    """Events whose type matches the pattern, numbered per site in time order (``n``: only the first so many).
+
+    ``largest``: events of the largest site, where known.
+    """
     order = [F.col("ts_us"), F.col("case_id"), F.col("row_number")]
     hits = events.filter(F.col("event_type").like(pattern))
     if n is None:
-        return ranked(hits, ["site_code"], order, "nth")
+        return ranked(hits, ["site_code"], order, "nth", largest=largest)
     # A bounded number per site: Spark's window group limit keeps only the first n before the shuffle.
     nth = F.row_number().over(Window.partitionBy("site_code").orderBy(*order))
     return hits.withColumn("nth", nth).filter(F.col("nth") <= n)

@@ -11,7 +11,7 @@ from stagewatch.functions.coerce import capped
 from stagewatch.functions.ordered import ranked
 from stagewatch.functions.quantiles import exact_quantiles
 from stagewatch.operators.summary import MINUTE_US
-from stagewatch.workflow import KEYS, STATE_NAMES, text_array
+from stagewatch.workflow import KEYS
 
 GROUP = ["site_code", "phase"]
 MAX_MINUTES = 1000.0
@@ -140,20 +140,18 @@ def longest_cases(summary: DataFrame, n: int = 5, metric: str = "MRITotal") -> D
     return rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
 
 
-def cohorts(summary: DataFrame, cases: DataFrame | None = None) -> DataFrame:
-    """Case number within the site and its slice: 1-50, 51-75, 76+.  ``cases`` sizes the sites cheaply."""
-    numbered = ranked(summary, ["site_code"], [F.col("case_id")], "Pt", sized_by=cases)
+def cohorts(summary: DataFrame, largest: int | None = None) -> DataFrame:
+    """Case number within the site and its slice: 1-50, 51-75, 76+.  ``largest``: cases of the largest site, where known."""
+    numbered = ranked(summary, ["site_code"], [F.col("case_id")], "Pt", largest=largest)
     return numbered.withColumn(
         "cohort", F.when(F.col("Pt") <= 50, "1-50").when(F.col("Pt") <= 75, "51-75").otherwise("76+")
     )
 
 
-def case_trend(long: DataFrame, max_minutes: float = MAX_MINUTES, cases: DataFrame | None = None) -> DataFrame:
+def case_trend(long: DataFrame, max_minutes: float = MAX_MINUTES, largest: int | None = None) -> DataFrame:
     """Minutes against the position of the case in id order, NULLs removed first."""
     rows = cap_minutes(long, max_minutes).filter(F.col("minutes").isNotNull())
-    if cases is not None:
-        cases = cases.withColumn("phase", F.explode(text_array(STATE_NAMES)))
-    return ranked(rows, GROUP, [F.col("case_id")], "case_index", sized_by=cases)
+    return ranked(rows, GROUP, [F.col("case_id")], "case_index", largest=largest)
 
 
 def site_document(variability: DataFrame, outliers: DataFrame, cases: DataFrame, z: float = 3.0) -> DataFrame:

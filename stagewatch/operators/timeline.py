@@ -44,10 +44,10 @@ def state_order(rows: DataFrame) -> DataFrame:
     return seen.select("site_code", "state", F.row_number().over(order).alias("state_order"))
 
 
-def case_order(rows: DataFrame) -> DataFrame:
-    """y position (0-based) of every case of a site that has plottable rows."""
+def case_order(rows: DataFrame, largest: int | None = None) -> DataFrame:
+    """y position (0-based) of every case of a site that has plottable rows; ``largest``: cases of the largest site, where known."""
     cases = rows.select(*KEYS).distinct()
-    return ranked(cases, ["site_code"], [F.col("case_id")], "y").withColumn("y", F.col("y") - 1)
+    return ranked(cases, ["site_code"], [F.col("case_id")], "y", largest=largest).withColumn("y", F.col("y") - 1)
 
 
 def first_unknown_states(rows: DataFrame) -> DataFrame:
@@ -77,9 +77,9 @@ def with_state_numbers(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
     return found.withColumn("state_number", F.coalesce("ordinal", F.col("number") + known)).drop("number")
 
 
-def normalized_timeline(rows: DataFrame) -> DataFrame:
+def normalized_timeline(rows: DataFrame, largest: int | None = None) -> DataFrame:
     """Rebased minutes per row and the case's y position."""
-    return rows.join(case_order(rows), KEYS).select(
+    return rows.join(case_order(rows, largest), KEYS).select(
         *KEYS, "y", "state", "color", "row_number", "ts_us", "event_type",
         (F.col("start_us") / 6e7).alias("start_min"), (F.col("duration_us") / 6e7).alias("duration_min"),
     )
@@ -134,10 +134,10 @@ def midnight_crossings(rows: DataFrame) -> DataFrame:
     )
 
 
-def script_timeline(timed: DataFrame, max_cases: int | None = None) -> DataFrame:
+def script_timeline(timed: DataFrame, max_cases: int | None = None, largest: int | None = None) -> DataFrame:
     """Script profile: minutes per row of the cases of each site in id order (``max_cases``: only the first so many)."""
     rows = timed.filter(has_state() & (F.col("duration_us") > 0))
-    cases = ranked(rows.select(*KEYS).distinct(), ["site_code"], [F.col("case_id")], "nth")
+    cases = ranked(rows.select(*KEYS).distinct(), ["site_code"], [F.col("case_id")], "nth", largest=largest)
     if max_cases is not None:
         cases = cases.filter(F.col("nth") <= max_cases)
     dimension = F.broadcast(state_dimension(timed.sparkSession))

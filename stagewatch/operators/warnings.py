@@ -12,10 +12,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stagewatch.functions.coerce import MICROS
-from stagewatch.operators.states import DATE_RULE, DISCONNECT_RULE, DUPLICATE_RULE, unmapped_critical
+from stagewatch.functions.coerce import MICROS, day_number
+from stagewatch.functions.durable import durable
+from stagewatch.operators.states import DATE_RULE, DISCONNECT_RULE, DUPLICATE_RULE, is_critical_type, unmapped_critical
 from stagewatch.operators.timeline import first_unknown_states, is_blank_state, midnight_crossings, timeline_rows
-from stagewatch.workflow import DEFAULT, KEYS, Workflow, as_warnings
+from stagewatch.workflow import DEFAULT, DIAGNOSTIC_FLAGS, KEYS, STATE_NAMES, Workflow, as_warnings
 
 ROW = "row_number"
 
@@ -121,24 +122,29 @@ def run_warnings(intervals: DataFrame, workflow: Workflow = DEFAULT) -> DataFram
 
 
 def interval_facts(intervals: DataFrame, workflow: Workflow = DEFAULT) -> DataFrame:
-    """Per case: enriched and labelled events, intervals, and warnings by stage, in one aggregate over the interval rows.
+    """Per case, in one pass over the interval rows: events, durations, flags and the numbers of warnings by stage.
 
-    Warnings that a case gives once per value (unmapped types, unknown states, a crossing of midnight) are counted as such.
+    Warnings that a case gives once per value (unmapped types, a crossing of midnight) or a site once per value (unknown
+    states, at the first case that shows one) are counted as such.
     """
     def given(entries: Sequence[Column]) -> Column:
         return F.sum(F.size(F.array_compact(F.array(*entries))))
 
-    rows = F.count(F.lit(1))
-    counted = intervals.groupBy(*KEYS).agg(
+    rows, us = F.count(F.lit(1)), F.col("duration_us")
+    shown = ~is_blank_state() & (us > 0)
+    unmapped = F.when(F.col("state_assignment_rule").isNull() & is_critical_type(F.col("event_type")), F.col("event_type"))
+    crosses = shown & (day_number(F.col("ts_us") + us) != day_number(F.col("ts_us")))
+    unknown = F.when(shown & ~F.col("state").isin(*STATE_NAMES), F.col("state"))
+    facts = durable(intervals.groupBy(*KEYS).agg(
         rows.alias("enriched_event_count"), rows.alias("state_labeled_event_count"), rows.alias("state_interval_count"),
-        given(state_entries()).alias("state_rows"), given(interval_entries(workflow)).alias("timing_warning_count"),
-        given(timeline_entries()).alias("plot_rows"),
-    )
-    firsts = {"state_firsts": [_first_unmapped(intervals)], "plot_firsts": _timeline_firsts(intervals)}
-    for name, parts in firsts.items():
-        once = reduce(DataFrame.unionByName, parts).groupBy(*KEYS).agg(F.count(F.lit(1)).alias(name))
-        counted = counted.join(once, KEYS, "left")
-    return counted.withColumns({
-        "state_warning_count": F.col("state_rows") + F.coalesce("state_firsts", F.lit(0)),
-        "plot_warning_count": F.col("plot_rows") + F.coalesce("plot_firsts", F.lit(0)),
-    }).drop("state_rows", "state_firsts", "plot_rows", "plot_firsts")
+        # Critical types are a short list, and states that the workflow lacks a handful.
+        (given(state_entries()) + F.size(F.collect_set(unmapped))).alias("state_warning_count"),
+        given(interval_entries(workflow)).alias("timing_warning_count"),
+        (given(timeline_entries()) + F.max(crosses.cast("int"))).alias("plot_rows"), F.collect_set(unknown).alias("unknown"),
+        F.max(us).alias("max_duration_us"), *[F.count_if(us > sec * MICROS).alias(f"n_over_{sec}") for sec in (7200, 14400, 28800)],
+        *[F.count_if(F.array_contains("quality_flags", flag)).alias(flag) for flag in DIAGNOSTIC_FLAGS],
+    ))
+    first = facts.select(*KEYS, F.explode("unknown").alias("state")).groupBy("site_code", "state").agg(F.min("case_id").alias("case_id"))
+    firsts = first.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("firsts"))
+    plots = F.col("plot_rows") + F.coalesce("firsts", F.lit(0))
+    return facts.join(firsts, KEYS, "left").withColumn("plot_warning_count", plots).drop("plot_rows", "firsts", "unknown")

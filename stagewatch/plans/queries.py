@@ -39,11 +39,15 @@ def site_run(spark: SparkSession, sf_dir: str, **options) -> SiteRun:
 def full_run(spark: SparkSession, sf_dir: str, **options) -> SiteRun:
     """The run as composed from discovery on: processed cases only, all warnings."""
     return composed_run(
-        listing.discover_cases(tables.file_listing(spark, sf_dir)), tables.raw_events(spark, sf_dir),
+        discovered(spark, sf_dir), tables.raw_events(spark, sf_dir),
         tables.sessions(spark, sf_dir), tables.timing_log(spark, sf_dir), YEARS, largest_case=largest(spark, sf_dir), **options,
     )
 
 
+def discovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return listing.discover_cases(tables.file_listing(spark, sf_dir), largest=tables.largest_site(spark, sf_dir))
+
+
 def largest(spark: SparkSession, sf_dir: str) -> int:
     """Upper bound for the events of one case: its log rows plus the few synthetic ones."""
     return tables.largest_case(spark, sf_dir) + len(SESSION_FIELDS) + len(TIMING_LABELS)
@@ -149,7 +153,7 @@ def log_head(spark, sf):
 
 @query
 def matching_events(spark, sf):
-    return diagnostics.matching_events(site_run(spark, sf).normalized).select(
+    return diagnostics.matching_events(site_run(spark, sf).normalized, largest=tables.sizes(spark, sf)[2]).select(
         *KEYS, "row_number", "timestamp", "event_type", "nth")
 
 
@@ -327,7 +331,7 @@ def case_state_totals(spark, sf):
 
 @query
 def identified_summary(spark, sf):
-    cases = listing.discover_cases(tables.file_listing(spark, sf))
+    cases = discovered(spark, sf)
     return rounded(summary.attach_identifiers(wide(spark, sf), cases).select(
         "Site", "PtId", "Pt", "CaseFolder", "MRITotal", "ProcedureTotal", "TotalMinutes"))
 
@@ -417,13 +421,13 @@ def longest_cases(spark, sf):
 
 @query
 def cohorts(spark, sf):
-    out = stats.cohorts(stored(spark, sf), case_table(spark, sf)).select(*KEYS, "Pt", "cohort", "MRITotal")
+    out = stats.cohorts(wide(spark, sf), tables.largest_site(spark, sf)).select(*KEYS, "Pt", "cohort", "MRITotal")
     return rounded(out)
 
 
 @query
 def case_trend(spark, sf):
-    out = stats.case_trend(long(spark, sf), cases=case_table(spark, sf))
+    out = stats.case_trend(summary.to_long(wide(spark, sf)), largest=tables.largest_site(spark, sf))
     return rounded(out)
 
 
@@ -462,7 +466,7 @@ def timeline_states(spark, sf):
 
 @query
 def timeline_normalized(spark, sf):
-    return rounded(timeline.normalized_timeline(stored_timeline(spark, sf)))
+    return rounded(timeline.normalized_timeline(stored_timeline(spark, sf), tables.largest_site(spark, sf)))
 
 
 @query
@@ -492,7 +496,7 @@ def timeline_warnings(spark, sf):
 
 @query
 def script_timeline(spark, sf):
-    return rounded(timeline.script_timeline(script_run(spark, sf).timed).drop("ts_us"))
+    return rounded(timeline.script_timeline(durable(script_run(spark, sf).timed), largest=tables.largest_site(spark, sf)).drop("ts_us"))
 
 
 @query
@@ -527,8 +531,8 @@ def schedule_bootstrap(spark, sf):
 
 @query
 def run_diagnostics(spark, sf):
-    run = full_run(spark, sf, materialize=True)
-    return diagnostics.run_diagnostics(run.intervals, run.warnings)
+    run = full_run(spark, sf)
+    return diagnostics.site_diagnostics(warnings.interval_facts(run.intervals), run.other_warnings)
 
 
 @query
@@ -543,24 +547,24 @@ def warning_top(spark, sf):
 
 @query
 def case_discovery(spark, sf):
-    cases = listing.discover_cases(tables.file_listing(spark, sf))
+    cases = discovered(spark, sf)
     return cases.select(*KEYS, "discovery_order", *[F.concat_ws("|", c).alias(c) for c in ("databases", "zips", "warnings")])
 
 
 @query
 def case_manifest(spark, sf):
-    return sinks.case_manifest(listing.discover_cases(tables.file_listing(spark, sf)))
+    return sinks.case_manifest(discovered(spark, sf))
 
 
 @query
 def first_cases(spark, sf):
-    cases = listing.discover_cases(tables.file_listing(spark, sf))
+    cases = discovered(spark, sf)
     return listing.first_cases(cases, n=20, suffix="3").select(*KEYS, "discovery_order")
 
 
 @query
 def source_resolution(spark, sf):
-    found = listing.resolve_sources(listing.discover_cases(tables.file_listing(spark, sf)))
+    found = listing.resolve_sources(discovered(spark, sf))
     return found.select(
         *KEYS, "status", "source_type", "resolution_rule", "source_path",
         F.concat_ws("|", "ambiguous_candidates").alias("ambiguous_candidates"))
@@ -568,14 +572,14 @@ def source_resolution(spark, sf):
 
 @query
 def source_first_match(spark, sf):
-    found = listing.resolve_sources(listing.discover_cases(tables.file_listing(spark, sf)), policy="first")
+    found = listing.resolve_sources(discovered(spark, sf), policy="first")
     return found.select(*KEYS, "status", "source_path")
 
 
 def results(spark, sf) -> DataFrame:
     """Two passes over the log: one for the facts of each case, one for its intervals."""
-    run = site_run(spark, sf, materialize=True)
-    cases = listing.discover_cases(tables.file_listing(spark, sf))
+    run = site_run(spark, sf)
+    cases = discovered(spark, sf)
     sources = listing.resolve_sources(cases)
     facts = durable(normalize.log_facts(run.raw))
     stages = diagnostics.stage_counts({
@@ -584,7 +588,9 @@ def results(spark, sf) -> DataFrame:
         "timing_log_synthetic_count": enrich.timing_log_events(run.timing_sheet),
     })
     counts = facts.select(*KEYS, "raw_event_count", "normalized_event_count", "dropped_event_count")
-    counts = counts.join(stages, KEYS, "left").join(warnings.interval_facts(run.intervals), KEYS, "left")
+    rows = warnings.interval_facts(run.intervals).select(*KEYS, *[f"{n}_count" for n in (
+        "enriched_event", "state_labeled_event", "state_interval", "state_warning", "timing_warning", "plot_warning")])
+    counts = counts.join(stages, KEYS, "left").join(rows, KEYS, "left")
     errors = facts.filter("error IS NOT NULL").select(*KEYS, "error")
     found = diagnostics.case_results(sources, errors, facts, counts, YEARS)
     return found.join(sources.select(*KEYS, "discovery_order"), KEYS)

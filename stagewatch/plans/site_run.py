@@ -31,13 +31,14 @@ class SiteRun:
     largest_case: int | None = None  # rows of the largest case, where known from statistics
     materialize: bool = False  # write errors and intervals once when several consumers read them
     other_errors: DataFrame | None = None  # keys, row_number, error: unreadable files, bad sheets
+    log_errors: DataFrame | None = None  # what ``normalize.case_errors(raw)`` gives, where it is there already
     source_warnings: DataFrame | None = None  # long form: warnings of discovery and source choice
 
     @cached_property
     def errors(self) -> DataFrame:
-        own = normalize.case_errors(self.raw)
+        own = normalize.case_errors(self.raw) if self.log_errors is None else self.log_errors
         found = own if self.other_errors is None else own.unionByName(self.other_errors)
-        return durable(found) if self.materialize else found
+        return durable(found) if self.materialize and self.log_errors is None else found
 
     @cached_property
     def normalized(self) -> DataFrame:
@@ -90,14 +91,24 @@ class SiteRun:
     @cached_property
     def warnings(self) -> DataFrame:
         """Warnings of every stage of the healthy cases, long form."""
-        parts = [warnings.run_warnings(self.intervals, self.workflow)]
+        return reduce(DataFrame.unionByName, [warnings.run_warnings(self.intervals, self.workflow), *self._other_warnings])
+
+    @cached_property
+    def other_warnings(self) -> DataFrame:
+        """Those of ``warnings`` that do not come from intervals."""
+        none = self.errors.select(*KEYS, F.lit("").alias("category"), "row_number", F.lit("").alias("detail")).filter(F.lit(False))
+        return reduce(DataFrame.unionByName, self._other_warnings, none)
+
+    @cached_property
+    def _other_warnings(self) -> list[DataFrame]:
+        parts = []
         if self.sessions is not None:
             parts.append(self._healthy(enrich.session_warnings(self.sessions)))
         if self.timing_sheet is not None:
             parts.append(self._healthy(enrich.timing_log_warnings(self.timing_sheet)))
         if self.source_warnings is not None:
             parts.append(self.source_warnings)
-        return reduce(DataFrame.unionByName, parts)
+        return parts
 
 
 def composed_run(
@@ -109,15 +120,18 @@ def composed_run(
     Warnings of discovery and source choice count for processed cases and for cases without any candidate; a case that
     fails gives its error instead.
     """
-    sources = listing.resolve_sources(cases)
+    sources = durable(listing.resolve_sources(cases))
     row = F.lit(None).cast("bigint").alias("row_number")
     unresolved = F.col("status") != "resolved"
+    # One pass over the log for bad rows and years.
+    facts = durable(normalize.log_facts(raw).select(*KEYS, "row_number", "error", "case_year"))
     excluded = sources.filter(unresolved).select(*KEYS, row, F.col("status").alias("error"))
     if years is not None:
         other_year = ~F.coalesce(F.col("case_year").isin(*years), F.lit(False))
-        outside = normalize.case_years(raw).filter(other_year).select(*KEYS, row, F.lit("other_year").alias("error"))
+        outside = facts.filter(other_year).select(*KEYS, row, F.lit("other_year").alias("error"))
         excluded = excluded.unionByName(outside.join(excluded.select(*KEYS), KEYS, "left_anti"))
-    run = SiteRun(raw, sessions, timing_sheet, other_errors=excluded, **options)
+    bad = facts.filter("error IS NOT NULL").select(*KEYS, "row_number", "error")
+    run = SiteRun(raw, sessions, timing_sheet, other_errors=excluded, log_errors=bad, **options)
     processed = run._healthy(sources.filter(~unresolved))
     run.source_warnings = listing.source_warnings(processed).unionByName(
         listing.source_warnings(sources.filter(F.col("status") == "no_candidates")))

@@ -40,10 +40,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 @lru_cache(maxsize=64)
+def sizes(spark: SparkSession, sf_dir: str) -> tuple[int, int, int]:
+    """Rows of the largest case, cases and rows of the largest site: table statistics, taken once per session and folder."""
+    cases = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    sites = cases.groupBy(_site(F.col("user_id")).alias("site")).agg(
+        F.max("n").alias("case_rows"), F.count(F.lit(1)).alias("cases"), F.sum("n").alias("rows"))
+    found = sites.agg(F.max("case_rows"), F.max("cases"), F.max("rows")).first()
+    return tuple(n or 0 for n in found)
+
+
 def largest_case(spark: SparkSession, sf_dir: str) -> int:
-    """Rows of the largest case: a table statistic, taken once per session and folder."""
-    sizes = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
+    return sizes(spark, sf_dir)[0]
+
+
+def largest_site(spark: SparkSession, sf_dir: str) -> int:
+    """Cases of the largest site."""
+    return sizes(spark, sf_dir)[1]
 
 
 def _site(user: Column) -> Column:

@@ -37,10 +37,11 @@ def _candidates(patterns: tuple[str, ...]) -> Column:
     return F.transform(F.sort_array(F.collect_list(entry)), lambda e: e["path"])
 
 
-def discover_cases(files: DataFrame, roster: DataFrame | None = None) -> DataFrame:
+def discover_cases(files: DataFrame, roster: DataFrame | None = None, largest: int | None = None) -> DataFrame:
     """One row per case: numbered by lower-cased name, candidate paths in preference order, warnings.
 
-    ``roster`` (keys) adds case folders that hold no file at all.
+    ``roster`` (keys) adds case folders that hold no file at all; ``largest`` is the number of cases of the largest site,
+    where it is known.
     """
     found = files.groupBy(*KEYS).agg(
         _candidates(DB_PATTERNS).alias("databases"), _candidates(ZIP_PATTERNS).alias("zips")
@@ -56,7 +57,7 @@ def discover_cases(files: DataFrame, roster: DataFrame | None = None) -> DataFra
         F.when(F.size("zips") > 1, MANY_ZIPS),
     ))
     order = [F.lower("case_id"), F.col("case_id")]
-    return ranked(found, ["site_code"], order, "discovery_order").withColumn("warnings", warnings)
+    return ranked(found, ["site_code"], order, "discovery_order", largest=largest).withColumn("warnings", warnings)
 
 
 def first_cases(cases: DataFrame, n: int | None = None, suffix: str | None = None) -> DataFrame:
