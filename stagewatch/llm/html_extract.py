@@ -1,15 +1,18 @@
 """Main text of web pages by a site style tree.
 
-The pages of a host are merged into one tree of style nodes: an element's node is its tag, its style (classes, role) and the
-nodes above it.  For every style node the entropy of its presentations (the kinds of children) and of its content over the
-host's pages tells how much it matters: menus, notices and footers look and read the same on every page.  Branches of low
-importance are cut from each page, and so are branches that their tag or style declares to be something else than the article.
+The pages of a host are merged into one tree of style nodes, menus and adverts too: an element's node is its tag, its style
+(classes, role) and the nodes above it.  For every style node the entropy of its layout (what stands below it, and how often)
+and of its content over the host's pages tells how much it matters.  Cut from each page are branches that read the same on
+every page, and beside the host's text small branches that look the same on every page, whatever they say: a menu has its six
+entries and a footer its one line where an article has one to thirty paragraphs.  What differs from page to page like an
+article (reader comments, teasers) entropy cannot tell; there, and on hosts with few pages, the declared tags and styles do.
 """
 
 from __future__ import annotations
 
 import html as html_entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -25,6 +28,14 @@ from stagewatch.functions.scratch import stored
 MIN_PAGES = 8
 MIN_IMPORTANCE = 0.15
 CONTENT_WEIGHT = 0.9
+#: A branch whose layout has less entropy looks the same on every page.
+MIN_LAYOUT = 0.4
+#: Shares of a host's text: a branch with no more may be cut for its layout; text blocks next to each other with more are its text.
+SMALL_BRANCH = 0.25
+TEXT_BLOCKS = 0.25
+#: Levels of style nodes, and of open elements; deeper elements count as part of the last level, as browsers do.
+MAX_LEVELS = 64
+MAX_DEPTH = 512
 
 # Elements and style words that are not part of an article.
 NOISE_TAGS = frozenset(
@@ -83,6 +94,8 @@ class Node:
     article: int
     main: bool
     header: bool
+    path: tuple[int, ...] = ()
+    block: Node | None = None
 
 
 @dataclass(slots=True)
@@ -176,9 +189,9 @@ def _spared(pieces: list[tuple[str, Node]], regions: list[Region]) -> set[int]:
     return spared
 
 
-def blocks_of(page: str | None) -> tuple[list[Block], dict[int, list[int]], list[Region]]:
-    """Text blocks outside declared noise in page order, with the style nodes above each, each node's kinds of children, and
-    the page's articles and main elements; a block's ``article`` is its place in that list, from 1.
+def blocks_of(page: str | None, whole: bool = False) -> tuple[list[Block], dict[int, list[int]], list[Region]]:
+    """Text blocks outside declared noise (``whole``: all) in page order, with the style nodes above each, each node's
+    children, and the page's articles and main elements; a block's ``article`` is its place in that list, from 1.
 
     Unclosed and crossing elements are closed as browsers do in the common cases; what a page lacks at its end is implied.
     """
@@ -189,6 +202,7 @@ def blocks_of(page: str | None) -> tuple[list[Block], dict[int, list[int]], list
     regions: list[Region] = []
     n_declared = 0
     pieces: list[tuple[str, Node]] = []
+    opened: dict[str, int] = {}
     at, end = 0, len(page)
 
     def put(text: str) -> None:
@@ -197,13 +211,16 @@ def blocks_of(page: str | None) -> tuple[list[Block], dict[int, list[int]], list
 
     def flush() -> None:
         if pieces:
-            nodes = [n for n in stack if n.tag in BLOCK_TAGS]
-            found_blocks.append((pieces.copy(), tuple(n.signature for n in nodes), nodes[-1] if nodes else root))
+            found_blocks.append((pieces.copy(), stack[-1].path, stack[-1].block or root))
             pieces.clear()
 
     def close(tags: frozenset[str] | set[str], until: frozenset[str] | set[str]) -> None:
+        if not any(map(opened.get, tags)):
+            return
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag in tags:
+                for node in stack[i:]:
+                    opened[node.tag] -= 1
                 del stack[i:]
                 return
             if stack[i].tag in until:
@@ -261,33 +278,40 @@ def blocks_of(page: str | None) -> tuple[list[Block], dict[int, list[int]], list
             close({"option"}, {"select"})
         elif tag in HEADINGS:
             close(HEADINGS, BLOCK_TAGS - HEADINGS)
+        if len(stack) > MAX_DEPTH:
+            opened[stack.pop().tag] -= 1
+        opened[tag] = opened.get(tag, 0) + 1
         parent = stack[-1]
         if parent.noise:
-            stack.append(Node(tag, parent.signature, True, parent.declared, parent.article, parent.main, parent.header))
+            stack.append(Node(
+                tag, parent.signature, True, parent.declared, parent.article, parent.main, parent.header, parent.path, parent.block))
             continue
         attributes = found["attributes"] or found["attributes2"] or ""
         style, is_declared = _style(attributes, tag in HEADINGS)
         root_like = tag in ("html", "body")
-        noise = tag in NOISE_TAGS and tag not in HOLDERS
+        noise = tag in NOISE_TAGS and tag not in HOLDERS and not whole
         declared = parent.declared
-        if not root_like and (is_declared or tag in HOLDERS):
+        if not whole and not root_like and (is_declared or tag in HOLDERS):
             n_declared += 1
             declared = (*declared, n_declared)
         article, main = parent.article, parent.main or (tag == "main" or "main" in style.split()) and not noise
         if tag == "article" and not article or main and not parent.main:
-            regions.append(Region(declared, tuple(n.signature for n in stack if n.tag in BLOCK_TAGS), tag != "article"))
+            regions.append(Region(declared, parent.path, tag != "article"))
             if tag == "article":
                 article = len(regions)
         # A page's header is cut; of an article's header the headings stay.
         header = not root_like and (tag == "header" or parent.header) and not (parent.article and tag in HEADINGS)
         if parent.header and parent.article and tag in HEADINGS:
             header = False
-        signature = _signature(parent.signature, tag, style) if is_block else parent.signature
+        signature, path = parent.signature, parent.path
+        if is_block and len(path) < MAX_LEVELS:
+            signature = _signature(parent.signature, tag, style)
+            path = (*path, signature)
+            kinds.setdefault(parent.signature, []).append(signature)
+        made = Node(tag, signature, noise, declared, article, bool(main), header, path, parent.block)
         if is_block:
-            child = kinds.setdefault(parent.signature, [])
-            if not child or child[-1] != signature:
-                child.append(signature)
-        stack.append(Node(tag, signature, noise, declared, article, bool(main), header))
+            made.block = made
+        stack.append(made)
     flush()
     spared = _spared([p for ps, _, _ in found_blocks for p in ps], regions) if n_declared else set()
     blocks = []
@@ -301,17 +325,41 @@ def blocks_of(page: str | None) -> tuple[list[Block], dict[int, list[int]], list
     return blocks, kinds, regions
 
 
-def style_rows(page: str | None) -> list[tuple[int, int, int]]:
-    """(style node, hash of its presentation, hash of its content) of the nodes of a page that aren't cut anyhow."""
-    blocks, kinds, _ = blocks_of(page)
+@dataclass(slots=True)
+class StyleRow:
+    """A style node on one page: hashes of the layout below it and of its content, characters below it and in text blocks that
+    are its children, and the nodes above it."""
+
+    node: int
+    layout: int
+    content: int
+    chars: int
+    direct: int
+    above: tuple[int, ...]
+
+
+def style_rows(page: str | None) -> list[StyleRow]:
+    """The style nodes of a page that hold text, noise as well."""
+    blocks, kinds, _ = blocks_of(page, whole=True)
     content: dict[int, xxhash.xxh64] = {}
+    above: dict[int, tuple[int, ...]] = {}
+    chars: dict[int, int] = {}
+    direct: dict[int, int] = {}
     for block in blocks:
-        if not block.header:
-            text = block.text.encode()
-            for node in dict.fromkeys(block.path):
-                content.setdefault(node, xxhash.xxh64()).update(text)
+        text, n = block.text.encode(), len(block.text)
+        for level, node in enumerate(block.path):
+            if node not in content:
+                content[node], above[node] = xxhash.xxh64(), block.path[:level]
+            content[node].update(text)
+            chars[node] = chars.get(node, 0) + n
+        for node in block.path[-2:]:
+            direct[node] = direct.get(node, 0) + n
+    layouts: dict[int, int] = {}
+    for node in sorted(kinds, key=lambda k: -len(above.get(k, ()))):  # children before what is above them
+        children = sorted(Counter(k for k in kinds[node] if k in content).items())
+        layouts[node] = xxhash.xxh64_intdigest(repr([(k, n, layouts.get(k, 0)) for k, n in children]).encode()) >> 1
     return [
-        (node, xxhash.xxh64_intdigest(repr(kinds.get(node, [])).encode()) >> 1, digest.intdigest() >> 1)
+        StyleRow(node, layouts.get(node, 0), digest.intdigest() >> 1, chars[node], direct.get(node, 0), above[node])
         for node, digest in content.items()
     ]
 
@@ -348,38 +396,63 @@ def host_of(url: str) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(F.col(url).cast("string"), "^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def unimportant_nodes(pages: DataFrame, min_pages: int = MIN_PAGES, min_importance: float = MIN_IMPORTANCE) -> DataFrame:
-    """host, cut: the style nodes of low importance. ``pages`` has the columns host and html.
+def style_tree(pages: DataFrame) -> DataFrame:
+    """host, node, m (pages), layout and content (entropies from 0 to 1), chars, direct, above: the hosts' style trees.
 
-    Pages of a host with equal style nodes and texts count once, so a group of copies doesn't make an article look like a
-    notice.  Counts are partial aggregates over (host, node, hash); no host's pages meet in one task.
+    ``pages`` has the columns host and html.  Pages of a host with equal style nodes and texts count once, so a group of
+    copies doesn't make an article look like a notice.  Counts are partial aggregates over (host, node, hash); no host's
+    pages meet in one task.
     """
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hosts, rows = [], []
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found = style_rows(page)
-                digest = xxhash.xxh64_intdigest(repr(found).encode()) >> 1
-                for row in found:
+                digest = xxhash.xxh64_intdigest(repr([(r.node, r.layout, r.content) for r in found]).encode()) >> 1
+                for r in found:
                     hosts.append(host)
-                    rows.append((*row, digest))
-            columns = zip(*rows) if rows else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), *[pa.array(c, pa.int64()) for c in columns]],
-                                             ["host", "node", "presentation", "content", "page"])
+                    rows.append((r.node, r.layout, r.content, r.chars, r.direct, digest, r.above))
+            columns = list(zip(*rows)) or [()] * 7
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hosts, pa.string()), *[pa.array(c, pa.int64()) for c in columns[:-1]], pa.array(columns[-1], pa.list_(pa.int64()))],
+                ["host", "node", "layout", "content", "chars", "direct", "page", "above"])
 
     rows = pages.select("host", "html").mapInArrow(
-        scan, "host string, node bigint, presentation bigint, content bigint, page bigint")
-    pairs = rows.distinct().groupBy("host", "node", "presentation", "content").agg(F.count(F.lit(1)).alias("n"))
-    kinds = pairs.select("host", "node", "n", F.explode(F.array(
-        F.struct(F.lit(0).alias("kind"), F.col("presentation").alias("value")), F.struct(F.lit(1).alias("kind"), F.col("content").alias("value"))
-    )).alias("f")).select("host", "node", "n", "f.kind", "f.value")
-    counts = kinds.groupBy("host", "node", "kind", "value").agg(F.sum("n").alias("n"))
+        scan, "host string, node bigint, layout bigint, content bigint, chars bigint, direct bigint, page bigint, above array<bigint>")
+    pairs = rows.dropDuplicates(["host", "node", "layout", "content", "page"]).groupBy("host", "node", "layout", "content").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"), F.sum("direct").alias("direct"), F.first("above").alias("above"))
+    kinds = pairs.select("host", "node", "n", "chars", "direct", "above", F.explode(F.array(
+        F.struct(F.lit(0).alias("kind"), F.col("layout").alias("value")), F.struct(F.lit(1).alias("kind"), F.col("content").alias("value"))
+    )).alias("f")).select("host", "node", "n", "chars", "direct", "above", "f.kind", "f.value")
+    counts = kinds.groupBy("host", "node", "kind", "value").agg(
+        F.sum("n").alias("n"), F.sum("chars").alias("chars"), F.sum("direct").alias("direct"), F.first("above").alias("above"))
     log_m = F.log(F.sum("n").cast("double"))
     entropy = F.when(F.sum("n") > 1, (log_m - F.sum(F.col("n") * F.log(F.col("n").cast("double"))) / F.sum("n")) / log_m).otherwise(1.0)
-    entropies = counts.groupBy("host", "node", "kind").agg(entropy.alias("e"), F.sum("n").alias("m"))
-    weight = F.when(F.col("kind") == 1, CONTENT_WEIGHT).otherwise(1 - CONTENT_WEIGHT)
-    importance = entropies.groupBy("host", "node").agg(F.sum(weight * F.col("e")).alias("importance"), F.max("m").alias("m"))
-    low = importance.filter((F.col("m") >= min_pages) & (F.col("importance") < min_importance))
+    by_kind = counts.groupBy("host", "node", "kind").agg(
+        entropy.alias("e"), F.sum("n").alias("m"), F.sum("chars").alias("chars"), F.sum("direct").alias("direct"), F.first("above").alias("above"))
+    return by_kind.groupBy("host", "node").agg(
+        F.max("m").alias("m"), F.max(F.when(F.col("kind") == 0, F.col("e"))).alias("layout"),
+        F.max(F.when(F.col("kind") == 1, F.col("e"))).alias("content"), F.max("chars").alias("chars"), F.max("direct").alias("direct"),
+        F.first("above").alias("above"))
+
+
+def unimportant_nodes(pages: DataFrame, min_pages: int = MIN_PAGES, min_importance: float = MIN_IMPORTANCE) -> DataFrame:
+    """host, cut: the style nodes of low importance, on at least ``min_pages`` pages each.
+
+    A node goes if its importance, the weighted entropy of content and layout, is low.  Outside the host's text, a node also
+    goes if its layout alone is the same on (almost) all pages and it holds little.  The host's text is below a node with
+    most of the host's characters whose own children are text blocks with a good part of them.
+    """
+    tree = stored(style_tree(pages), "style-tree")
+    whole = tree.groupBy("host").agg(F.max("chars").alias("whole"))  # a root holds all of a host's text
+    shares = tree.join(whole, "host")
+    text = (F.col("chars") >= MOST * F.col("whole")) & (F.col("direct") >= TEXT_BLOCKS * F.col("whole"))
+    # Nodes with most of a host's text lie above each other (or are two halves), so a host has at most some dozen.
+    holders = shares.filter(text).groupBy("host").agg(F.collect_set("node").alias("holders"))
+    beside = F.col("holders").isNotNull() & ~F.arrays_overlap(F.concat("above", F.array("node")), "holders")
+    importance = CONTENT_WEIGHT * F.col("content") + (1 - CONTENT_WEIGHT) * F.col("layout")
+    alike = beside & (F.col("layout") < MIN_LAYOUT) & (F.col("chars") < SMALL_BRANCH * F.col("whole"))
+    low = shares.join(holders, "host", "left").filter((F.col("m") >= min_pages) & ((importance < min_importance) | alike))
     return low.groupBy("host").agg(F.collect_set("node").alias("cut"))
 
 

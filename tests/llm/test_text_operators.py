@@ -4,13 +4,14 @@ import hashlib
 import math
 import random
 import re
-from collections import Counter
+import time
+from collections import Counter, defaultdict
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from stagewatch.llm import decontaminate, html_extract, licenses, quality, queries, substring
+from stagewatch.llm import decontaminate, html_extract, licenses, mixing, quality, queries, substring, token_counts
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, size bigint, kept string"
@@ -338,3 +339,100 @@ def test_pages_table_gives_the_article(spark):
         inner = r.html[r.html.index("<article>") + 9:r.html.index("</article>")]
         parts = [" ".join(html.unescape(re.sub("</?b>|<br>", "", p)).split()) for p in re.split("</?p>|</?h1>", inner)]
         assert got[r.page_id] == "\n\n".join(p for p in parts if p)
+
+
+def tree_brute(rows):
+    """(host, node): pages, entropy of layouts and of contents, characters; copies of a page count once."""
+    pages = defaultdict(dict)
+    for host, html in rows:
+        found = html_extract.style_rows(html)
+        for r in found:
+            pages[host, r.node][tuple((x.node, x.layout, x.content) for x in found)] = r
+
+    def entropy(values):
+        counts, m = Counter(values), len(values)
+        return -sum(n / m * math.log(n / m) for n in counts.values()) / math.log(m) if m > 1 else 1.0
+
+    return {
+        key: (len(rows), entropy([r.layout for r in rows.values()]), entropy([r.content for r in rows.values()]), sum(r.chars for r in rows.values()))
+        for key, rows in pages.items()
+    }
+
+
+def test_style_tree_equals_a_plain_computation(spark):
+    rows = [(r.url.split("/")[2], r.html) for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect() if r.url]
+    rows += rows[:40] + [("few", "<p>x</p>"), ("few", None), ("few", "")]
+    got = {(r.host, r.node): r for r in html_extract.style_tree(spark.createDataFrame(rows, "host string, html string")).collect()}
+    expected = tree_brute(rows)
+    assert set(got) == set(expected)
+    for key, (m, layout, content, chars) in expected.items():
+        r = got[key]
+        assert (r.m, r.chars) == (m, chars) and r.layout == pytest.approx(layout, abs=1e-9) and r.content == pytest.approx(content, abs=1e-9)
+
+
+def test_the_tree_alone_takes_menus_adverts_and_footers_and_no_paragraph(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("url", html_extract.host_of("url").alias("host"), "html")
+    cuts = {r.host: set(r.cut) for r in html_extract.unimportant_nodes(pages).collect()}
+    whole = found = 0
+    for r in pages.collect():
+        blocks = html_extract.blocks_of(r.html, whole=True)[0]  # without the lists of declared noise
+        left = [b for b in blocks if cuts.get(r.host, set()).isdisjoint(b.path)]
+        article = [b for b in blocks if b.article]
+        assert not [b for b in article if b not in left]
+        whole += 1
+        found += left == article
+    assert found >= 0.9 * whole
+
+
+def test_articles_of_one_layout_stay(spark):
+    def page(k):
+        menu = "".join(f"<li>m{(k * j) % 17}</li>" for j in range(5))
+        return (f"<body><div class='x1'><ul>{menu}</ul></div><div class='x2'><h1>title {k}</h1>"
+                + "".join(f"<p>{' '.join(f'w{(k * i * j) % 101}' for i in range(20))}</p>" for j in range(1, 4)) + f"</div><div class='x3'>line {k}</div></body>")
+
+    rows = [(k, "http://one.layout/a", page(k)) for k in range(1, 41)]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    for k, text in got.items():
+        assert text.startswith(f"title {k}\n\nw") and text.count("\n\n") == 3 and f"line {k}" not in text
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<html><body>" + "<div>" * 50_000 + "end", "end"), ("<b>" * 50_000 + "end", "end"), ("<p>start" + "<div>" * 50_000 + "</section>" * 50_000, "start"),
+    ("<div><p>" * 25_000 + "end" + "</p></div>" * 25_000, "end")])
+def test_malformed_pages_take_linear_time(page, text):
+    start = time.process_time()
+    assert html_extract.main_text(page) == text
+    html_extract.style_rows(page)
+    assert time.process_time() - start < 10
+
+
+def test_a_long_word_takes_linear_time(spark):
+    docs = spark.createDataFrame([(1, "x" * 200_000 + " the"), (2, "the"), (3, "ab" * 100_000)], "doc_id bigint, text string")
+    start = time.time()
+    got = {r.doc_id: r.n_words for r in token_counts.token_report(docs, queries.tokenizer_path(queries.PIECE_MODEL)).collect()}
+    assert got == {1: 2, 2: 1, 3: 1} and time.time() - start < 60
+
+
+def test_empty_tables_and_columns_with_scratch_names(spark, edges):
+    none = edges.limit(0)
+    items = spark.read.parquet(f"{SF}/benchmark.parquet")
+    assert licenses.license_report(none).collect() == [] and quality.keep_good(none).collect() == []
+    assert decontaminate.decontaminate(none, items).collect() == [] and decontaminate.contamination(none, items).collect() == []
+    assert decontaminate.contamination(edges, items.limit(0)).filter("contaminated").collect() == []
+    odd = edges.withColumnsRenamed({"n_chars": "__dc_hits", "size": "__q_kept", "kept": "__copies"})
+    for out in (decontaminate.decontaminate(odd, items), quality.keep_good(odd), mixing.mix(odd)):
+        assert out.columns == odd.columns
+        rows = {tuple(r) for r in out.collect()}
+        assert {r[3:] for r in rows} <= {tuple(r)[3:] for r in odd.collect()}
+
+
+def test_no_row_comes_more_than_twice(spark):
+    docs = spark.createDataFrame([(1, "a a a", "s"), (2, None, "s"), (3, "", "s"), (4, " ".join("b" * 500), "t")], "doc_id bigint, text string, source string")
+    counts = Counter(r.doc_id for r in mixing.mix(docs).collect())
+    assert max(counts.values()) == 2
+
+
+def test_rows_without_an_id_are_mixed_by_their_text(spark):
+    docs = spark.createDataFrame([(None, f"t{i} " + "w " * 9, "s") for i in range(400)] + [(None, "u " * 4000, "t")], "doc_id bigint, text string, source string")
+    report = [r for r in mixing.mix_report(docs).collect() if r.size == 10]
+    assert abs(sum(r.taken for r in report) - report[0].target) <= 20
