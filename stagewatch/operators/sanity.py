@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stagewatch.functions.coerce import clock_us, day_number, from_micros, parse_clock
-from stagewatch.functions.ordered import SLICE, running_before, slice_hot_groups
+from stagewatch.functions.ordered import SLICE, is_sliced, running_before, slice_hot_groups
 from stagewatch.operators.summary import has_state
 from stagewatch.workflow import KEYS
 
@@ -36,6 +36,12 @@ def time_sanity(labelled: DataFrame, log: DataFrame | None = None, largest: int
     where it is known; without it the rows are counted first.
     """
     noon = parse_clock(NOON)
+    together = log is None and not is_sliced(labelled)
+    if together:  # the cases are in one place each already: another sort there instead of another pass over the log
+        arrival = Window.partitionBy(*KEYS).orderBy(F.col("row_number").asc_nulls_last())
+        step = F.when(F.col("row_number").isNotNull(), F.col("ts_us") - F.lag("ts_us").over(arrival))
+        labelled = labelled.withColumn("__step_us", step)
+    backward = F.least(F.coalesce(F.min("__step_us"), F.lit(0)), F.lit(0))
     with_state = has_state()
     proc_us = F.when(with_state, F.col("ts_us"))
     after = clock_us(F.col("ts_us")) >= noon
@@ -44,9 +50,11 @@ def time_sanity(labelled: DataFrame, log: DataFrame | None = None, largest: int
         F.min("ts_us").alias("f"), F.max("ts_us").alias("l"), F.bool_or(after).alias("any_after_noon"),
         F.min(proc_us).alias("pf"), F.max(proc_us).alias("pl"),
         F.coalesce(F.bool_or(with_state & after), F.lit(False)).alias("proc_any_after_noon"),
+        *([(backward < 0).alias("has_non_monotonic"), (backward / 1e6).alias("max_backward_sec")] if together else []),
     )
-    logged = labelled.filter(F.col("row_number").isNotNull()) if log is None else log
-    facts = facts.join(backward_steps(logged.drop(SLICE), largest=largest), KEYS, "left")
+    if not together:
+        logged = labelled.filter(F.col("row_number").isNotNull()) if log is None else log
+        facts = facts.join(backward_steps(logged.drop(SLICE), largest=largest), KEYS, "left")
 
     def window(first: str, last: str, prefix: str) -> list[Column]:
         a, b = F.col(first), F.col(last)

@@ -31,7 +31,7 @@ def test_query_matches_sql(spark, con, name):
     assert difference(got, duck_rows(con, spark_entry.oracle_sql()[name])) is None
 
 
-@pytest.mark.parametrize("name", ["state_intervals", "script_times", "case_trend"])
+@pytest.mark.parametrize("name", ["state_intervals", "script_times", "case_trend", "time_sanity"])
 def test_oversized_cases_give_the_same_rows(spark, con, slices_of, name):
     slices_of(25)
     got = spark_rows(spark_entry.queries()[name](spark, SF))
