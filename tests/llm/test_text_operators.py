@@ -436,3 +436,24 @@ def test_rows_without_an_id_are_mixed_by_their_text(spark):
     docs = spark.createDataFrame([(None, f"t{i} " + "w " * 9, "s") for i in range(400)] + [(None, "u " * 4000, "t")], "doc_id bigint, text string, source string")
     report = [r for r in mixing.mix_report(docs).collect() if r.size == 10]
     assert abs(sum(r.taken for r in report) - report[0].target) <= 20
+
+
+def license_rules_brute(text):
+    """Labels and score by trying every rule on every text, without keywords, and comparing every two detections."""
+    padded = (" " + " ".join(plain_words(text)) + " ").encode()
+    raw = {(m.start(), m.end(), r.label, r.priority) for r in licenses.RULES for m in r.pattern.finditer(padded)}
+    rank = {d: i for i, d in enumerate(sorted(raw, key=lambda d: (-d[3], d[0] - d[1], d[0], d[2])))}
+    kept = [d for d in raw if not any(rank[o] < rank[d] and o[0] <= d[0] and d[1] <= o[1] for o in raw)]
+    base = {label for phrase, label in licenses.BASE if f" {phrase} ".encode() in padded}
+    return ",".join(sorted(base | {d[2] for d in kept})), max([d[3] / 100 for d in kept] + [0.3] * bool(base), default=0.0)
+
+
+def test_license_labels_and_scores(spark, edges):
+    texts = ["SPDX-License-Identifier: Apache-2.0 or GPL-2.0-only", "licensed under the GNU General Public License version 2.0 or any later version; cc by-sa 4.0 international",
+             "Permission is hereby granted, free of charge. The MIT License (MIT). MIT license.", "https://creativecommons.org/licenses/by/4.0/ GPL v3 gpl 2 LGPL 2.1 or later"]
+    table = edges.select("doc_id", "text").unionByName(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"))
+    table = table.unionByName(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text"))
+    got = Counter((r.doc_id, r.labels, r.score) for r in licenses.license_report(table).collect())
+    rows = table.collect()
+    assert got == Counter((r.doc_id, *license_rules_brute(r.text)) for r in rows)
+    assert any(labels for _, labels, _ in got)
