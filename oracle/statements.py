@@ -360,6 +360,7 @@ STATEMENTS |= {
     "run_document": f"""SELECT r.site_code, (discovery_order - 1) // 10 + 1 AS part, (discovery_order - 1) % 10 AS at, case_id, status, error, source_path, state_interval_count,
         cases_discovered, cases_processed, 'out/state_intervals/site_code=' || r.site_code AS intervals_path
         FROM ({RESULTS}) r JOIN (SELECT site_code, count(*) AS cases_discovered, count(*) FILTER (status = 'processed') AS cases_processed FROM ({RESULTS}) GROUP BY site_code) m ON m.site_code = r.site_code""",
+    "warning_text_categories": "SELECT site_code, category, count(*) AS n_warnings FROM c_run_warnings GROUP BY site_code, category",
     "log_catalog": CATALOG,
     "log_versions": f"""SELECT site_code, version, count(*) AS n_cases, sum(n_rows)::BIGINT AS n_rows FROM (
         SELECT site_code, case_id, string_agg("column", ',' ORDER BY "column") AS version, max(n_rows) AS n_rows FROM ({CATALOG}) GROUP BY site_code, case_id) GROUP BY site_code, version""",

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stagewatch.functions.coerce import warning_category
 from stagewatch.functions.ordered import ranked
 from stagewatch.workflow import DIAGNOSTIC_FLAGS, KEYS
 
@@ -35,6 +36,18 @@ def warning_categories(warnings: DataFrame) -> DataFrame:
     return warnings.groupBy("site_code", "category").agg(F.count(F.lit(1)).alias("n_warnings"), F.min(first_sight()).alias("first"))
 
 
+def warning_texts(warnings: DataFrame) -> DataFrame:
+    """site_code, text: warnings as lines of a run document, ``case:category:row:detail``; uncategorized ones are their detail."""
+    row = F.concat(F.lit("row="), F.col("row_number").cast("string"))
+    line = F.concat_ws(":", "case_id", "category", row, "detail")
+    return warnings.select("site_code", F.when(F.col("category") == "uncategorized", F.col("detail")).otherwise(line).alias("text"))
+
+
+def text_categories(texts: DataFrame) -> DataFrame:
+    """n_warnings per site and category of warning lines, whatever wrote them."""
+    return texts.groupBy("site_code", warning_category(F.col("text")).alias("category")).agg(F.count(F.lit(1)).alias("n_warnings"))
+
+
 def top_warnings(warnings: DataFrame, n: int = 8) -> DataFrame:
     """Most frequent categories per site; ties by first sight."""
     order = Window.partitionBy("site_code").orderBy(F.col("n_warnings").desc(), "first")

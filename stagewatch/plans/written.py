@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from stagewatch import sinks
 from stagewatch.functions.scratch import new_path, stored
-from stagewatch.operators import normalize, sanity, summary, timeline, versions
-from stagewatch.plans.queries import case_table, largest, query, results, rounded, site_run, wide
+from stagewatch.operators import diagnostics, normalize, sanity, summary, timeline, versions
+from stagewatch.plans.queries import case_table, full_run, largest, query, results, rounded, site_run, wide
 from stagewatch.sources import driver_tables as tables
 from stagewatch.sources import sheets
 from stagewatch.sources.tables import bad_rows, read_checked, split_bad, unified
@@ -115,13 +115,11 @@ def run_document(spark, sf):
     """The run document of every site, written in parts of ten cases, read back and put together."""
     path = new_path(spark, "run-document")
     cases = stored(results(spark, sf), "results")
-    from stagewatch.operators.diagnostics import run_manifest
-
     names = ("normalized_events", "enriched_events", "state_labeled_events", "state_intervals")
     sites = cases.select("site_code").distinct()
     places = sites.select("site_code", F.explode(F.array(*[F.lit(n) for n in names])).alias("name")).withColumn(
         "path", F.concat_ws("/", F.lit("out"), "name", F.concat(F.lit("site_code="), "site_code")))
-    sinks.write_document_parts(sinks.document_parts(run_manifest(cases), cases, places, part_cases=10), path)
+    sinks.write_document_parts(sinks.document_parts(diagnostics.run_manifest(cases), cases, places, part_cases=10), path)
     parts = sinks.read_document_parts(spark, path)
     head = parts.filter("kind = 'head'").select(
         "site_code", F.get_json_object("body", "$.cases_discovered").cast("bigint").alias("cases_discovered"),
@@ -133,6 +131,14 @@ def run_document(spark, sf):
     return rows.select("site_code", "part", "at", "c.*").join(head, "site_code")
 
 
+@query
+def warning_text_categories(spark, sf):
+    """Categories of the run's warnings from the lines they were written as."""
+    path = new_path(spark, "warnings")
+    diagnostics.warning_texts(full_run(spark, sf, materialize=True).warnings).write.partitionBy("site_code").text(path)
+    return diagnostics.text_categories(spark.read.schema("text string, site_code string").text(path))
+
+
 # ---- log versions -------------------------------------------------------------------------------
 
 LOG_COLUMNS = {

@@ -16,7 +16,7 @@ NAMES = [
     "phase_variability", "phase_outliers", "phase_histogram", "box_stats", "case_trend", "axis_window", "timeline_clock",
     "stacked_layout", "schedule_risk", "schedule_bootstrap", "warning_top", "case_results", "case_discovery", "source_resolution",
     "run_diagnostics", "site_stats_doc", "sheet_rows", "sheet_errors", "case_sheets", "csv_bad_rows", "csv_rows", "replaced_sites", "ordered_sanity",
-    "run_document", "log_catalog", "log_versions", "unified_log", "zoned_times", "zoned_times_kept", "unknown_states", "state_numbers",
+    "run_document", "warning_text_categories", "log_catalog", "log_versions", "unified_log", "zoned_times", "zoned_times_kept", "unknown_states", "state_numbers",
 ]
 
 
