@@ -3,6 +3,9 @@
 The lines come from Spark's text reader, which splits large files.  A line's number needs no window over its file: the lines
 of one split have consecutive ids, so a count per split, summed over the earlier splits of the file, is all that is missing.
 A line break ends a record, inside quotes too.
+
+A file per case costs a listing, an opening and a place on the driver each, whatever its size.  Landed sheets are a parquet
+table of their texts instead, many sheets a file; its blocks take the place of a file's splits.
 """
 
 from __future__ import annotations
@@ -22,6 +25,9 @@ SITE_TREE = r"([^/]+)/TimingLogs/([^/]+)\.csv$"
 CASE_FOLDERS = r"site_code=([^/]+)/case_id=([^/]+)/[^/]+$"
 BYTE_ORDER_MARK = "﻿"
 
+#: Landed sheets.  A sheet is the texts of its blocks in order; each but the last ends with a line break.
+LANDED = "source_file string, block bigint, text string"
+
 EMPTY, NO_COLUMNS, HEADER_ONLY, SHORT_ROW = (
     "timing_log_empty", "timing_log_columns_missing", "timing_log_header_only", "timing_log_short_row")
 BLANK_ROW = "timing_log_blank_row"
@@ -33,8 +39,18 @@ def _named(path: Column, pattern: str) -> list[Column]:
     return [F.regexp_extract(plain, pattern, i + 1).alias(key) for i, key in enumerate(KEYS)]
 
 
-def sheet_files(spark: SparkSession, folder: str, pattern: str = SITE_TREE) -> DataFrame:
-    """keys, source_file, n_bytes of every sheet below ``folder``; the files are listed, not read.
+def sheet_files(spark: SparkSession, folder: str, pattern: str = SITE_TREE, landed: bool = False) -> DataFrame:
+    """keys, source_file, n_bytes of every sheet below ``folder`` or, if ``landed``, in the table there."""
+    if landed:
+        size = F.sum(F.octet_length("text")).cast("bigint")
+        found = spark.read.schema(LANDED).parquet(folder).groupBy("source_file").agg(size.alias("n_bytes"))
+    else:
+        found = _listed(spark, folder)
+    return found.select(*_named(F.col("source_file"), pattern), "source_file", "n_bytes").filter(F.col("case_id") != "")
+
+
+def _listed(spark: SparkSession, folder: str) -> DataFrame:
+    """source_file, n_bytes of every file below ``folder``; the files are listed, not read.
 
     Spark leaves files without a byte out of a scan, so the names come from its file index, which is on the driver anyway.
     """
@@ -42,8 +58,7 @@ def sheet_files(spark: SparkSession, folder: str, pattern: str = SITE_TREE) -> D
     meta = F.col("_metadata")
     sizes = listed.select(meta["file_path"].alias("source_file"), meta["file_size"].alias("n_bytes"))
     names = spark.createDataFrame([(_plain_scheme(name),) for name in listed.inputFiles()], "source_file string")
-    found = names.join(sizes, "source_file", "left").withColumn("n_bytes", F.coalesce("n_bytes", F.lit(0)))
-    return found.select(*_named(F.col("source_file"), pattern), "source_file", "n_bytes").filter(F.col("case_id") != "")
+    return names.join(sizes, "source_file", "left").withColumn("n_bytes", F.coalesce("n_bytes", F.lit(0)))
 
 
 def _plain_scheme(name: str) -> str:
@@ -51,15 +66,36 @@ def _plain_scheme(name: str) -> str:
     return "file:/" + name.removeprefix("file:").lstrip("/") if name.startswith("file:") else name
 
 
-def sheet_lines(spark: SparkSession, folder: str, pattern: str = SITE_TREE) -> DataFrame:
-    """keys, source_file, line_number (1 = header), cells of every line of the sheets below ``folder``."""
+def land_sheets(spark: SparkSession, folder: str, path: str, pattern: str = SITE_TREE) -> None:
+    """Write the sheets below ``folder`` to a table of landed sheets at ``path``, a block each, in one pass over the files."""
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    texts = read.select(F.col("_metadata")["file_path"].alias("source_file"), F.col("content").cast("string").alias("text"))
+    found = sheet_files(spark, folder, pattern).select("source_file").join(texts, "source_file", "left")
+    found.select("source_file", F.lit(0).cast("bigint").alias("block"), F.coalesce("text", F.lit("")).alias("text")).write.parquet(path)
+
+
+def _file_lines(spark: SparkSession, folder: str) -> DataFrame:
     meta = F.col("_metadata")
-    read = spark.read.option("recursiveFileLookup", True).text(folder).select(
+    return spark.read.option("recursiveFileLookup", True).text(folder).select(
         meta["file_path"].alias("source_file"), meta["file_block_start"].alias("split"), "value",
         F.monotonically_increasing_id().alias("id"),
     )
+
+
+def _landed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines end as they do for Spark's text reader; a break at the end of a block starts no line."""
+    cut = F.split("text", "\r\n|\r|\n")
+    lines = F.when(F.element_at(cut, -1) == "", F.slice(cut, F.lit(1), F.size(cut) - 1)).otherwise(cut)
+    return spark.read.schema(LANDED).parquet(path).select(
+        "source_file", F.col("block").alias("split"), F.posexplode(lines).alias("at", "value"),
+    ).select("source_file", "split", "value", F.col("at").cast("bigint").alias("id"))
+
+
+def sheet_lines(spark: SparkSession, folder: str, pattern: str = SITE_TREE, landed: bool = False) -> DataFrame:
+    """keys, source_file, line_number (1 = header), cells of every line of the sheets below ``folder`` or landed there."""
+    read = _landed_lines(spark, folder) if landed else _file_lines(spark, folder)
     lines = stored(read.filter(F.regexp_extract("source_file", pattern, 0) != ""), "sheet-lines")
-    # One row per split of a file from here to the join.
+    # One row per split of a file (or block) from here to the join.
     splits = lines.groupBy("source_file", "split").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
     earlier = F.expr("sum(n) OVER (PARTITION BY source_file ORDER BY split ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
     offsets = splits.select("source_file", "split", (F.coalesce(earlier, F.lit(0)) - F.col("first") + 1).alias("offset"))

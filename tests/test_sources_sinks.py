@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from stagewatch import sinks
 from stagewatch.operators import diagnostics, enrich, normalize, versions
+from stagewatch.plans import written
 from stagewatch.plans.site_run import SiteRun
 from stagewatch.sources import case_files, listing, sheets, tables
 
@@ -155,6 +156,59 @@ def test_line_numbers_go_on_over_the_splits_of_a_file(spark, tmp_path):
     assert got == [("long", i + 2, n) for i, n in enumerate(names)] + [("short", 2, "only")]
 
 
+def _sheet_results(cases, files, lines):
+    shown = {
+        "lines": lines.select("site_code", "case_id", "line_number", F.to_json("cells").alias("cells")), "rows": sheets.sheet_rows(lines).drop("source_file"),
+        "files": files.drop("source_file"), "errors": sheets.sheet_errors(lines, files), "blank": sheets.blank_row_warnings(lines),
+        "cases": sheets.case_sheets(cases, files, lines).drop("source_file"),
+    }
+    return {name: sorted((tuple(r) for r in df.collect()), key=str) for name, df in shown.items()}
+
+
+def test_landed_sheets_are_read_like_their_files(spark, tree, tmp_path):
+    path = str(tmp_path / "landed")
+    sheets.land_sheets(spark, str(tree), path)
+    cases = spark.createDataFrame([("S1", c) for c in ("plain", "Older", "twice", "none", "a+b c")], "site_code string, case_id string")
+    from_files = _sheet_results(cases, sheets.sheet_files(spark, str(tree)), sheets.sheet_lines(spark, str(tree)))
+    from_table = _sheet_results(cases, sheets.sheet_files(spark, path, landed=True), sheets.sheet_lines(spark, path, landed=True))
+    assert from_table == from_files and len(from_table["files"]) == 6 and len(from_table["lines"]) == 10
+
+
+def test_lines_of_landed_sheets_end_as_those_of_files(spark, tmp_path):
+    texts = {"a": "h\r\n\r\nx\ry\n\n", "b": "no end", "c": "\n", "d": "", "e": "\r\r\n\r"}
+    folder, path = tmp_path / "tree" / "S1" / "TimingLogs", str(tmp_path / "landed")
+    folder.mkdir(parents=True)
+    for name, text in texts.items():
+        (folder / f"{name}.csv").write_bytes(text.encode())
+    sheets.land_sheets(spark, str(tmp_path / "tree"), path)
+
+    def shown(lines):
+        return sorted((r.case_id, r.line_number, tuple(r.cells)) for r in lines.collect())
+
+    assert shown(sheets.sheet_lines(spark, path, landed=True)) == shown(sheets.sheet_lines(spark, str(tmp_path / "tree")))
+
+
+def test_line_numbers_go_on_over_the_blocks_of_a_landed_sheet(spark, tmp_path):
+    path, sheet = str(tmp_path / "landed"), "S1/TimingLogs/a.csv"
+    blocks = [(sheet, 7, "two,,x\nthree,,x\n"), (sheet, 0, "Events,TimeSTART,TimeEND\none,,x\n"), (sheet, 1 << 33, "four,,x"), ("S1/notes.txt", 0, "x\n")]
+    spark.createDataFrame(blocks, sheets.LANDED).repartition(4).write.parquet(path)
+    lines = sheets.sheet_lines(spark, path, landed=True)
+    assert sorted((r.row_number, r.label) for r in sheets.sheet_rows(lines).collect()) == [(2, "one"), (3, "two"), (4, "three"), (5, "four")]
+    assert [tuple(r) for r in sheets.sheet_files(spark, path, landed=True).collect()] == [("S1", "a", sheet, sum(len(b[2]) for b in blocks[:3]))]
+
+
+def test_written_sheets_need_no_file_per_case(spark, tmp_path, monkeypatch):
+    first = F.make_timestamp_ntz(F.lit(2024), F.lit(1), F.lit(2), F.lit(8), F.lit(0), F.lit(0))
+    spark.range(300).select(
+        F.col("id").alias("event_id"), first.alias("ts"), F.col("id").alias("user_id"), F.lit("x").alias("event_type"), F.lit(0.0).alias("value"),
+        F.lit('{"k": 1}').alias("props")).write.parquet(str(tmp_path / "events.parquet"))
+    made = []
+    monkeypatch.setattr(written, "new_path", lambda _, name: made.append(tmp_path / name) or str(tmp_path / name))
+    files, _ = written.written_sheets(spark, str(tmp_path))
+    assert files.count() == files.select("site_code", "case_id").distinct().count() == sum(i % 9 != 8 for i in range(300))
+    assert len([p for p in made[0].rglob("part-*") if p.is_file()]) <= 32
+
+
 def test_csv_cells_are_those_of_the_csv_module(spark):
     import csv
 
