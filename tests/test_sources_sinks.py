@@ -7,8 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from stagewatch import sinks
+from stagewatch.functions import scratch
 from stagewatch.operators import diagnostics, enrich, normalize, versions
 from stagewatch.plans import written
+from stagewatch.plans.queries import QUERIES
 from stagewatch.plans.site_run import SiteRun
 from stagewatch.sources import case_files, listing, sheets, tables
 
@@ -209,6 +211,19 @@ def test_written_sheets_need_no_file_per_case(spark, tmp_path, monkeypatch):
     assert len([p for p in made[0].rglob("part-*") if p.is_file()]) <= 32
 
 
+@pytest.mark.parametrize("name", ["case_sheets"])
+def test_sheet_queries_write_no_file_per_case(spark, tmp_path, monkeypatch, name):
+    first = F.make_timestamp_ntz(F.lit(2024), F.lit(1), F.lit(2), F.lit(8), F.lit(0), F.lit(0))
+    spark.range(540).select(
+        F.col("id").alias("event_id"), first.alias("ts"), F.col("id").alias("user_id"), F.lit("x").alias("event_type"), F.lit(0.0).alias("value"),
+        F.lit('{"k": 1}').alias("props")).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(scratch, "shared_folder", lambda _: str(tmp_path / "shared"))
+    kinds = 60  # cases of each of the nine shapes
+    rows = {"case_sheets": 9 * kinds, "sheet_rows": 5 * kinds * 6 + kinds * 5, "sheet_warnings": kinds}
+    assert QUERIES[name](spark, str(tmp_path)).count() == rows[name]
+    assert 0 < len([p for p in (tmp_path / "shared").rglob("part-*") if p.is_file()]) <= 64
+
+
 def test_csv_cells_are_those_of_the_csv_module(spark):
     import csv
 
