@@ -211,7 +211,7 @@ def test_written_sheets_need_no_file_per_case(spark, tmp_path, monkeypatch):
     assert len([p for p in made[0].rglob("part-*") if p.is_file()]) <= 32
 
 
-@pytest.mark.parametrize("name", ["case_sheets", "sheet_rows"])
+@pytest.mark.parametrize("name", ["case_sheets", "sheet_rows", "sheet_warnings"])
 def test_sheet_queries_write_no_file_per_case(spark, tmp_path, monkeypatch, name):
     first = F.make_timestamp_ntz(F.lit(2024), F.lit(1), F.lit(2), F.lit(8), F.lit(0), F.lit(0))
     spark.range(540).select(
